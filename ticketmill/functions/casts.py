@@ -19,8 +19,12 @@ def safe_str(value: Column) -> Column:
 
 
 def safe_int(text: Column) -> Column:
-    """Whole number or null; '', 'None', '3.9' and overflow are null."""
-    return text.try_cast("bigint")
+    """Whole number or null; '', 'None', '3.9' and overflow are null.
+
+    The pattern keeps other text away from the cast, which would raise and
+    catch an error for each such value; the cast still decides on overflow.
+    """
+    return F.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), text.try_cast("bigint"))
 
 
 def _words(text: Column, true_words: tuple[str, ...], false_words: tuple[str, ...]) -> Column:

@@ -140,7 +140,7 @@ def absent_rows(
     """
     keys = list(keys)
     firsts = first_per_key(df, keys, list(order_by))
-    batch_keys = df.select(*keys)
+    batch_keys = df.select(*keys).distinct()
     present = target.select(*keys).join(batch_keys, keys, "left_semi")
     return firsts.join(present, keys, "left_anti")
 

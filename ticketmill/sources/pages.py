@@ -6,7 +6,7 @@ A page is one row: ``request_id`` (endpoint and query string), ``start_at``,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketmill.schemas import DETAIL_ENVELOPE, ENVELOPE
@@ -95,19 +95,22 @@ def paged_items(pages: DataFrame, stage: Stage = unstaged, name: str = "strays")
 def audit_pages(pages: DataFrame) -> DataFrame:
     """Per request: pages, rows received, announced total, gaps, completeness.
 
-    A gap is a page that starts past the end of the pages before it. The
-    window runs over three narrow columns, never over payloads.
+    A gap is a page that starts where no page before it ends. Starts and ends
+    meet in an equi-join on (request, position), so one request with very many
+    pages is spread over all tasks; payloads are not carried along.
     """
     narrow = pages.select("request_id", "start_at", "total", _received().alias("received"))
-    before = (
-        Window.partitionBy("request_id")
-        .orderBy("start_at")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    ends = F.max(F.col("start_at") + F.col("received")).over(before)
-    marked = narrow.withColumn(
-        "gap", (F.col("start_at") > F.coalesce(ends, F.lit(0))).cast("bigint")
+    ends = (
+        narrow.where(F.col("received") > 0)
+        .select(
+            F.col("request_id").alias("end_request"),
+            (F.col("start_at") + F.col("received")).alias("end_at"),
+        )
+        .distinct()
     )
+    follows = (F.col("request_id") == F.col("end_request")) & (F.col("start_at") == F.col("end_at"))
+    gap = (F.col("start_at") > 0) & F.col("end_at").isNull()
+    marked = narrow.join(ends, follows, "left").withColumn("gap", gap.cast("bigint"))
     per_request = marked.groupBy("request_id").agg(
         F.count("*").alias("pages"),
         F.sum("received").alias("received"),
@@ -130,9 +133,7 @@ def board_of_request(request_id: Column) -> Column:
 
 def project_of_request(request_id: Column) -> Column:
     """Project key in a board-listing request."""
-    return F.url_decode(
-        F.try_parse_url(request_id, F.lit("QUERY"), F.lit("projectKeyOrId"))
-    )
+    return F.url_decode(F.try_parse_url(request_id, F.lit("QUERY"), F.lit("projectKeyOrId")))
 
 
 def projects_by_key(projects: DataFrame, keys: list[str] | None) -> DataFrame:

@@ -96,14 +96,23 @@ def _write_batch(built: Relations, params: RunParams, batch_id: int) -> None:
                 save_parts(df, name, path, params.fmt, params.max_rows, "overwrite")
 
 
-def first_seen(stream: DataFrame, keys: list[str], watermark: tuple[str, str] | None = None):
+def first_seen(
+    stream: DataFrame,
+    keys: list[str],
+    watermark: tuple[str, str] | None = None,
+    lanes: int = 1,
+) -> DataFrame:
     """One row per key over the life of a stream, whichever arrives first.
 
     Without a watermark the state keeps every key, as the exact rule needs;
-    with ``(column, delay)`` keys older than the delay are forgotten. Which
-    copy of one micro-batch stays is open: where the first board must win use
-    ``run_stream``.
+    with ``(column, delay)`` keys older than the delay are forgotten. Copies of
+    a key are first thinned out within ``lanes`` groups of map tasks where one
+    key may hold much of the stream. Which copy of one micro-batch stays is
+    open: where the first board must win use ``run_stream``.
     """
-    if watermark is None:
-        return stream.dropDuplicates(keys)
-    return stream.withWatermark(*watermark).dropDuplicatesWithinWatermark(keys)
+    if watermark is not None:
+        return stream.withWatermark(*watermark).dropDuplicatesWithinWatermark(keys)
+    if lanes > 1:
+        lane = F.spark_partition_id() % lanes
+        stream = stream.withColumn("_lane", lane).dropDuplicates([*keys, "_lane"]).drop("_lane")
+    return stream.dropDuplicates(keys)

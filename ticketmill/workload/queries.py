@@ -710,7 +710,7 @@ def t2_stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("body", "$.id").alias("issue_ref"),
     )
     query = (
-        first_seen(found, ["board_id", "issue_ref"])
+        first_seen(found, ["board_id", "issue_ref"], lanes=4)
         .writeStream.format("parquet")
         .option("checkpointLocation", storage.work_folder(spark, "stream"))
         .trigger(availableNow=True)

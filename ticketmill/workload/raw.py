@@ -52,12 +52,11 @@ def _when_mod(value: Column, modulus: int, rest: int) -> Column:
 def project_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer x nation x region -> ``body`` of one project each."""
     c = F.col("c_custkey")
-    # nation and region have a fixed number of rows (25 and 5) at every scale.
     places = table(spark, sf_dir, "nation").join(
-        F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey")
+        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     rows = spread(table(spark, sf_dir, "customer")).join(
-        F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey")
+        places, F.col("c_nationkey") == F.col("n_nationkey")
     )
     category = F.struct(
         F.col("n_nationkey").alias("id"),
