@@ -1,0 +1,119 @@
+from __future__ import annotations
+
+import json
+import uuid
+
+import pytest
+from conftest import board, change, details, history, issue, project
+
+from ticketmill import RunParams
+from ticketmill.schemas import DATA_TYPES
+from ticketmill.sinks import tables
+from ticketmill.sources import pages, runs
+from ticketmill.streaming.ingest import first_seen, run_stream
+
+SUFFIX = "20240601"
+
+
+@pytest.fixture
+def landing(tmp_path):
+    root = tmp_path / "landing"
+
+    def put(kind, name, *lines):
+        folder = root / kind
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{name}.json").write_text("\n".join(json.dumps(line) for line in lines))
+
+    put("projects", "a", {"request_id": "/rest/api/2/project", "values": [project()]})
+    put("details", "a", {"request_id": "/rest/api/2/project/10001", "body": details()})
+    request = "/rest/agile/1.0/board?projectKeyOrId=PROJ"
+    put("boards", "a", {"request_id": request, "startAt": 0, "values": [board(1), board(2)]})
+
+    def land(name, board_id, *issues):
+        request = f"/rest/agile/1.0/board/{board_id}/issue?expand=changelog"
+        put("issues", name, {"request_id": request, "startAt": 0, "issues": list(issues)})
+
+    return str(root), land
+
+
+def summaries(spark, params):
+    back = runs.read_run(spark, params.uri, "issues", params.suffix, params.fmt)
+    return sorted((r["id"], r["summary"]) for r in back.collect())
+
+
+def moved():
+    return [history(items=[change()])]
+
+
+def step(spark, uri, params, checkpoint):
+    query = run_stream(spark, uri, params, checkpoint)
+    query.awaitTermination()
+    assert query.exception() is None
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "jsonl"])
+def test_first_copy_wins_across_batches(spark, tmp_path, landing, fmt):
+    uri, land = landing
+    params = RunParams(str(tmp_path / "out"), SUFFIX, fmt)
+    checkpoint = str(tmp_path / "checkpoint")
+    land("one", 2, issue("5", summary="early", histories=moved()))
+    step(spark, uri, params, checkpoint)
+    land("two", 1, issue("5", summary="late", histories=moved()), issue("6", summary="new"))
+    step(spark, uri, params, checkpoint)
+    step(spark, uri, params, checkpoint)  # nothing new has landed
+    assert summaries(spark, params) == [(5, "early"), (6, "new")]
+    counts = {n: runs.read_run(spark, params.uri, n, SUFFIX, fmt).count() for n in DATA_TYPES}
+    assert counts == {"projects": 1, "releases": 0, "boards": 2, "issues": 2, "transitions": 1}
+
+
+def test_first_board_wins_within_a_batch(spark, tmp_path, landing):
+    uri, land = landing
+    land("b", 2, issue("5", summary="second board"))
+    land("a", 1, issue("5", summary="first board"))
+    params = RunParams(str(tmp_path / "out"), SUFFIX)
+    step(spark, uri, params, str(tmp_path / "checkpoint"))
+    assert summaries(spark, params) == [(5, "first board")]
+
+
+def test_a_batch_that_failed_is_run_again_without_doubles(spark, tmp_path, landing, monkeypatch):
+    uri, land = landing
+    land("a", 1, issue("5", histories=moved()))
+    database = f"db_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path}/db'")
+    params = RunParams(str(tmp_path / "out"), SUFFIX, database=database)
+    checkpoint = str(tmp_path / "checkpoint")
+    from ticketmill.streaming import ingest
+
+    real = ingest.load_all
+
+    def broken(*args, **kwargs):
+        real(*args, **kwargs)
+        raise RuntimeError("lost the driver here")
+
+    monkeypatch.setattr(ingest, "load_all", broken)
+    with pytest.raises(Exception, match="lost the driver"):
+        step(spark, uri, params, checkpoint)
+    monkeypatch.setattr(ingest, "load_all", real)
+    step(spark, uri, params, checkpoint)
+    assert summaries(spark, params) == [(5, "Test issue")]
+    for relation in ("issues", "transitions"):
+        assert spark.table(tables.table_name(relation, database)).count() == 1
+
+
+@pytest.mark.parametrize("lanes", [1, 4])
+def test_state_spans_micro_batches(spark, tmp_path, landing, lanes):
+    uri, land = landing
+    for n in range(4):
+        land(f"f{n}", 1, issue("5"), issue(str(n)))
+    stream = pages.items(pages.stream_pages(spark, f"{uri}/issues", files_per_batch=1))
+    keyed = stream.selectExpr("request_id", "get_json_object(body, '$.id') AS id")
+    query = (
+        first_seen(keyed, ["request_id", "id"], lanes=lanes)
+        .writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "cp"))
+        .trigger(availableNow=True)
+        .start(str(tmp_path / "out"))
+    )
+    query.awaitTermination()
+    found = sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert found == ["0", "1", "2", "3", "5"]

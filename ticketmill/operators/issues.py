@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ticketmill.functions import (
     custom_map,
@@ -53,13 +54,15 @@ def _epic_done() -> Column:
     return F.when(~F.is_variant_null(done), lax_bool(variant_text(done, "")))
 
 
-def _custom(custom_fields: Mapping[str, str], columns: Mapping[str, str]) -> Column:
+def _custom(custom_fields: Mapping[str, str], typed_fields: set[str]) -> Column:
     values = {}
     for name, field_id in custom_fields.items():
-        value = F.col("fields").getField(field_id)
-        known = columns.get(field_id) not in (None, "variant")
-        # A standard field mapped as a custom one is already typed; as JSON it reads the same.
-        values[name] = F.try_parse_json(F.to_json(value)) if known else value
+        if field_id in typed_fields:
+            # A standard field, parsed into a type of its own: read it once more as it is.
+            whole = F.try_parse_json("body")
+            values[name] = F.try_variant_get(whole, f"$.fields.{field_id}", "variant")
+        else:
+            values[name] = F.col("fields").getField(field_id)
     return custom_map(values)
 
 
@@ -70,7 +73,8 @@ def flatten_issues(parsed: DataFrame, custom_fields: Mapping[str, str] | None =
     null and never reject. The raw text is kept for invalid rows only, so it
     does not travel through the shuffles behind this step.
     """
-    types = {f.name: f.dataType.typeName() for f in parsed.schema["fields"].dataType.fields}
+    fields = parsed.schema["fields"].dataType.fields
+    standard = {f.name for f in fields if not isinstance(f.dataType, T.VariantType)}
     done = F.col("fields.epic.done")
     flat = parsed.select(
         "board_id",
@@ -101,7 +105,7 @@ def flatten_issues(parsed: DataFrame, custom_fields: Mapping[str, str] | None =
         labels_text(F.col("fields.labels")).alias("labels"),
         iso_ts(F.col("fields.created")).alias("created"),
         iso_ts(F.col("fields.updated")).alias("updated"),
-        _custom(custom_fields or {}, types).alias("custom_fields"),
+        _custom(custom_fields or {}, standard).alias("custom_fields"),
         tracked_histories(F.col("changelog.histories")).alias("histories"),
     )
     reason = first_reason(

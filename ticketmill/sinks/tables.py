@@ -51,8 +51,12 @@ def create_statement(
     widths: bool = False,
     buckets: int | None = None,
 ) -> str:
-    """DDL of one table. Ids are BIGINT on every target. With ``buckets`` the
-    table is clustered by its key, so a keyed insert need not shuffle it."""
+    """DDL of one table. Ids are BIGINT on every target.
+
+    With ``buckets`` the table is clustered by its key, so a keyed insert need
+    not shuffle it. Take at least ``spark.sql.shuffle.partitions`` buckets:
+    with fewer the planner shuffles anyway, for more parallel tasks.
+    """
     params.choice("custom_as", custom_as, tuple(SEMI_STRUCTURED))
     schema = RECORDS[params.one_data_type(relation)]
     limits = WIDTHS[relation] if widths else {}
