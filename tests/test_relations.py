@@ -296,7 +296,7 @@ def test_status_change(make_raw):
     got = one(transitions_of(make_raw, history(items=[change()])))
     assert str(got.pop("created")) == "2024-02-01 10:00:00"
     assert got == {
-        "transition_id": 100, "transition_field": "status", "transition_field_type": "jira",
+        "transition_id": 100, "transition_field": "status", "transition_field_type": "core",
         "issue_id": 1001, "issue_key": "PROJ-1", "hashed_author": _sha("Alice", "alice"),
         "from_id": "1", "from_string": "To Do", "to_id": "3", "to_string": "In Progress",
     }
@@ -417,3 +417,13 @@ def test_a_copy_outside_the_range_does_not_count_as_seen(make_raw):
     )
     found = build(raw, data_types=["issues"], start_date="2024-01-01")
     assert one(found["issues"])["summary"] == "inside"
+
+
+def test_a_session_outside_utc_is_refused(make_raw, spark):
+    raw = make_raw()
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            build(raw)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -125,6 +125,7 @@ def build(
     valid parents. ``stage`` may write a frame that several relations read.
     ``seen(project_id, entity_id)`` names issues an earlier batch has emitted.
     """
+    _need_utc(raw.projects.sparkSession)
     chosen = params.data_types(data_types)
     keys = params.name_list(project_keys)
     start, end = params.day("start_date", start_date), params.day("end_date", end_date)
@@ -149,6 +150,13 @@ def build(
     return Relations(chosen, checked)
 
 
+def _need_utc(spark: SparkSession) -> None:
+    """Release dates and date ranges carry no offset and mean UTC."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "Z", "GMT", "+00:00"):
+        raise ValueError(f"set spark.sql.session.timeZone to UTC; it is {zone!r}")
+
+
 def _valid(checked: DataFrame) -> DataFrame:
     return checked.where(F.col("reason").isNull())
 
