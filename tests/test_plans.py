@@ -95,6 +95,17 @@ def test_stop_rule_does_not_move_payloads(spark, tmp_path):
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
 
 
+def test_only_what_is_wanted_is_parsed(spark):
+    source = workload.raw(spark, SF)
+    issues = plan_of(build(source, data_types=["issues"])["issues"])
+    transitions = plan_of(build(source, data_types=["transitions"])["transitions"])
+    wire = "from_json(StructField(id,StringType,true), StructField(key"
+    read = {name: plan[plan.index(wire) :].split("_corrupt")[0]
+            for name, plan in (("issues", issues), ("transitions", transitions))}
+    assert "histories" not in read["issues"] and "priority" in read["issues"]
+    assert "histories" in read["transitions"] and "priority" not in read["transitions"]
+
+
 def test_wire_schema_holds_configured_fields_only(spark):
     df = spark.createDataFrame([(1, 1, "{}")], "board_id BIGINT, ord BIGINT, body STRING")
     parsed = parse_issues(df, {"a": "customfield_1", "b": "customfield_1", "c": "summary"})

@@ -21,6 +21,21 @@ def first_per_key(
     return ranked.where(F.col("_place") == 1).drop("_place")
 
 
+def without_present(
+    df: DataFrame, target: DataFrame, keys: Sequence[str], source: DataFrame | None = None
+) -> DataFrame:
+    """Rows whose key the target lacks; a null key is in no target.
+
+    The target is cut down to the keys at hand first. Where these are few that
+    is a broadcast of them (the planner's choice, by their size) and the
+    target, which keeps growing, is never shuffled. The keys are read from
+    ``source`` where that is cheaper to read than ``df``.
+    """
+    at_hand = (df if source is None else source).select(*keys).distinct()
+    present = target.select(*keys).join(at_hand, list(keys), "left_semi")
+    return df.join(present, list(keys), "left_anti")
+
+
 def first_board_wins(listed: DataFrame) -> DataFrame:
     """One copy per (project, issue id): that of the first board in listing
     order, then of the first place in that board's listing.

@@ -23,7 +23,12 @@ from ticketmill.operators.validity import first_reason
 from ticketmill.schemas import CORRUPT, issue_wire
 
 
-def parse_issues(issues: DataFrame, custom_fields: Mapping[str, str] | None = None) -> DataFrame:
+def parse_issues(
+    issues: DataFrame,
+    custom_fields: Mapping[str, str] | None = None,
+    details: bool = True,
+    histories: bool = True,
+) -> DataFrame:
     """``issues(board_id, ord, body)`` with the body parsed once into columns.
 
     The wire schema holds only the fields that are used, custom fields by
@@ -31,7 +36,7 @@ def parse_issues(issues: DataFrame, custom_fields: Mapping[str, str] | None = No
     ``inline`` keeps the parse in one place: a filter or projection on its
     output is not rewritten into another parse of the same text.
     """
-    wire = issue_wire(tuple((custom_fields or {}).values()))
+    wire = issue_wire(tuple((custom_fields or {}).values()), details, histories)
     parsed = F.from_json("body", wire, {"columnNameOfCorruptRecord": CORRUPT})
     return issues.select("board_id", "ord", "body", F.inline(F.array(parsed)))
 
@@ -66,24 +71,11 @@ def _custom(custom_fields: Mapping[str, str], typed_fields: set[str]) -> Column:
     return custom_map(values)
 
 
-def flatten_issues(parsed: DataFrame, custom_fields: Mapping[str, str] | None = None) -> DataFrame:
-    """The issue columns that come from the body, with ``reason`` and ``histories``.
-
-    An absent nested object reads as empty; bad nested ids and times become
-    null and never reject. The raw text is kept for invalid rows only, so it
-    does not travel through the shuffles behind this step.
-    """
+def _details(parsed: DataFrame, custom_fields: Mapping[str, str]) -> list[Column]:
+    """The columns of the issues relation that nothing but that relation reads."""
     fields = parsed.schema["fields"].dataType.fields
     standard = {f.name for f in fields if not isinstance(f.dataType, T.VariantType)}
-    done = F.col("fields.epic.done")
-    flat = parsed.select(
-        "board_id",
-        "ord",
-        "body",
-        CORRUPT,
-        F.nullif(F.col("id"), F.lit("")).alias("issue_ref"),
-        safe_int(F.col("id")).alias("id"),
-        "key",
+    return [
         safe_int(F.col("fields.issuetype.id")).alias("issuetype_id"),
         F.col("fields.issuetype.name").alias("issue_type"),
         safe_int(F.col("fields.parent.id")).alias("parent_task_id"),
@@ -99,15 +91,35 @@ def flatten_issues(parsed: DataFrame, custom_fields: Mapping[str, str] | None =
         F.col("fields.epic.key").alias("epic_key"),
         F.col("fields.epic.name").alias("epic_name"),
         first_truthy(F.col("fields.epic.summary")).alias("epic_summary"),
-        _epic_done().alias("epic_done"),
-        F.coalesce(done.isNotNull() & ~F.is_variant_null(done), F.lit(False)).alias("done_given"),
         F.col("fields.summary").alias("summary"),
         labels_text(F.col("fields.labels")).alias("labels"),
+        _custom(custom_fields, standard).alias("custom_fields"),
+    ]
+
+
+def flatten_issues(parsed: DataFrame, custom_fields: Mapping[str, str] | None = None) -> DataFrame:
+    """The issue columns that come from the body, with ``reason`` and ``histories``.
+
+    An absent nested object reads as empty; bad nested ids and times become
+    null and never reject. The raw text is kept for invalid rows only, so it
+    does not travel through the shuffles behind this step. Columns follow what
+    ``parse_issues`` was asked to read.
+    """
+    done = F.col("fields.epic.done")
+    columns = [
+        F.nullif(F.col("id"), F.lit("")).alias("issue_ref"),
+        safe_int(F.col("id")).alias("id"),
+        F.col("key"),
         iso_ts(F.col("fields.created")).alias("created"),
         iso_ts(F.col("fields.updated")).alias("updated"),
-        _custom(custom_fields or {}, standard).alias("custom_fields"),
-        tracked_histories(F.col("changelog.histories")).alias("histories"),
-    )
+        _epic_done().alias("epic_done"),
+        F.coalesce(done.isNotNull() & ~F.is_variant_null(done), F.lit(False)).alias("done_given"),
+    ]
+    if "summary" in parsed.schema["fields"].dataType.names:
+        columns += _details(parsed, custom_fields or {})
+    if "changelog" in parsed.columns:
+        columns.append(tracked_histories(F.col("changelog.histories")).alias("histories"))
+    flat = parsed.select("board_id", "ord", "body", CORRUPT, *columns)
     reason = first_reason(
         (F.col("issue_ref").isNull() & F.col(CORRUPT).isNotNull(), "body is no readable object"),
         (F.col("issue_ref").isNull(), "id is blank"),
@@ -139,15 +151,17 @@ def check_issues(
     start_date: str | None = None,
     end_date: str | None = None,
     custom_fields: Mapping[str, str] | None = None,
-    seen: DataFrame | None = None,
+    details: bool = True,
+    histories: bool = True,
 ) -> DataFrame:
     """Parse, date range, board join, first board wins; then the rows carry
     their ``reason``. An invalid copy still counts as the first one seen.
 
-    ``seen(project_id, entity_id)`` are issues that earlier batches emitted."""
-    flat = flatten_issues(parse_issues(issues, custom_fields), custom_fields)
+    ``details`` and ``histories`` say whether issues and transitions are
+    wanted; what is not wanted is not even parsed."""
+    parsed = parse_issues(issues, custom_fields, details, histories)
+    flat = flatten_issues(parsed, custom_fields)
     if start_date or end_date:
         flat = flat.where(in_date_range(F.col("created"), F.col("updated"), start_date, end_date))
     winners = first_board_wins(list_issues(flat, good_boards))
-    named = winners.withColumnRenamed("issue_ref", "entity_id").drop("board_id", "ord", "board_ord")
-    return named if seen is None else named.join(seen, ["project_id", "entity_id"], "left_anti")
+    return winners.withColumnRenamed("issue_ref", "entity_id").drop("board_id", "ord", "board_ord")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ticketmill import params
 from ticketmill.operators.boards import check_boards
+from ticketmill.operators.dedupe import without_present
 from ticketmill.operators.issues import check_issues
 from ticketmill.operators.projects import check_projects
 from ticketmill.operators.releases import check_releases
@@ -141,10 +142,19 @@ def build(
     if wanted & {"boards", "issues", "transitions"}:
         checked["boards"] = stage(check_boards(raw.boards, good_projects), "boards")
     if wanted & {"issues", "transitions"}:
-        issues = check_issues(raw.issues, _valid(checked["boards"]), start, end, custom, seen)
-        if "transitions" not in wanted:
-            issues = issues.drop("histories")
+        issues = check_issues(
+            raw.issues,
+            _valid(checked["boards"]),
+            start,
+            end,
+            custom,
+            details="issues" in wanted,
+            histories="transitions" in wanted,
+        )
         checked["issues"] = stage(issues, "issues")
+        if seen is not None:
+            fresh = without_present(checked["issues"], seen, ["project_id", "entity_id"])
+            checked["issues"] = stage(fresh, "fresh_issues")
     if "transitions" in wanted:
         checked["transitions"] = check_transitions(_valid(checked["issues"]))
     return Relations(chosen, checked)

@@ -202,31 +202,37 @@ _HISTORY = (
 )
 
 
-def issue_wire(custom_field_ids: tuple[str, ...] = ()) -> T.StructType:
-    """Wire schema of one issue body; configured custom fields arrive as VARIANT."""
-    fields = T.StructType.fromDDL(
-        "summary STRING, labels ARRAY<STRING>, created STRING, updated STRING, "
-        "status STRUCT<id: STRING, name: STRING, "
-        "statusCategory: STRUCT<id: STRING, name: STRING, colorName: STRING>>, "
-        "issuetype STRUCT<id: STRING, name: STRING>, "
-        "priority STRUCT<id: STRING, name: STRING>, "
-        "parent STRUCT<id: STRING, key: STRING>, "
-        "epic STRUCT<id: STRING, key: STRING, name: STRING, summary: STRING, done: VARIANT>"
-    )
+_ISSUE_TIMES = "created STRING, updated STRING"
+_ISSUE_DETAILS = (
+    "summary STRING, labels ARRAY<STRING>, "
+    "status STRUCT<id: STRING, name: STRING, "
+    "statusCategory: STRUCT<id: STRING, name: STRING, colorName: STRING>>, "
+    "issuetype STRUCT<id: STRING, name: STRING>, "
+    "priority STRUCT<id: STRING, name: STRING>, "
+    "parent STRUCT<id: STRING, key: STRING>, "
+    "epic STRUCT<id: STRING, key: STRING, name: STRING, summary: STRING, done: VARIANT>"
+)
+
+
+def issue_wire(
+    custom_field_ids: tuple[str, ...] = (), details: bool = True, histories: bool = True
+) -> T.StructType:
+    """Wire schema of one issue body; configured custom fields arrive as VARIANT.
+
+    Without ``details`` it holds only what decides whether the issue is valid
+    and in a date range; without ``histories`` no change history. What the
+    schema leaves out is skipped while parsing.
+    """
+    rest = _ISSUE_DETAILS if details else "epic STRUCT<done: VARIANT>"
+    fields = T.StructType.fromDDL(f"{_ISSUE_TIMES}, {rest}")
     known = set(fields.names)
-    for field_id in dict.fromkeys(custom_field_ids):
+    for field_id in dict.fromkeys(custom_field_ids if details else ()):
         if field_id not in known:
             fields = fields.add(field_id, T.VariantType())
-    changelog = T.StructType.fromDDL(f"histories ARRAY<{_HISTORY}>")
-    return T.StructType(
-        [
-            T.StructField("id", T.StringType()),
-            T.StructField("key", T.StringType()),
-            T.StructField("fields", fields),
-            T.StructField("changelog", changelog),
-            T.StructField(CORRUPT, T.StringType()),
-        ]
-    )
+    wire = T.StructType.fromDDL("id STRING, key STRING").add("fields", fields)
+    if histories:
+        wire = wire.add("changelog", T.StructType.fromDDL(f"histories ARRAY<{_HISTORY}>"))
+    return wire.add(CORRUPT, T.StringType())
 
 
 ENVELOPE = (

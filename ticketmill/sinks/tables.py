@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ticketmill import params
 from ticketmill.functions import json_text
-from ticketmill.operators.dedupe import first_per_key
+from ticketmill.operators.dedupe import first_per_key, without_present
 from ticketmill.operators.validity import typed
 from ticketmill.schemas import DATA_TYPES, KEYS, LOAD_ORDER, RECORDS, REQUIRED, WIDTHS
 from ticketmill.sources.runs import bulk_prefixes
@@ -136,17 +136,9 @@ def _insert(df: DataFrame, table: str) -> int:
 def absent_rows(
     df: DataFrame, target: DataFrame, keys: Iterable[str], order_by: Iterable[str | Column]
 ) -> DataFrame:
-    """Rows whose key the target lacks; of several with one key, the first.
-
-    The target is cut down to the incoming keys first. Where the batch is
-    small that is a broadcast of the batch's keys (the planner's choice, by
-    its size) and the target, which keeps growing, is never shuffled.
-    """
+    """Rows whose key the target lacks; of several with one key, the first."""
     keys = list(keys)
-    firsts = first_per_key(df, keys, list(order_by))
-    batch_keys = df.select(*keys).distinct()
-    present = target.select(*keys).join(batch_keys, keys, "left_semi")
-    return firsts.join(present, keys, "left_anti")
+    return without_present(first_per_key(df, keys, list(order_by)), target, keys, source=df)
 
 
 def load_order(df: DataFrame, relation: str) -> list[str]:

@@ -163,7 +163,8 @@ def s4_boards_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def s5_issues_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = W.issue_page_texts(W.issue_bodies(W.listing(spark, sf_dir)))
     found = issue_items(pages.parse_pages(texts, "value"))
-    flat = issue_ops.flatten_issues(issue_ops.parse_issues(found))
+    parsed = issue_ops.parse_issues(found, details=False, histories=False)
+    flat = issue_ops.flatten_issues(parsed)
     inside = issue_ops.in_date_range(F.col("created"), F.col("updated"), START, END)
     return flat.where(inside).select("board_id", "issue_ref", _micros("updated"))
 
@@ -205,19 +206,19 @@ def f1_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen["issues"].select("id", "project_id", _micros("created"), _micros("updated"))
 
 
-def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return issue_ops.parse_issues(W.issue_bodies(W.listing(spark, sf_dir)))
+def _parsed(spark: SparkSession, sf_dir: str, **needs: bool) -> DataFrame:
+    return issue_ops.parse_issues(W.issue_bodies(W.listing(spark, sf_dir)), **needs)
 
 
 def f4_tracked_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    histories = _parsed(spark, sf_dir).select(F.explode("changelog.histories").alias("h"))
+    histories = _parsed(spark, sf_dir, details=False).select(F.explode("changelog.histories").alias("h"))
     kept = histories.select(F.explode(transition_ops.tracked_items(F.col("h.items"))).alias("i"))
     return kept.groupBy(F.col("i.field").alias("field")).agg(F.count("*").alias("items"))
 
 
 def f5_history_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     every = F.col("changelog.histories")
-    sizes = _parsed(spark, sf_dir).select(
+    sizes = _parsed(spark, sf_dir, details=False).select(
         "board_id",
         F.size(every).alias("all"),
         F.size(transition_ops.numbered(every)).alias("kept"),
@@ -228,13 +229,13 @@ def f5_history_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def f6_issue_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = issue_ops.flatten_issues(_parsed(spark, sf_dir))
+    flat = issue_ops.flatten_issues(_parsed(spark, sf_dir, details=False, histories=False))
     named = flat.where(F.col("issue_ref").isNotNull())
     return named.groupBy("board_id", "issue_ref").agg(F.count("*").alias("entries"))
 
 
 def p6_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = issue_ops.flatten_issues(_parsed(spark, sf_dir))
+    flat = issue_ops.flatten_issues(_parsed(spark, sf_dir, histories=False))
     return flat.groupBy("board_id", "labels").agg(F.count("*").alias("entries"))
 
 
@@ -287,7 +288,7 @@ def v_rejected_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def v_nulled_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bad nested ids and bad times that became null without rejecting the row."""
-    flat = issue_ops.flatten_issues(_parsed(spark, sf_dir))
+    flat = issue_ops.flatten_issues(_parsed(spark, sf_dir, histories=False))
 
     def nulls(name: str) -> Column:
         return F.count(F.when(F.col(name).isNull(), 1)).alias(name)
