@@ -677,21 +677,26 @@ def x_parse_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming ------------------------------------------------------------------
 
 
-def _land_boards(spark: SparkSession, sf_dir: str, uri: str, slot: int) -> None:
-    """Land the issue pages of every project's board number ``slot``."""
-    entries = W.listing(spark, sf_dir).where(F.col("board_id") % W.BOARDS_PER_PROJECT == slot)
+# The board places of every project that land together.
+ARRIVALS = ((0, 1), (2, 3))
+
+
+def _land_boards(spark: SparkSession, sf_dir: str, uri: str, places: tuple[int, ...]) -> None:
+    """Land the issue pages of every project's boards at these places."""
+    place = F.col("board_id") % W.BOARDS_PER_PROJECT
+    entries = W.listing(spark, sf_dir).where(place.isin(*places))
     W.issue_page_texts(W.issue_bodies(entries)).write.mode("append").text(f"{uri}/issues")
 
 
 def _streamed(spark: SparkSession, sf_dir: str) -> str:
-    """Four arrivals of pages, one per board place, each followed by the query's
-    next run. Earlier boards arrive first, so the outcome is that of a batch."""
+    """Two arrivals of pages, each followed by the query's next run. Earlier
+    boards arrive first, so the outcome is that of a batch."""
     landing, out = storage.work_folder(spark, "landing"), _outbox(spark)
     checkpoint = storage.work_folder(spark, "stream")
     W.land_dimensions(spark, sf_dir, landing)
     params = RunParams(out, SUFFIX)
-    for slot in range(W.BOARDS_PER_PROJECT):
-        _land_boards(spark, sf_dir, landing, slot)
+    for places in ARRIVALS:
+        _land_boards(spark, sf_dir, landing, places)
         run_stream(spark, landing, params, checkpoint).awaitTermination()
     return out
 
@@ -704,8 +709,8 @@ def t1_stream_matches_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def t2_stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct (board, issue) pairs of a page stream, state kept across batches."""
     landing, out = storage.work_folder(spark, "landing"), _outbox(spark)
-    for slot in range(W.BOARDS_PER_PROJECT):
-        _land_boards(spark, sf_dir, landing, slot)
+    for places in ARRIVALS:
+        _land_boards(spark, sf_dir, landing, places)
     found = pages.items(pages.stream_pages(spark, f"{landing}/issues", files_per_batch=8)).select(
         pages.board_of_request(F.col("request_id")).alias("board_id"),
         F.get_json_object("body", "$.id").alias("issue_ref"),
