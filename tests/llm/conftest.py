@@ -1,0 +1 @@
+"""The session and the sample tables come from the folder above."""
