@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm import bpe, counts
+from ticketmill.llm import bpe, counts, mixing, secrets, topk
 
 BPE_RANKS = "byte_bpe_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
@@ -20,20 +20,34 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = mixing.repetitions(spark, _table(spark, sf_dir, "documents"))
+    words = (F.col("copies") * F.col("size")).alias("taken")
+    return taken.select("doc_id", "size", "source_size", "target", words)
+
+
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path(BPE_RANKS)
     coded = bpe.encode(spark, _table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
     return bpe.digests(bpe.decode(spark, coded, ranks))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(secrets.scan(_table(spark, sf_dir, "documents")))
+
+
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark, _table(spark, sf_dir, "embeddings"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(spark, _table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
 def queries() -> dict[str, Query]:
-    found = [op2_bpe_round_trip, op10_token_counts]
+    found = [op1_mix_sources, op2_bpe_round_trip, op8_secret_scan, op9_exact_top_k, op10_token_counts]
     return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_mix_sources": mixing.ORACLE_SQL, "op9_exact_top_k": topk.ORACLE_SQL}
