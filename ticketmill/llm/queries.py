@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm import bpe, counts, mixing, secrets, topk
+from ticketmill.llm import bpe, counts, mixing, nearcopies, secrets, topk
 
 BPE_RANKS = "byte_bpe_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
@@ -32,6 +32,10 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(spark, coded, ranks))
 
 
+def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearcopies.classes(spark, _table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.scan(_table(spark, sf_dir, "documents")))
 
@@ -45,7 +49,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_mix_sources, op2_bpe_round_trip, op8_secret_scan, op9_exact_top_k, op10_token_counts]
+    found = [op1_mix_sources, op2_bpe_round_trip, op6_near_copies, op8_secret_scan, op9_exact_top_k, op10_token_counts]
     return {query.__name__: query for query in found}
 
 
