@@ -6,20 +6,47 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ticketmill.llm import bpe
+from ticketmill.llm import bpe, mixing, nearcopies, quality, secrets
 from ticketmill.llm.common import staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules."""
+    return quality.kept(spark, docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    return nearcopies.deduplicated(spark, docs)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with their secrets replaced, and the length that they have then."""
+    return secrets.masked(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the target weights of the sources take it."""
+    return mixing.repeated(spark, docs)
+
+
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, checked by their way back."""
+    """Token ids of every document of the mix, as digests, checked by their way back."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.digests(bpe.decode(spark, bpe.encode(spark, docs, ranks, public_tokenizers.PATTERN), ranks))
 
 
-STAGES: list[tuple[str, Stage]] = [("bpe", encode_texts)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", drop_poor),
+    ("near_copies", drop_near_copies),
+    ("secrets", mask_secrets),
+    ("mix", mix_sources),
+    ("bpe", encode_texts),
+]
 
 #: Quality, similarity and novelty verdicts and the token ids have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

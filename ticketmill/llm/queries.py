@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm import bpe, counts, mixing, nearcopies, secrets, topk
+from ticketmill.llm import bpe, counts, mixing, nearcopies, quality, secrets, topk
 
 BPE_RANKS = "byte_bpe_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
@@ -32,6 +32,11 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(spark, coded, ranks))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.verdicts(spark, _table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", *quality.FEATURES, "base_failed", "kept", "log_perplexity")
+
+
 def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearcopies.classes(spark, _table(spark, sf_dir, "documents"))
 
@@ -49,7 +54,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_mix_sources, op2_bpe_round_trip, op6_near_copies, op8_secret_scan, op9_exact_top_k, op10_token_counts]
+    found = [op1_mix_sources, op2_bpe_round_trip, op5_quality_rules, op6_near_copies, op8_secret_scan, op9_exact_top_k, op10_token_counts]
     return {query.__name__: query for query in found}
 
 
