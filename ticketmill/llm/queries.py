@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm import bpe, counts, mixing, nearcopies, quality, secrets, topk
+from ticketmill.llm import bpe, chats, counts, mixing, nearcopies, quality, secrets, topk, warc
 
 BPE_RANKS = "byte_bpe_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
@@ -32,6 +32,16 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(spark, coded, ranks))
 
 
+def op3_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a record; a replica with known faults is audited against the archive."""
+    records = warc.archive(spark, _table(spark, sf_dir, "pages"))
+    return warc.audit(spark, records, warc.with_faults(records))
+
+
+def op4_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chats.rendered(spark, _table(spark, sf_dir, "conversations"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.verdicts(spark, _table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *quality.FEATURES, "base_failed", "kept", "log_perplexity")
@@ -54,9 +64,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_mix_sources, op2_bpe_round_trip, op5_quality_rules, op6_near_copies, op8_secret_scan, op9_exact_top_k, op10_token_counts]
+    found = [op1_mix_sources, op2_bpe_round_trip, op3_warc_audit, op4_chat_snapshots, op5_quality_rules, op6_near_copies, op8_secret_scan, op9_exact_top_k, op10_token_counts]
     return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": mixing.ORACLE_SQL, "op9_exact_top_k": topk.ORACLE_SQL}
+    return {"op1_mix_sources": mixing.ORACLE_SQL, "op3_warc_audit": warc.ORACLE_SQL, "op4_chat_snapshots": chats.ORACLE_SQL, "op9_exact_top_k": topk.ORACLE_SQL}
