@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm import bpe, chats, counts, mixing, nearcopies, quality, secrets, topk, warc
+from ticketmill.llm import bpe, chats, counts, mixing, nearcopies, quality, secrets, topk, toxicity, warc
 
 BPE_RANKS = "byte_bpe_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
@@ -51,6 +51,11 @@ def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearcopies.classes(spark, _table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.scored(spark, docs, toxicity.fit_chain(spark, docs, _table(spark, sf_dir, "labels")))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.scan(_table(spark, sf_dir, "documents")))
 
@@ -64,7 +69,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_mix_sources, op2_bpe_round_trip, op3_warc_audit, op4_chat_snapshots, op5_quality_rules, op6_near_copies, op8_secret_scan, op9_exact_top_k, op10_token_counts]
+    found = [op1_mix_sources, op2_bpe_round_trip, op3_warc_audit, op4_chat_snapshots, op5_quality_rules, op6_near_copies, op7_toxicity_chain, op8_secret_scan, op9_exact_top_k, op10_token_counts]
     return {query.__name__: query for query in found}
 
 
