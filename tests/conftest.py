@@ -23,6 +23,8 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "8g")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("work")))
+        .config("spark.executorEnv.PYTHONPATH", str(ROOT))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

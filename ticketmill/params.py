@@ -13,6 +13,7 @@ from ticketmill.schemas import DATA_TYPES
 FORMATS = ("parquet", "csv", "jsonl")
 MODES = ("replace", "append")
 LOAD_MODES = ("keyed", "plain", "bulk")
+CUSTOM_FORMS = ("map", "variant", "json")
 DEFAULT_MAX_ROWS = 10_000
 
 
@@ -102,6 +103,16 @@ class RunParams:
     custom_fields: str | Mapping[str, str] | None = field(default=None)
     database: str | None = None
     load_mode: str = "keyed"
+    swap: bool = False
+    """Replace a run by writing aside and moving in place."""
+    multi_line: bool = False
+    """Landed files hold one pretty-printed response each."""
+    keep_rejects: bool = False
+    """Write rejected rows to ``{uri}/rejects/rejects_{suffix}`` as JSON Lines."""
+    prefix: str | None = None
+    custom_as: str = "map"
+    widths: bool = False
+    buckets: int | None = None
 
     def __post_init__(self) -> None:
         put = object.__setattr__
@@ -116,5 +127,8 @@ class RunParams:
         put(self, "start_date", day("start_date", self.start_date))
         put(self, "end_date", day("end_date", self.end_date))
         put(self, "custom_fields", custom_fields(self.custom_fields))
+        choice("custom_as", self.custom_as, CUSTOM_FORMS)
+        if self.buckets is not None:
+            max_rows(self.buckets)
         if self.load_mode == "bulk" and self.fmt != "parquet":
             raise ValueError("bulk load reads the written run back, so it needs fmt='parquet'")

@@ -26,6 +26,8 @@ from ticketmill.sources.pages import (
     projects_by_key,
     scan_details,
     scan_pages,
+    torn_rejects,
+    whole_pages,
 )
 from ticketmill.sources.storage import Stage, unstaged
 
@@ -43,6 +45,8 @@ class Raw:
     details: DataFrame
     boards: DataFrame
     issues: DataFrame
+    torn: DataFrame | None = None
+    """Landed lines that are no JSON, in the columns of rejects."""
 
 
 def board_items(pages: DataFrame, stage: Stage = unstaged) -> DataFrame:
@@ -52,28 +56,46 @@ def board_items(pages: DataFrame, stage: Stage = unstaged) -> DataFrame:
     )
 
 
-def issue_items(pages: DataFrame, stage: Stage = unstaged) -> DataFrame:
-    """Issue listings: the paged items keyed by the board they were read for."""
-    return paged_items(pages, stage, "issue_strays").select(
+def issue_items(
+    pages: DataFrame, stage: Stage = unstaged, earlier: DataFrame | None = None
+) -> DataFrame:
+    """Issue listings: the paged items keyed by the board they were read for.
+
+    ``earlier`` is the ledger of pages that earlier batches have read.
+    """
+    return paged_items(pages, stage, "issue_strays", earlier).select(
         board_of_request(F.col("request_id")).alias("board_id"), "ord", "body"
     )
 
 
 def landed(
-    spark: SparkSession, uri: str, stage: Stage = unstaged, issue_pages: DataFrame | None = None
+    spark: SparkSession,
+    uri: str,
+    stage: Stage = unstaged,
+    issue_pages: DataFrame | None = None,
+    earlier: DataFrame | None = None,
+    multi_line: bool = False,
 ) -> Raw:
     """Raw items of a landing folder: projects/, details/, boards/ and issues/.
 
-    ``issue_pages`` takes the place of the issues folder, as a micro-batch does.
+    ``issue_pages`` takes the place of the issues folder, as a micro-batch does,
+    and ``earlier`` is the ledger of the pages before it. With a stage that
+    writes, landed files are read once: the stop rule reads the ledger columns
+    of the staged pages, the items their payload, and torn lines are kept.
     """
     uri = params.root(uri)
     if issue_pages is None:
-        issue_pages = scan_pages(spark, f"{uri}/issues")
+        issue_pages = stage(scan_pages(spark, f"{uri}/issues", multi_line), "issue_pages")
+    project_pages = stage(scan_pages(spark, f"{uri}/projects", multi_line), "project_pages")
+    board_pages = stage(scan_pages(spark, f"{uri}/boards", multi_line), "board_pages")
+    details = stage(scan_details(spark, f"{uri}/details", multi_line), "detail_pages")
+    torn = [torn_rejects(pages) for pages in (project_pages, board_pages, issue_pages)]
     return Raw(
-        projects=items(scan_pages(spark, f"{uri}/projects")).select("body"),
-        details=scan_details(spark, f"{uri}/details"),
-        boards=board_items(scan_pages(spark, f"{uri}/boards"), stage),
-        issues=issue_items(issue_pages, stage),
+        projects=items(whole_pages(project_pages)).select("body"),
+        details=whole_pages(details).drop("torn"),
+        boards=board_items(board_pages, stage),
+        issues=issue_items(issue_pages, stage, earlier),
+        torn=reduce(DataFrame.unionByName, [*torn, torn_rejects(details, "path")]),
     )
 
 
@@ -83,6 +105,7 @@ class Relations:
 
     data_types: tuple[str, ...]
     checked: Mapping[str, DataFrame]
+    torn: DataFrame | None = None
 
     def __getitem__(self, relation: str) -> DataFrame:
         """The valid rows of one selected relation."""
@@ -103,8 +126,10 @@ class Relations:
         }
 
     def rejects(self) -> DataFrame:
-        """Invalid rows of every relation that had to be built, as one long frame."""
+        """Torn lines and the invalid rows of every relation that had to be built."""
         parts = [rejects(df, name) for name, df in self.checked.items()]
+        if self.torn is not None:
+            parts.append(self.torn)
         return reduce(DataFrame.unionByName, parts).to(REJECTS)
 
 
@@ -157,7 +182,7 @@ def build(
             checked["issues"] = stage(fresh, "fresh_issues")
     if "transitions" in wanted:
         checked["transitions"] = check_transitions(_valid(checked["issues"]))
-    return Relations(chosen, checked)
+    return Relations(chosen, checked, raw.torn)
 
 
 def _need_utc(spark: SparkSession) -> None:

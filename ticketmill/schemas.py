@@ -237,6 +237,6 @@ def issue_wire(
 
 ENVELOPE = (
     "request_id STRING, startAt BIGINT, maxResults BIGINT, total BIGINT, isLast BOOLEAN, "
-    "`values` ARRAY<STRING>, issues ARRAY<STRING>"
+    f"`values` ARRAY<STRING>, issues ARRAY<STRING>, {CORRUPT} STRING"
 )
-DETAIL_ENVELOPE = "request_id STRING, body STRING"
+DETAIL_ENVELOPE = f"request_id STRING, body STRING, {CORRUPT} STRING"

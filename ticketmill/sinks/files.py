@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ticketmill import params
@@ -31,7 +31,7 @@ def write_run(
     mode: str = "replace",
     max_rows: int = params.DEFAULT_MAX_ROWS,
     swap: bool = False,
-) -> None:
+) -> dict[str, int]:
     """Write every given relation; other relations and other suffixes stay as they are.
 
     ``replace`` leaves exactly this run's rows, none at all for an empty
@@ -39,8 +39,10 @@ def write_run(
     ``max_rows`` rows. Each relation is first asked whether it has a row, so
     give frames that are cheap to start, such as staged ones. With ``swap``,
     a replaced run is written aside and moved in place when it is complete,
-    which keeps the old run through a crash (cheap where a rename is).
+    which keeps the old run through a crash (cheap where a rename is). Returns
+    the rows written of each relation, counted while they are written.
     """
+    counts: dict[str, int] = {}
     run_suffix = params.suffix(suffix)
     params.choice("format", fmt, params.FORMATS)
     params.choice("mode", mode, params.MODES)
@@ -48,24 +50,27 @@ def write_run(
     for data_type, df in relations.items():
         path = run_path(uri, data_type, run_suffix)
         spark = df.sparkSession
+        counts[data_type] = 0
         if df.isEmpty():
             if mode == "replace":
                 storage.delete(spark, path)
         elif swap and mode == "replace":
             aside = f"{params.root(uri)}/{data_type}/_{data_type}_{run_suffix}-{uuid.uuid4().hex}"
-            save_parts(df, data_type, aside, fmt, max_rows, "error")
+            counts[data_type] = save_parts(df, data_type, aside, fmt, max_rows, "error")
             storage.delete(spark, path)
             storage.rename(spark, aside, path)
         else:
             how = "overwrite" if mode == "replace" else "append"
-            save_parts(df, data_type, path, fmt, max_rows, how)
+            counts[data_type] = save_parts(df, data_type, path, fmt, max_rows, how)
+    return counts
 
 
 def save_parts(
     df: DataFrame, data_type: str, path: str, fmt: str, max_rows: int, how: str
-) -> None:
-    """Part files of one relation in one folder, in its declared schema."""
-    out = typed(df, data_type)
+) -> int:
+    """Part files of one relation in one folder, in its declared schema; the rows written."""
+    seen = Observation()
+    out = typed(df, data_type).observe(seen, F.count(F.lit(1)).alias("rows"))
     if fmt == "csv" and data_type == "issues":
         out = out.withColumn("custom_fields", json_text(F.col("custom_fields")))
     writer = out.write.mode(how).option("maxRecordsPerFile", max_rows)
@@ -77,3 +82,12 @@ def save_parts(
         ).csv(path)
     else:
         writer.options(ignoreNullFields=False, timestampFormat=TEXT_TIME).json(path)
+    return int(seen.get["rows"])
+
+
+def write_rejects(
+    rejected: DataFrame, uri: str, suffix: str, mode: str = "replace", part: str = ""
+) -> None:
+    """Rejected rows as JSON Lines under {uri}/rejects/rejects_{suffix}."""
+    path = f"{params.root(uri)}/rejects/rejects_{params.suffix(suffix)}{part}"
+    rejected.write.mode("overwrite" if mode == "replace" else "append").json(path)

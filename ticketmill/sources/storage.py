@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -32,6 +31,12 @@ def has_files(spark: SparkSession, uri: str) -> bool:
 def delete(spark: SparkSession, uri: str) -> None:
     fs, path = _path(spark, uri)
     fs.delete(path, True)
+    fs.cancelDeleteOnExit(path)
+
+
+def make_folder(spark: SparkSession, uri: str) -> None:
+    fs, path = _path(spark, uri)
+    fs.mkdirs(path)
 
 
 def rename(spark: SparkSession, source: str, target: str) -> None:
@@ -45,15 +50,11 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
 def work_folder(spark: SparkSession, label: str = "work") -> str:
     """A new folder that every executor can reach, dropped when the driver ends.
 
-    It lies in the folder the cluster names in ``spark.checkpoint.dir``. Where
-    that is unset (tests on one machine) a local temporary folder is used.
+    It lies in the folder the cluster names in ``spark.checkpoint.dir``.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="ticketmill-")
-        _drop_at_exit(spark, base)
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     _drop_at_exit(spark, folder)
     return folder

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ticketmill.params import RunParams
+from ticketmill.plans.pipeline import make_tables
 from ticketmill.plans.relations import Relations, build, landed
-from ticketmill.sinks.files import run_path, save_parts, write_run
-from ticketmill.sinks.tables import ensure_tables, load_all
+from ticketmill.sinks.files import run_path, save_parts, write_rejects, write_run
+from ticketmill.sinks.tables import PREFIX, load_all
 from ticketmill.sources import storage
-from ticketmill.sources.pages import stream_pages
+from ticketmill.sources.pages import ledger, stream_pages
 
 _SEEN = "project_id BIGINT, entity_id STRING"
+_LEDGER = "request_id STRING, start_at BIGINT, total BIGINT, is_last BOOLEAN, received BIGINT"
+_PARKED = "board_id BIGINT, ord STRUCT<start_at: BIGINT, pos: INT>, body STRING"
 
 
 def run_stream(
@@ -29,64 +34,115 @@ def run_stream(
     Projects, details and boards are read as they are landed when a batch
     starts, and rewritten whole. Issues and transitions of batch n go to the
     folder ``batch_id=n`` of their run, so a batch that is run again after a
-    failure replaces its own parts. The first copy of an issue in a project
-    wins across batches: earlier batches' issues are kept under ``checkpoint``
-    as a table, which grows with the number of issues and is joined, not held
-    in memory. With ``once`` the query stops when the landed files are read.
+    failure replaces its own parts; the first batch of a new checkpoint clears
+    what an earlier run of the same suffix has left there.
+
+    What spans batches is kept as tables under ``checkpoint``, which are joined
+    and not held in memory: the issues emitted (the first copy of an issue in a
+    project wins), a ledger of the pages read (a page behind its request's stop
+    is not read, whichever batch holds the stop; one that came in a batch
+    before its stop has been read), and the entries whose board has not landed
+    yet, which the next batch takes up again.
+
+    Only ``mode="replace"`` and keyed loads hold up when a batch is run again,
+    so others are refused. With ``once`` the query stops when the landed files
+    are read.
     """
-    if params.database:
-        ensure_tables(spark, params.database)
+    if params.mode != "replace" or params.load_mode != "keyed":
+        raise ValueError("a stream takes mode='replace' and load_mode='keyed' only")
+    prefix = make_tables(spark, params) if params.database else PREFIX
 
     def ingest(pages: DataFrame, batch_id: int) -> None:
         session = pages.sparkSession
+        _clear_once(session, checkpoint, params)
         folder = storage.work_folder(session, "batch")
-        stage = storage.stage_in(session, folder)
-        built = build(
-            landed(session, landing_uri, stage, pages),
-            params.data_types,
-            params.project_keys,
-            params.start_date,
-            params.end_date,
-            params.custom_fields,
-            stage=stage,
-            seen=seen_before(session, checkpoint, batch_id),
-        )
-        _write_batch(built, params, batch_id)
-        if params.database:
-            load_all(built.loadable(), params.database)
-        if "issues" in built.checked:
-            # Last, so that a batch which failed earlier does not see itself.
-            taken = built.checked["issues"].where(F.col("entity_id").isNotNull())
-            taken.select("project_id", "entity_id").write.mode("overwrite").parquet(
-                f"{_seen_root(checkpoint)}/batch_id={batch_id}"
-            )
-        storage.delete(session, folder)
+        try:
+            _ingest(session, landing_uri, params, checkpoint, prefix, pages, batch_id, folder)
+        finally:
+            storage.delete(session, folder)
 
     writer = (
-        stream_pages(spark, f"{landing_uri}/issues", files_per_batch)
+        stream_pages(spark, f"{landing_uri}/issues", files_per_batch, params.multi_line)
         .writeStream.foreachBatch(ingest)
         .option("checkpointLocation", f"{checkpoint.rstrip('/')}/query")
     )
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def _seen_root(checkpoint: str) -> str:
-    return f"{checkpoint.rstrip('/')}/seen"
+def _ingest(
+    spark: SparkSession, landing_uri: str, params: RunParams, checkpoint: str, prefix: str,
+    pages: DataFrame, batch_id: int, folder: str,
+) -> None:
+    stage = storage.stage_in(spark, folder)
+    pages = stage(pages, "issue_pages")
+    earlier = _before(spark, checkpoint, "ledger", _LEDGER, batch_id)
+    raw = landed(spark, landing_uri, stage, pages, earlier, params.multi_line)
+    # Only the last batch's entries: it has taken up those of the one before.
+    parked = _before(spark, checkpoint, "parked", _PARKED, batch_id, only_last=True)
+    if parked is not None:
+        raw = replace(raw, issues=raw.issues.unionByName(parked))
+    raw = replace(raw, issues=stage(raw.issues, "entries"))
+    built = build(
+        raw,
+        params.data_types,
+        params.project_keys,
+        params.start_date,
+        params.end_date,
+        params.custom_fields,
+        stage=stage,
+        seen=_before(spark, checkpoint, "seen", _SEEN, batch_id),
+    )
+    _write_batch(built, params, batch_id)
+    if params.keep_rejects and built.checked:
+        write_rejects(built.rejects(), params.uri, params.suffix, part=f"/batch_id={batch_id}")
+    if params.database:
+        load_all(built.loadable(), params.database, prefix=prefix)
+    # Last, so that a batch which failed earlier does not see itself.
+    _keep(checkpoint, "ledger", batch_id, ledger(pages))
+    if "issues" in built.checked:
+        taken = built.checked["issues"].where(F.col("entity_id").isNotNull())
+        _keep(checkpoint, "seen", batch_id, taken.select("project_id", "entity_id"))
+        known = built.checked["boards"].select("board_id")
+        _keep(checkpoint, "parked", batch_id, raw.issues.join(known, "board_id", "left_anti"))
+
+
+def _state(checkpoint: str, name: str) -> str:
+    return f"{checkpoint.rstrip('/')}/{name}"
 
 
-def seen_before(spark: SparkSession, checkpoint: str, batch_id: int) -> DataFrame | None:
-    """(project, issue) pairs that batches before this one have emitted."""
-    root = _seen_root(checkpoint)
+def _keep(checkpoint: str, name: str, batch_id: int, df: DataFrame) -> None:
+    df.write.mode("overwrite").parquet(f"{_state(checkpoint, name)}/batch_id={batch_id}")
+
+
+def _before(
+    spark: SparkSession, checkpoint: str, name: str, kind: str, batch_id: int,
+    only_last: bool = False,
+) -> DataFrame | None:
+    """What batches before this one have kept; None where there is nothing."""
+    root = _state(checkpoint, name)
     if not storage.has_files(spark, root):
         return None
-    table = spark.read.schema(f"{_SEEN}, batch_id BIGINT").parquet(root)
-    return table.where(F.col("batch_id") < batch_id).drop("batch_id")
+    table = spark.read.schema(f"{kind}, batch_id BIGINT").parquet(root)
+    wanted = F.col("batch_id") == batch_id - 1 if only_last else F.col("batch_id") < batch_id
+    return table.where(wanted).drop("batch_id")
+
+
+def _clear_once(spark: SparkSession, checkpoint: str, params: RunParams) -> None:
+    """A new checkpoint replaces the run: an earlier one's parts go, once."""
+    mark = _state(checkpoint, "started")
+    if storage.has_files(spark, mark):
+        return
+    for name in ("issues", "transitions"):
+        storage.delete(spark, run_path(params.uri, name, params.suffix))
+    spark.range(1).write.mode("overwrite").parquet(mark)
 
 
 def _write_batch(built: Relations, params: RunParams, batch_id: int) -> None:
     parts = built.as_dict()
     whole = {name: df for name, df in parts.items() if name not in ("issues", "transitions")}
-    write_run(whole, params.uri, params.suffix, params.fmt, "replace", params.max_rows)
+    write_run(
+        whole, params.uri, params.suffix, params.fmt, "replace", params.max_rows, params.swap
+    )
     for name, df in parts.items():
         if name not in whole:
             path = f"{run_path(params.uri, name, params.suffix)}/batch_id={batch_id}"

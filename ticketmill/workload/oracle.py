@@ -231,6 +231,12 @@ _PAGE = """SELECT o_orderkey, o_orderkey // 600 AS r, (o_orderkey % 600) // 150
 _FIRST_LOADS = """SELECT * FROM (SELECT *, row_number() OVER (
     PARTITION BY transition_id, issue_id, transition_field
     ORDER BY project_id, hist_ord, item_ord) AS place FROM tr) WHERE place = 1"""
+_REJECTS = """SELECT relation, reason, count(*) AS rejects FROM (
+                SELECT 'projects' AS relation, reason FROM pj
+                UNION ALL SELECT 'releases', reason FROM rl
+                UNION ALL SELECT 'boards', reason FROM bd
+                UNION ALL SELECT 'issues', reason FROM winner)
+            WHERE reason IS NOT NULL GROUP BY relation, reason"""
 _RECORDS = "SELECT data_type, count(*) AS records FROM ids GROUP BY data_type"
 
 
@@ -258,20 +264,32 @@ def oracle_sql() -> dict[str, str]:
             CAST(o_orderkey AS VARCHAR) AS item FROM ({_PAGE})
             WHERE CASE r % 4 WHEN 0 THEN true WHEN 1 THEN page <= 2 WHEN 2 THEN page < 1
                   ELSE page <= 1 END""",
+        "s1_torn_pages": f"""SELECT 'item' AS kind, r AS request, CAST(o_orderkey AS VARCHAR) AS value
+            FROM ({_PAGE}) WHERE CASE r % 4 WHEN 0 THEN true WHEN 1 THEN page <= 2 WHEN 2 THEN page < 1
+                  ELSE page <= 1 END AND NOT (r % 6 = 0 AND page = 2)
+            UNION ALL SELECT DISTINCT 'torn', r, 'line is no readable page' FROM ({_PAGE})
+            WHERE r % 6 = 0 AND page = 2""",
+        "t4_stop_across_batches": f"""SELECT r AS request, 150 * page + pos AS place,
+            CAST(o_orderkey AS VARCHAR) AS item FROM ({_PAGE})
+            WHERE CASE r % 4 WHEN 0 THEN true WHEN 1 THEN page <= 2 WHEN 2 THEN page < 1
+                  ELSE page <= 1 END""",
         "s1b_page_audit": f"""
-            WITH p AS (SELECT r, page, CASE WHEN r % 4 = 2 AND page = 1 THEN 0 ELSE count(*) END
+            WITH p AS (SELECT r, page, 150 * page - CASE WHEN r % 7 = 0 AND page = 3 THEN 50 ELSE 0 END
+                              AS start,
+                              CASE WHEN r % 4 = 2 AND page = 1 THEN 0 ELSE count(*) END
                            AS n FROM ({_PAGE}) GROUP BY r, page),
-            kept AS (SELECT * FROM p WHERE NOT (r % 5 = 0 AND page = 1)),
-            gaps AS (SELECT *, max(150 * page + n) OVER (PARTITION BY r ORDER BY page
-                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM kept),
-            a AS (SELECT r, count(*) AS pages, CAST(sum(n) AS BIGINT) AS received,
+            kept AS (SELECT * FROM p WHERE NOT (r % 5 = 0 AND page = 1) AND NOT (r % 12 = 1 AND page = 2)),
+            gaps AS (SELECT *, coalesce(max(start + n) OVER (PARTITION BY r ORDER BY start
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS reach FROM kept),
+            a AS (SELECT r, count(*) AS pages,
+                         CAST(sum(greatest(start + n - greatest(reach, start), 0)) AS BIGINT) AS received,
+                         bool_or(n = 0 OR (r % 4 = 1 AND page = 2)) AS stopped,
                          CAST(CASE r % 4 WHEN 0 THEN 600 WHEN 3 THEN 300 END AS BIGINT)
                              AS announced,
-                         CAST(sum(CASE WHEN 150 * page > coalesce(reach, 0) THEN 1 ELSE 0 END)
-                              AS BIGINT) AS gaps
+                         CAST(sum(CASE WHEN start > reach THEN 1 ELSE 0 END) AS BIGINT) AS gaps
                   FROM gaps GROUP BY r)
             SELECT r AS request, pages, received, announced, gaps,
-                   gaps = 0 AND (announced IS NULL OR received >= announced) AS complete FROM a""",
+                   gaps = 0 AND coalesce(received >= announced, stopped) AS complete FROM a""",
         "s2_projects_by_key": """SELECT CASE WHEN c_custkey % 24 = 23 THEN 'x' ELSE '' END
             || c_custkey AS id, 'P' || c_custkey AS key FROM customer
             WHERE c_mktsegment = 'BUILDING'""",
@@ -351,12 +369,7 @@ def oracle_sql() -> dict[str, str]:
             "iss",
         ),
         "v_rejects_by_reason": _with(
-            """SELECT relation, reason, count(*) AS rejects FROM (
-                SELECT 'projects' AS relation, reason FROM pj
-                UNION ALL SELECT 'releases', reason FROM rl
-                UNION ALL SELECT 'boards', reason FROM bd
-                UNION ALL SELECT 'issues', reason FROM winner)
-            WHERE reason IS NOT NULL GROUP BY relation, reason""",
+            _REJECTS,
             "rl",
             "winner",
         ),
@@ -445,10 +458,13 @@ def oracle_sql() -> dict[str, str]:
             "ids",
         ),
         "r1_run": _with(
-            f"""SELECT r.data_type, records, n AS in_table FROM ({_RECORDS}) r
-            JOIN loaded l ON l.data_type = r.data_type""",
+            f"""SELECT r.data_type, CAST(NULL AS VARCHAR) AS reason, records, n AS in_table
+            FROM ({_RECORDS}) r JOIN loaded l ON l.data_type = r.data_type
+            UNION ALL SELECT relation, reason, rejects, 0 FROM ({_REJECTS})""",
             "ids",
             "loaded",
+            "rl",
+            "winner",
         ),
         "l1_tables": _with(
             """SELECT l_orderkey AS id, project_id, 'Team "' || l_returnflag || '"' AS team,
@@ -515,8 +531,7 @@ def oracle_sql() -> dict[str, str]:
         "x_parse_json": """SELECT event_id, CASE WHEN event_id % 5 <> 0
             THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k FROM events""",
         "t1_stream_matches_batch": _with("SELECT data_type, entity FROM ids", "ids"),
-        "t2_stream_dedupe": _with(
-            "SELECT DISTINCT board_id, issue_ref FROM every_entry", "every_entry"
-        ),
+        "t1_stream_issues": _with(_ISSUES, "iss"),
+        "t2_stream_dedupe": _with("SELECT DISTINCT c AS project_id, issue_ref FROM entry", "entry"),
         "t3_replay": _with("SELECT data_type, n AS records FROM loaded", "loaded"),
     }

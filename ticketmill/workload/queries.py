@@ -76,7 +76,7 @@ def _order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag, an empty page, a total smaller than what is there.
     """
     key = F.col("o_orderkey")
-    slots = W.spread(W.table(spark, sf_dir, "orders")).select(
+    slots = W.spread(W.table(spark, sf_dir, "orders"), "o_orderkey").select(
         F.floor(key / REQUEST_SIZE).alias("request"),
         F.floor((key % REQUEST_SIZE) / PAGE_SIZE).alias("page"),
         F.to_json(
@@ -119,14 +119,56 @@ def s1_paged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s1b_page_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lost = (F.col("request") % 5 == 0) & (F.col("page") == 1)
+    """Pages lost in the middle, last pages lost that carry the flag, and pages that overlap."""
+    request, page = F.col("request"), F.col("page")
+    lost = ((request % 5 == 0) & (page == 1)) | ((request % 12 == 1) & (page == 2))
     landed = pages.parse_pages(_order_pages(spark, sf_dir).where(~lost), "text")
-    audit = pages.audit_pages(landed)
+    board, start = pages.board_of_request(F.col("request_id")), F.col("start_at")
+    overlaps = (board % 7 == 0) & (start == 3 * PAGE_SIZE)
+    audit = pages.audit_pages(landed.withColumn("start_at", F.when(overlaps, start - 50).otherwise(start)))
     return audit.withColumn("request", pages.board_of_request(F.col("request_id"))).drop(
         "request_id"
     )
 
 
+def _cut_short(texts: DataFrame) -> DataFrame:
+    """Every sixth request's third page as a line whose end is missing."""
+    torn = (F.col("request") % 6 == 0) & (F.col("page") == 2)
+    short = F.expr("substring(text, 1, length(text) - 9)")
+    return texts.withColumn("text", F.when(torn, short).otherwise(F.col("text")))
+
+
+def s1_torn_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are no JSON are rejects; the other pages' items stay."""
+    landed = pages.parse_pages(_cut_short(_order_pages(spark, sf_dir)), "text")
+    read = pages.paged_items(landed).select(
+        F.lit("item").alias("kind"),
+        pages.board_of_request(F.col("request_id")).alias("request"),
+        F.get_json_object("body", "$.id").alias("value"),
+    )
+    torn = pages.torn_rejects(landed).select(
+        F.lit("torn").alias("kind"),
+        pages.board_of_request(F.col("raw")).alias("request"),
+        F.col("reason").alias("value"),
+    )
+    return read.unionByName(torn)
+
+
+def t4_stop_across_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stop rule over two arrivals: pages 0 and 1 of each request, then the others."""
+    texts = _order_pages(spark, sf_dir)
+    first = pages.parse_pages(texts.where("page <= 1"), "text")
+    second = pages.parse_pages(texts.where("page > 1"), "text")
+    read = pages.paged_items(first).unionByName(
+        pages.paged_items(second, earlier=pages.ledger(first))
+    )
+    return read.select(
+        pages.board_of_request(F.col("request_id")).alias("request"),
+        (F.col("ord.start_at") + F.col("ord.pos")).alias("place"),
+        F.get_json_object("body", "$.id").alias("item"),
+    )
+
+
 def s2_projects_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = W.table(spark, sf_dir, "customer").where(F.col("c_mktsegment") == "BUILDING")
     wanted = keys.select(F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("key"))
@@ -303,17 +345,8 @@ def v_nulled_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 def j3_first_board_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = W.raw(spark, sf_dir)
     good_boards = build(source, data_types=["boards"]).checked["boards"].where("reason IS NULL")
-    ids = source.issues.select(
-        "board_id",
-        "ord",
-        F.inline(F.array(F.from_json("body", "id STRING, fields STRUCT<summary: STRING>"))),
-    ).select(
-        "board_id",
-        "ord",
-        F.nullif("id", F.lit("")).alias("issue_ref"),
-        F.col("fields.summary").alias("summary"),
-    )
-    named = ids.where(F.col("issue_ref").isNotNull())
+    flat = issue_ops.flatten_issues(issue_ops.parse_issues(source.issues))
+    named = flat.where(F.col("issue_ref").isNotNull())
     winners = first_board_wins(issue_ops.list_issues(named, good_boards))
     return winners.select("project_id", "issue_ref", "board_id", "ord", "summary")
 
@@ -495,14 +528,21 @@ def k10_empty_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def r1_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole run: build, write JSON Lines, load tables, read tables back."""
+    """The whole run: build, write JSON Lines, load tables, read tables back; and its rejects."""
     database = _database(spark)
-    params = RunParams(_outbox(spark), SUFFIX, "jsonl", database=database)
+    params = RunParams(
+        _outbox(spark), SUFFIX, "jsonl", database=database, swap=True, prefix="own_",
+        custom_as="variant", keep_rejects=True,
+    )
     result = run(spark, W.raw(spark, sf_dir), params)
-    loaded = {name: spark.table(tables.table_name(name, database)) for name in DATA_TYPES}
-    return result.summary.join(
+    loaded = {name: spark.table(tables.table_name(name, database, "own_")) for name in DATA_TYPES}
+    good = result.summary.join(
         summary(loaded).withColumnRenamed("records", "in_table"), "data_type"
+    ).select("data_type", F.lit(None).cast("string").alias("reason"), "records", "in_table")
+    dropped = result.rejects.select(
+        F.col("relation").alias("data_type"), "reason", "records", F.lit(0).cast("bigint").alias("in_table")
     )
+    return good.unionByName(dropped)
 
 
 # --- tables -------------------------------------------------------------------
@@ -706,8 +746,22 @@ def t1_stream_matches_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _identities({name: runs.read_run(spark, out, name, SUFFIX) for name in DATA_TYPES})
 
 
+def t1_stream_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole issue rows, of entries that landed before any board had."""
+    landing, out = storage.work_folder(spark, "landing"), _outbox(spark)
+    checkpoint, params = storage.work_folder(spark, "stream"), RunParams(out, SUFFIX)
+    W.land_dimensions(spark, sf_dir, landing, names=("projects", "details"))
+    storage.make_folder(spark, f"{landing}/boards")
+    _land_boards(spark, sf_dir, landing, (0, 1))
+    run_stream(spark, landing, params, checkpoint).awaitTermination()
+    W.land_dimensions(spark, sf_dir, landing, names=("boards",))
+    _land_boards(spark, sf_dir, landing, (2, 3))
+    run_stream(spark, landing, params, checkpoint).awaitTermination()
+    return _flat_times(runs.read_run(spark, out, "issues", SUFFIX))
+
+
 def t2_stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct (board, issue) pairs of a page stream, state kept across batches."""
+    """Distinct (project, issue) pairs of a page stream, state kept across batches."""
     landing, out = storage.work_folder(spark, "landing"), _outbox(spark)
     for places in ARRIVALS:
         _land_boards(spark, sf_dir, landing, places)
@@ -715,8 +769,10 @@ def t2_stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
         pages.board_of_request(F.col("request_id")).alias("board_id"),
         F.get_json_object("body", "$.id").alias("issue_ref"),
     )
+    boards = _staged(spark, sf_dir, data_types=["boards"])["boards"]
+    owned = found.join(boards.select("board_id", "project_id"), "board_id").drop("board_id")
     query = (
-        first_seen(found, ["board_id", "issue_ref"], lanes=4)
+        first_seen(owned, ["project_id", "issue_ref"], lanes=4)
         .writeStream.format("parquet")
         .option("checkpointLocation", storage.work_folder(spark, "stream"))
         .trigger(availableNow=True)
@@ -739,7 +795,7 @@ def t3_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     named = [
-        s1_paged_scan, s1b_page_audit, s2_projects_by_key, s3_project_details, s4_boards_scan,
+        s1_paged_scan, s1_torn_pages, s1b_page_audit, s2_projects_by_key, s3_project_details, s4_boards_scan,
         s5_issues_scan, s6_run_relations, s8_bulk_prefixes, f1_date_range, f3_selected_relations,
         f4_tracked_fields, f5_history_id, f6_issue_id, p6_labels, p7_custom_fields,
         p8_assignee_mask, p9_issue_project, v_rejects_by_reason, v_rejected_issues,
@@ -748,7 +804,8 @@ def queries() -> dict[str, Query]:
         k7_part_sizes, k8_typed_nulls, k9_empty_custom, k10_empty_type, r1_run, l1_tables,
         l4_plain_insert, l5_required_columns, l6_bulk_load, x_hash_pii, x_safe_str, x_safe_int,
         x_safe_bool, x_clean_ws, x_release_date, x_iso_ts, x_first_truthy, x_to_json,
-        x_parse_json, t1_stream_matches_batch, t2_stream_dedupe, t3_replay,
+        x_parse_json, t1_stream_matches_batch, t1_stream_issues, t2_stream_dedupe, t3_replay,
+        t4_stop_across_batches,
     ]
     out: dict[str, Query] = {query.__name__: query for query in named}
     for place, name in enumerate(DATA_TYPES, start=1):

@@ -16,6 +16,7 @@ from ticketmill.plans.relations import Raw
 
 HOST = "https://tracker.example"
 BOARDS_PER_PROJECT = 4
+DIMENSIONS = ("projects", "details", "boards")
 HISTORY_FIELDS = ("status", "Sprint", "resolution", "Attachment", "assignee", "priority", "Link")
 CUSTOM_FIELDS = {
     "type_of_work": "customfield_10100",
@@ -31,14 +32,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin over all cores where the table has fewer files than that.
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Dealt out by a unique key over the session's shuffle partitions.
 
-    Table rows grow some twenty-fold when written as JSON, so one small file
-    is more than one task's work. A table of many files is left as it is.
+    Table rows grow some twenty-fold when written as JSON, so what one task
+    reads is more than one task should write.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, key)
 
 
 def _text(value: Column) -> Column:
@@ -55,7 +56,7 @@ def project_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    rows = spread(table(spark, sf_dir, "customer")).join(
+    rows = spread(table(spark, sf_dir, "customer"), "c_custkey").join(
         places, F.col("c_nationkey") == F.col("n_nationkey")
     )
     category = F.struct(
@@ -157,7 +158,7 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     The order's customer is the project; one part in fifty is also listed
     under the next project.
     """
-    lines = spread(table(spark, sf_dir, "lineitem")).join(
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").join(
         table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
     own = F.array("o_custkey")
@@ -338,21 +339,24 @@ def issue_page_texts(bodies: DataFrame) -> DataFrame:
     return bodies.select(_page(request, F.col("ord"), "issues"))
 
 
-def land_dimensions(spark: SparkSession, sf_dir: str, uri: str) -> None:
+def land_dimensions(
+    spark: SparkSession, sf_dir: str, uri: str, names: tuple[str, ...] = DIMENSIONS
+) -> None:
     """Landing files of projects, details and boards, one response per line."""
     projects = project_bodies(spark, sf_dir).select(
         _page(F.lit("/rest/api/2/project"), F.lit(0), "values")
     )
-    projects.write.text(f"{uri}/projects")
-    detail_bodies(spark, sf_dir).select(
+    details = detail_bodies(spark, sf_dir).select(
         F.concat(
             F.lit('{"request_id":"'), "path", F.lit('","body":'), "body", F.lit("}")
         ).alias("value")
-    ).write.text(f"{uri}/details")
+    )
     request = F.concat(F.lit("/rest/agile/1.0/board?projectKeyOrId="), "project_key")
     total = F.lit(BOARDS_PER_PROJECT)
     boards = board_bodies(spark, sf_dir).select(_page(request, F.col("ord"), "values", total))
-    boards.write.text(f"{uri}/boards")
+    for name, texts in zip(DIMENSIONS, (projects, details, boards), strict=True):
+        if name in names:
+            texts.write.mode("append").text(f"{uri}/{name}")
 
 
 def land(spark: SparkSession, sf_dir: str, uri: str) -> str:
