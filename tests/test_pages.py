@@ -124,3 +124,35 @@ def test_project_keys_are_exact(spark):
     assert pages.projects_by_key(df, []).count() == 4
     keys = spark.createDataFrame([("A",), ("A",), ("B",)], "key STRING")
     assert pages.projects_in_table(df, keys).count() == 2
+
+
+def test_audit_without_its_last_page_and_with_overlaps(landed):
+    found = pages.audit_pages(
+        landed(
+            page(0, bodies(1, 2)), page(2, bodies(3)),
+            page(0, bodies(1, 2, 3), request="o", total=4), page(2, bodies(3, 4), request="o", total=4),
+            page(0, bodies(1), request="l"), page(1, bodies(2), request="l", isLast=True),
+        )
+    )
+    rows = {r.request_id: tuple(r)[1:] for r in found.collect()}
+    assert rows == {
+        "r": (2, 3, None, 0, False),
+        "o": (2, 4, 4, 0, True),
+        "l": (2, 2, None, 0, True),
+    }
+
+
+def test_torn_lines_are_rejects_and_never_complete(spark):
+    whole = [json.dumps(page(n, bodies(n), total=3)) for n in (0, 2)]
+    torn = json.dumps(page(1, bodies(1), total=3))[:-4]
+    df = pages.parse_pages(spark.createDataFrame([(t,) for t in (whole[0], torn, whole[1])], "page STRING"))
+    assert [b for _, b in read(df)] == ['{"id":0}', '{"id":2}']
+    assert [(r.reason, r.raw) for r in pages.torn_rejects(df).collect()] == [("line is no readable page", torn)]
+    audit = pages.audit_pages(df).collect()
+    assert [(r.request_id, r.gaps, r.complete) for r in audit] == [("r", 1, False)]
+
+
+def test_a_stop_in_an_earlier_batch_holds(landed):
+    first, second = landed(page(0, bodies(1), isLast=True)), landed(page(1, bodies(2)))
+    assert pages.paged_items(second, earlier=pages.ledger(first)).collect() == []
+    assert pages.paged_items(second).count() == 1

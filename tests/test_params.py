@@ -31,8 +31,8 @@ def test_data_types():
     assert params.data_types(None) == DATA_TYPES
     assert params.data_types("issues, projects") == ("projects", "issues")
     assert params.data_types([]) == ()
-    with pytest.raises(ValueError, match="dragons.*boards"):
-        params.data_types("projects,dragons")
+    with pytest.raises(ValueError, match="invoices.*boards"):
+        params.data_types("projects,invoices")
 
 
 def test_custom_fields():

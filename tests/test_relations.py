@@ -43,25 +43,25 @@ def rejected(relations):
 
 def test_project_is_stripped_but_details_are_not(make_raw):
     raw = make_raw(
-        [project(key=" PROJ\t", name="\n Name ", projectTypeKey=" software ",
+        [project(key=" FERRY\t", name="\n Name ", projectTypeKey=" software ",
                  projectCategory={"id": 7, "name": " Cat ", "description": None})],
-        {"/rest/api/2/project/10001": details(lead={"displayName": " Jane ", "key": None})},
+        {"/rest/api/2/project/520": details(lead={"displayName": " Mara ", "key": None})},
     )
     assert one(build(raw, data_types=["projects"])["projects"]) == {
-        "id": 10001, "key": "PROJ", "name": "Name", "project_type_key": "software",
+        "id": 520, "key": "FERRY", "name": "Name", "project_type_key": "software",
         "archived": False, "project_category_id": "7", "project_category_name": "Cat",
-        "project_category_description": None, "lead_hash": _sha(" Jane ", ""),
+        "project_category_description": None, "lead_hash": _sha(" Mara ", ""),
     }
 
 
 def test_lead_without_key_ignores_the_account_id_and_nobody_has_a_hash(make_raw):
-    lead = {"displayName": "Jane", "accountId": "a1"}
+    lead = {"displayName": "Mara", "accountId": "a1"}
     raw = make_raw(
         [project(), project(id="2", key="B")],
-        {"/rest/api/2/project/10001": details(lead=lead), "/rest/api/2/project/2": details(lead=None)},
+        {"/rest/api/2/project/520": details(lead=lead), "/rest/api/2/project/2": details(lead=None)},
     )
     found = {r["key"]: r["lead_hash"] for r in rows(build(raw)["projects"])}
-    assert found == {"PROJ": _sha("Jane", ""), "B": _sha("", "")}
+    assert found == {"FERRY": _sha("Mara", ""), "B": _sha("", "")}
 
 
 def test_absent_fields_have_defaults_but_explicit_nulls_reject(make_raw):
@@ -84,13 +84,13 @@ def test_absent_fields_have_defaults_but_explicit_nulls_reject(make_raw):
 
 @pytest.mark.parametrize(("given", "wanted"), [("yes", True), (" Off ", False), (1, True), (0, False)])
 def test_archived_takes_the_usual_spellings(make_raw, given, wanted):
-    raw = make_raw([project(archived=given)], {"/rest/api/2/project/10001": details()})
+    raw = make_raw([project(archived=given)], {"/rest/api/2/project/520": details()})
     assert one(build(raw, data_types=["projects"])["projects"])["archived"] is wanted
 
 
 @pytest.mark.parametrize("body", [None, "{}", "null", "[]", "{broken"])
 def test_project_without_details_vanishes_with_its_children(make_raw, body):
-    found = build(make_raw(detail_map={} if body is None else {"/rest/api/2/project/10001": body}))
+    found = build(make_raw(detail_map={} if body is None else {"/rest/api/2/project/520": body}))
     assert summary(found).count() == 0
     assert found.rejects().count() == 0
 
@@ -106,9 +106,9 @@ def test_invalid_project_takes_its_children_along(make_raw):
 
 
 def test_project_keys_match_the_raw_key(make_raw):
-    raw = make_raw([project(), project(id="2", key="OPS"), project(id="3", key=" PROJ")])
-    found = build(raw, data_types="projects", project_keys="PROJ, NONE")
-    assert [r["id"] for r in rows(found["projects"])] == [10001]
+    raw = make_raw([project(), project(id="2", key="DOCK"), project(id="3", key=" FERRY")])
+    found = build(raw, data_types="projects", project_keys="FERRY, NONE")
+    assert [r["id"] for r in rows(found["projects"])] == [520]
 
 
 # --- releases and boards --------------------------------------------------------
@@ -124,13 +124,13 @@ def test_releases(make_raw):
         {"id": "6", "name": None},
         {"id": "7", "name": "v7", "archived": "perhaps"},
     ]
-    raw = make_raw(detail_map={"/rest/api/2/project/10001": details(versions=versions)})
+    raw = make_raw(detail_map={"/rest/api/2/project/520": details(versions=versions)})
     found = build(raw, data_types=["releases"])
     got = {r["release_id"]: r for r in rows(found["releases"])}
     assert set(got) == {1, 2}
     assert (got[1]["release_name"], got[1]["released"], got[1]["archived"]) == ("v1", True, False)
     assert got[2]["release_name"] == "" and got[2]["user_release_date"] is None
-    assert (got[2]["project_id"], got[2]["project_key"]) == (10001, "PROJ")
+    assert (got[2]["project_id"], got[2]["project_key"]) == (520, "FERRY")
     assert [str(got[i]["release_date"])[:10] for i in (1, 2)] == ["2024-03-01", "2024-03-15"]
     assert {(e, r) for _, e, r in rejected(found)} == {
         ("3", "unknown date form"), ("x", "id is not an integer"), (None, "id is not an integer"),
@@ -140,13 +140,13 @@ def test_releases(make_raw):
 
 @pytest.mark.parametrize("versions", [None, []])
 def test_no_versions_no_releases(make_raw, versions):
-    raw = make_raw(detail_map={"/rest/api/2/project/10001": details(versions=versions)})
+    raw = make_raw(detail_map={"/rest/api/2/project/520": details(versions=versions)})
     assert build(raw, data_types=["releases"])["releases"].count() == 0
 
 
 def test_invalid_board_is_dropped_and_its_listing_not_read(make_raw):
     raw = make_raw(
-        boards=[("PROJ", board("not-an-int")), ("PROJ", {"id": 2}), ("PROJ", board(3, name=None))],
+        boards=[("FERRY", board("not-an-int")), ("FERRY", {"id": 2}), ("FERRY", board(3, name=None))],
         issues=[(1, issue("1")), (2, issue("2")), (3, issue("3"))],
     )
     found = build(raw)
@@ -164,21 +164,21 @@ def test_invalid_board_is_dropped_and_its_listing_not_read(make_raw):
 def test_issue_columns(make_raw):
     body = issue(
         labels=["backend", "", None, "urgent"],
-        parent={"id": "7", "key": "PROJ-7"},
+        parent={"id": "7", "key": "FERRY-7"},
         epic={"id": "None", "key": "E-1", "name": "Epic", "summary": "", "done": True},
-        issuetype={"id": "abc", "name": "Story"},
+        issuetype={"id": "abc", "name": "Crossing"},
         updated="2024-03-01",
     )
     got = one(issues_of(make_raw, body))
     assert list(got) == RECORDS["issues"].names
-    assert (got["id"], got["key"], got["labels"]) == (1001, "PROJ-1", "backend, urgent")
+    assert (got["id"], got["key"], got["labels"]) == (7001, "FERRY-8", "backend, urgent")
     assert (got["project_id"], got["project_key"], got["project_name"]) == (
-        10001, "PROJ", "Test Project"
+        520, "FERRY", "Ferry timetable"
     )
     assert (got["parent_task_id"], got["epic_id"], got["issuetype_id"]) == (7, None, None)
     assert (got["epic_summary"], got["epic_done"]) == (None, True)
-    assert (got["status_category_id"], got["status_category_colour"]) == (4, "yellow")
-    assert str(got["created"]) == "2024-01-15 09:00:00" and got["updated"] is None
+    assert (got["status_category_id"], got["status_category_colour"]) == (6, "teal")
+    assert str(got["created"]) == "2023-05-04 10:20:30" and got["updated"] is None
     assert got["custom_fields"] is None
 
 
@@ -191,7 +191,7 @@ def test_empty_issue_has_nulls_only(make_raw):
 
 def test_a_scalar_in_place_of_an_object_nulls_that_field_only(make_raw):
     got = one(issues_of(make_raw, issue(status="x")))
-    assert (got["status_id"], got["status_name"], got["summary"]) == (None, None, "Test issue")
+    assert (got["status_id"], got["status_name"], got["summary"]) == (None, None, "Moor at berth two")
 
 
 def test_custom_fields(make_raw):
@@ -203,9 +203,9 @@ def test_custom_fields(make_raw):
              "nil": "customfield_4", "gone": "customfield_5", "odd": "weird.id x",
              "again": "customfield_2", "title": "summary", "state": "status"}
     got = one(issues_of(make_raw, body, custom_fields=names))["custom_fields"]
-    assert got.pop("state") == "In Progress"
+    assert got.pop("state") == "Boarding"
     assert got == {"type": "feature", "team": "Platform", "points": "5", "nil": None,
-                   "gone": None, "odd": '["a"]', "again": "Platform", "title": "Test issue"}
+                   "gone": None, "odd": '["a"]', "again": "Platform", "title": "Moor at berth two"}
 
 
 @pytest.mark.parametrize(
@@ -239,24 +239,24 @@ def test_blank_ids_are_not_copies_of_one_another(make_raw):
 
 def test_first_board_then_first_place_wins(make_raw):
     raw = make_raw(
-        boards=[("PROJ", board(20)), ("PROJ", board(10))],
+        boards=[("FERRY", board(20)), ("FERRY", board(10))],
         issues=[(10, issue(summary="board 10")), (20, issue(summary="second")),
                 (20, issue(summary="third")), (10, issue("8", summary="only here"))],
     )
     found = rows(build(raw, data_types=["issues"])["issues"])
-    assert {(r["id"], r["summary"]) for r in found} == {(1001, "second"), (8, "only here")}
+    assert {(r["id"], r["summary"]) for r in found} == {(7001, "second"), (8, "only here")}
 
 
 def test_an_invalid_first_copy_hides_a_later_valid_one(make_raw):
     raw = make_raw(issues=[(1, {**issue(), "key": None}), (1, issue())])
     found = build(raw, data_types=["issues"])
     assert found["issues"].count() == 0
-    assert rejected(found) == {("issues", "1001", "key is missing")}
+    assert rejected(found) == {("issues", "7001", "key is missing")}
 
 
 def test_copies_on_an_invalid_board_do_not_count(make_raw):
     raw = make_raw(
-        boards=[("PROJ", board("bad")), ("PROJ", board(2))],
+        boards=[("FERRY", board("bad")), ("FERRY", board(2))],
         issues=[(1, issue(summary="on the bad one")), (2, issue(summary="kept"))],
     )
     assert one(build(raw, data_types=["issues"])["issues"])["summary"] == "kept"
@@ -264,27 +264,27 @@ def test_copies_on_an_invalid_board_do_not_count(make_raw):
 
 def test_scope_is_the_project(make_raw):
     raw = make_raw(
-        [project(), project(id="2", key="OPS", name="Ops")],
-        boards=[("PROJ", board(1)), ("OPS", board(2))],
+        [project(), project(id="2", key="DOCK", name="Dock")],
+        boards=[("FERRY", board(1)), ("DOCK", board(2))],
         issues=[(1, issue()), (2, issue())],
     )
     found = rows(build(raw, data_types=["issues"])["issues"])
     assert sorted((r["id"], r["project_id"], r["project_name"]) for r in found) == [
-        (1001, 2, "Ops"), (1001, 10001, "Test Project")
+        (7001, 2, "Dock"), (7001, 520, "Ferry timetable")
     ]
 
 
 def test_one_board_of_two_projects(make_raw):
     raw = make_raw(
-        [project(), project(id="2", key="OPS")],
-        boards=[("PROJ", board(1)), ("OPS", board(1))],
+        [project(), project(id="2", key="DOCK")],
+        boards=[("FERRY", board(1)), ("DOCK", board(1))],
         issues=[(1, issue())],
     )
-    assert sorted(r["project_id"] for r in rows(build(raw)["issues"])) == [2, 10001]
+    assert sorted(r["project_id"] for r in rows(build(raw)["issues"])) == [2, 520]
 
 
 def test_seen_issues_do_not_come_again(make_raw, spark):
-    seen = spark.createDataFrame([(10001, "1001")], "project_id BIGINT, entity_id STRING")
+    seen = spark.createDataFrame([(520, "7001")], "project_id BIGINT, entity_id STRING")
     raw = make_raw(issues=[(1, issue()), (1, issue("2"))])
     assert [r["id"] for r in rows(build(raw, seen=seen)["issues"])] == [2]
 
@@ -294,20 +294,20 @@ def test_seen_issues_do_not_come_again(make_raw, spark):
 
 def test_status_change(make_raw):
     got = one(transitions_of(make_raw, history(items=[change()])))
-    assert str(got.pop("created")) == "2024-02-01 10:00:00"
+    assert str(got.pop("created")) == "2023-05-09 07:40:05"
     assert got == {
-        "transition_id": 100, "transition_field": "status", "transition_field_type": "core",
-        "issue_id": 1001, "issue_key": "PROJ-1", "hashed_author": _sha("Alice", "alice"),
-        "from_id": "1", "from_string": "To Do", "to_id": "3", "to_string": "In Progress",
+        "transition_id": 81, "transition_field": "status", "transition_field_type": "core",
+        "issue_id": 7001, "issue_key": "FERRY-8", "hashed_author": _sha("Oskar", "oskar"),
+        "from_id": "11", "from_string": "Queued", "to_id": "12", "to_string": "Boarding",
     }
 
 
 def test_assignee_is_masked(make_raw):
-    item = change("assignee", **{"from": "alice-key", "fromString": "Alice Smith", "to": None,
+    item = change("assignee", **{"from": "ib-key", "fromString": "Ilse Brandt", "to": None,
                                  "toString": None})
     got = one(transitions_of(make_raw, history(items=[item])))
     assert (got["from_id"], got["to_id"]) == (None, None)
-    assert (got["from_string"], got["to_string"]) == (_sha("Alice Smith", "alice-key"), _sha("", ""))
+    assert (got["from_string"], got["to_string"]) == (_sha("Ilse Brandt", "ib-key"), _sha("", ""))
 
 
 def test_author_falls_back_to_the_account_id(make_raw):
@@ -352,7 +352,7 @@ def test_explicit_null_type_rejects_that_item_only(make_raw):
     raw = make_raw(issues=[(1, issue(histories=[history(items=[change(fieldtype=None), change()])]))])
     found = build(raw, data_types=["transitions"])
     assert found["transitions"].count() == 1
-    assert rejected(found) == {("transitions", "100", "fieldtype is null")}
+    assert rejected(found) == {("transitions", "81", "fieldtype is null")}
 
 
 def test_two_items_of_one_field_both_stay(make_raw):
@@ -364,7 +364,7 @@ def test_two_items_of_one_field_both_stay(make_raw):
 
 def test_default_gives_every_relation(make_raw):
     raw = make_raw(
-        detail_map={"/rest/api/2/project/10001": details(versions=[{"id": "1", "name": "v1"}])},
+        detail_map={"/rest/api/2/project/520": details(versions=[{"id": "1", "name": "v1"}])},
         issues=[(1, issue(histories=[history(items=[change()])]))],
     )
     found = build(raw)
@@ -391,19 +391,19 @@ def test_unselected_relations_are_not_planned(make_raw):
 @pytest.mark.parametrize(
     ("start", "end", "kept"),
     [
-        ("2024-03-01", None, {1, 2}),
-        (None, "2024-01-15", {3}),
-        ("2024-02-01", "2024-02-01", {1, 2}),
-        ("2024-03-02", None, {2}),
-        (None, "2024-01-16", {1, 2, 3}),
+        ("2023-06-11", None, {1, 2}),
+        (None, "2023-05-04", {3}),
+        ("2023-06-01", "2023-06-01", {1, 2}),
+        ("2023-06-12", None, {2}),
+        (None, "2023-05-05", {1, 2, 3}),
         (None, None, {1, 2, 3, 4}),
     ],
 )
 def test_date_range(make_raw, start, end, kept):
     bodies = [
         issue("1"),
-        issue("2", created="2024-01-15T23:00:00.000+0000", updated="2024-06-01T00:00:00.000+0000"),
-        issue("3", created="2023-01-01T00:00:00.000+0000", updated=None),
+        issue("2", created="2023-05-04T23:00:00.000+0000", updated="2023-09-01T00:00:00.000+0000"),
+        issue("3", created="2022-01-01T00:00:00.000+0000", updated=None),
         issue("4", created=None, updated="garbage"),
     ]
     found = issues_of(make_raw, *bodies, start_date=start, end_date=end)
@@ -412,10 +412,10 @@ def test_date_range(make_raw, start, end, kept):
 
 def test_a_copy_outside_the_range_does_not_count_as_seen(make_raw):
     raw = make_raw(
-        boards=[("PROJ", board(1)), ("PROJ", board(2))],
+        boards=[("FERRY", board(1)), ("FERRY", board(2))],
         issues=[(1, issue(created=None, updated=None)), (2, issue(summary="inside"))],
     )
-    found = build(raw, data_types=["issues"], start_date="2024-01-01")
+    found = build(raw, data_types=["issues"], start_date="2023-01-01")
     assert one(found["issues"])["summary"] == "inside"
 
 

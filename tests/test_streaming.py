@@ -6,7 +6,7 @@ import uuid
 import pytest
 from conftest import board, change, details, history, issue, project
 
-from ticketmill import RunParams
+from ticketmill import RunParams, run
 from ticketmill.schemas import DATA_TYPES
 from ticketmill.sinks import tables
 from ticketmill.sources import pages, runs
@@ -25,8 +25,8 @@ def landing(tmp_path):
         (folder / f"{name}.json").write_text("\n".join(json.dumps(line) for line in lines))
 
     put("projects", "a", {"request_id": "/rest/api/2/project", "values": [project()]})
-    put("details", "a", {"request_id": "/rest/api/2/project/10001", "body": details()})
-    request = "/rest/agile/1.0/board?projectKeyOrId=PROJ"
+    put("details", "a", {"request_id": "/rest/api/2/project/520", "body": details()})
+    request = "/rest/agile/1.0/board?projectKeyOrId=FERRY"
     put("boards", "a", {"request_id": request, "startAt": 0, "values": [board(1), board(2)]})
 
     def land(name, board_id, *issues):
@@ -95,7 +95,7 @@ def test_a_batch_that_failed_is_run_again_without_doubles(spark, tmp_path, landi
         step(spark, uri, params, checkpoint)
     monkeypatch.setattr(ingest, "load_all", real)
     step(spark, uri, params, checkpoint)
-    assert summaries(spark, params) == [(5, "Test issue")]
+    assert summaries(spark, params) == [(5, "Moor at berth two")]
     for relation in ("issues", "transitions"):
         assert spark.table(tables.table_name(relation, database)).count() == 1
 
@@ -117,3 +117,60 @@ def test_state_spans_micro_batches(spark, tmp_path, landing, lanes):
     query.awaitTermination()
     found = sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert found == ["0", "1", "2", "3", "5"]
+
+
+def test_a_stop_holds_for_later_batches(spark, tmp_path, landing):
+    uri, _ = landing
+    folder = tmp_path / "landing" / "issues"
+    folder.mkdir(parents=True)
+    request = "/rest/agile/1.0/board/1/issue"
+    params, checkpoint = RunParams(str(tmp_path / "out"), SUFFIX), str(tmp_path / "checkpoint")
+    for start, last in ((0, True), (1, False)):
+        line = {"request_id": request, "startAt": start, "isLast": last, "issues": [issue(str(start + 5))]}
+        (folder / f"{start}.json").write_text(json.dumps(line))
+        step(spark, uri, params, checkpoint)
+    assert [i for i, _ in summaries(spark, params)] == [5]
+
+
+def test_issues_that_land_before_their_board_wait_for_it(spark, tmp_path, landing):
+    uri, land = landing
+    params, checkpoint = RunParams(str(tmp_path / "out"), SUFFIX), str(tmp_path / "checkpoint")
+    land("early", 3, issue("5", summary="waits"), issue("6"))
+    step(spark, uri, params, checkpoint)
+    assert summaries(spark, params) == []
+    request = "/rest/agile/1.0/board?projectKeyOrId=FERRY&startAt=2"
+    line = {"request_id": request, "startAt": 0, "values": [board(3)]}
+    (tmp_path / "landing" / "boards" / "b.json").write_text(json.dumps(line))
+    land("late", 1, issue("7"))
+    step(spark, uri, params, checkpoint)
+    assert [i for i, _ in summaries(spark, params)] == [5, 6, 7]
+    land("later", 1, issue("8"))
+    step(spark, uri, params, checkpoint)
+    assert [i for i, _ in summaries(spark, params)] == [5, 6, 7, 8]
+
+
+def test_a_new_checkpoint_replaces_the_run(spark, tmp_path, landing):
+    uri, land = landing
+    params = RunParams(str(tmp_path / "out"), SUFFIX)
+    land("a", 1, issue("1"))
+    step(spark, uri, params, str(tmp_path / "first"))
+    land("b", 1, issue("2"))
+    step(spark, uri, params, str(tmp_path / "first"))
+    (tmp_path / "landing" / "issues" / "b.json").unlink()
+    step(spark, uri, params, str(tmp_path / "second"))
+    assert [i for i, _ in summaries(spark, params)] == [1]
+
+
+def test_a_stream_replaces_a_batch_run(spark, tmp_path, landing):
+    uri, land = landing
+    params = RunParams(str(tmp_path / "out"), SUFFIX)
+    land("a", 1, issue("1"))
+    run(spark, uri, params)
+    step(spark, uri, params, str(tmp_path / "checkpoint"))
+    assert [i for i, _ in summaries(spark, params)] == [1]
+
+
+@pytest.mark.parametrize("other", [{"mode": "append"}, {"load_mode": "plain"}, {"load_mode": "bulk"}])
+def test_what_a_stream_cannot_repeat_is_refused(spark, tmp_path, other):
+    with pytest.raises(ValueError, match="replace"):
+        run_stream(spark, str(tmp_path), RunParams(str(tmp_path / "out"), SUFFIX, **other), str(tmp_path / "cp"))

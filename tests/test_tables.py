@@ -50,7 +50,7 @@ def test_creating_tables_twice_is_harmless(spark, database):
 
 def test_same_row_twice_goes_in_once(spark, database):
     tables.ensure_tables(spark, database)
-    row = {"id": 1, "key": "PROJ", "name": "N", "archived": False}
+    row = {"id": 1, "key": "FERRY", "name": "N", "archived": False}
     assert load(spark, database, "projects", row) == {"projects": 1}
     assert load(spark, database, "projects", row) == {"projects": 0}
     assert load(spark, database, "projects", {**row, "id": 2}, {**row, "id": 2}, row) == {"projects": 1}
@@ -107,10 +107,10 @@ def test_required_columns(spark, database, mode):
 
 
 def test_unknown_relation(spark):
-    with pytest.raises(ValueError, match="dragons"):
-        tables.load_all({"dragons": spark.range(1)})
-    with pytest.raises(ValueError, match="dragons"):
-        tables.create_statement("dragons")
+    with pytest.raises(ValueError, match="invoices"):
+        tables.load_all({"invoices": spark.range(1)})
+    with pytest.raises(ValueError, match="invoices"):
+        tables.create_statement("invoices")
 
 
 @pytest.mark.parametrize(("custom_as", "kind"), [("map", "map<string,string>"), ("variant", "variant"), ("json", "string")])
@@ -158,10 +158,10 @@ def tracker(make_raw):
     """Two projects that share a board, hence an issue, with one bad row of each kind."""
     link = [change("Link", toString="first"), change("Link", toString="second")]
     return make_raw(
-        [project(), project(id="2", key="OPS", name="Ops"), project(id="x", key="BAD")],
-        {"/rest/api/2/project/10001": details(versions=[{"id": "1"}, {"id": "bad"}]),
+        [project(), project(id="2", key="DOCK", name="Dock"), project(id="x", key="BAD")],
+        {"/rest/api/2/project/520": details(versions=[{"id": "1"}, {"id": "bad"}]),
          "/rest/api/2/project/2": details()},
-        [("PROJ", board(1)), ("OPS", board(1)), ("OPS", board(2)), ("OPS", board("bad"))],
+        [("FERRY", board(1)), ("DOCK", board(1)), ("DOCK", board(2)), ("DOCK", board("bad"))],
         [(1, issue(histories=[history(items=link)])), (2, issue("7")), (2, issue("bad"))],
     )
 
@@ -176,7 +176,7 @@ def test_run_writes_counts_and_loads(spark, tmp_path, database, tracker):
         "projects": 2, "releases": 1, "boards": 2, "issues": 2, "transitions": 1
     }
     kept = {r["id"]: r["project_id"] for r in found(spark, database, "issues").collect()}
-    assert kept == {1001: 2, 7: 2}
+    assert kept == {7001: 2, 7: 2}
     assert found(spark, database, "transitions").first()["to_string"] == "first"
     assert runs.read_run(spark, params.uri, "issues", "20240601", "jsonl").count() == 3
     assert not any(run(spark, tracker, params).inserted.values())

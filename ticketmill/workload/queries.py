@@ -353,6 +353,11 @@ def j3_first_board_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def l3_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = _staged(spark, sf_dir, data_types=["transitions"]).loadable()["transitions"]
+    return absent_transitions(spark, sf_dir, batch)
+
+
+def absent_transitions(spark: SparkSession, sf_dir: str, batch: DataFrame) -> DataFrame:
+    """Loadable transitions that a target made of earlier line items lacks."""
     early = W.table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") < "1998-06-01")
     target = early.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transition_id"),
