@@ -120,6 +120,20 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
 
 
+def _pack_places(places: np.ndarray) -> bytes:
+    """Places in a list that is sorted by frequency: one byte for the frequent ones, the others apart."""
+    press = zstandard.ZstdCompressor(level=9).compress
+    rare = places >= 255
+    return _framed(press(np.where(rare, 255, places).astype(np.uint8).tobytes()), _pack(places[rare] - 255))
+
+
+def _unpack_places(data: bytes) -> np.ndarray:
+    short, rare = _unframed(data, 2)
+    places = np.frombuffer(zstandard.ZstdDecompressor().decompress(short), np.uint8).astype(np.uint32)
+    places[places == 255] = _unpack(rare) + 255
+    return places
+
+
 def _framed(*fields: bytes) -> bytes:
     sizes = np.array([len(field) for field in fields], dtype="<u8")
     return sizes.tobytes() + b"".join(fields)
@@ -151,7 +165,14 @@ class _Block:
         self.chars += len(text)
 
     def rows(self, shards: int) -> Iterator[tuple]:
-        texts = [word.encode() for word in self.words]
+        # Frequent words first, which makes the places small numbers.
+        none = np.zeros(0, np.uint32)
+        often = np.bincount(np.concatenate([none, *(places for _, places in self.docs)]), minlength=len(self.words))
+        by_use = np.argsort(-often, kind="stable")
+        place = np.empty(len(by_use), np.uint32)
+        place[by_use] = np.arange(len(by_use), dtype=np.uint32)
+        words = list(self.words)
+        texts = [words[i].encode() for i in by_use.tolist()]
         shard_of = np.fromiter((zlib.crc32(t) % shards for t in texts), np.uint32, len(texts))
         order = np.argsort(shard_of, kind="stable")
         press = zstandard.ZstdCompressor(level=3).compress
@@ -162,7 +183,7 @@ class _Block:
         # The first row of places also has the shards, from which the words' order follows.
         head, seq, held, size = _pack(shard_of), 0, [], 0
         for i, doc in enumerate(self.docs):
-            held.append(doc)
+            held.append((doc[0], place[doc[1]]))
             size += len(doc[1])
             if size >= PIECE_WORDS or i + 1 == len(self.docs):
                 route = zlib.crc32(b"%d/%d" % (self.number, seq)) % shards
@@ -176,14 +197,14 @@ def _packed_docs(docs: list[tuple[int | None, np.ndarray]]) -> tuple[bytes, byte
     nulls = np.asarray(ids.is_null()).astype(np.uint8).tobytes()
     plain = np.asarray(ids.fill_null(0)).astype("<i8").tobytes()
     press = zstandard.ZstdCompressor(level=3).compress
-    return press(nulls + plain), _pack(sizes), _pack(np.concatenate([p for _, p in docs]))
+    return press(nulls + plain), _pack(sizes), _pack_places(np.concatenate([p for _, p in docs]))
 
 
 def _unpacked_docs(ids: bytes, sizes: bytes, places: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(ids)
     n = len(raw) // 9
     plain = np.frombuffer(raw[n:], dtype="<i8")
-    return pa.array(plain, pa.int64(), mask=np.frombuffer(raw[:n], np.uint8) == 1), _unpack(sizes), _unpack(places)
+    return pa.array(plain, pa.int64(), mask=np.frombuffer(raw[:n], np.uint8) == 1), _unpack(sizes), _unpack_places(places)
 
 
 MOVED_ARROW = pa.schema(
