@@ -5,7 +5,7 @@ import re
 import pytest
 from ticketmill.llm import mixing
 
-COLUMNS = "doc_id bigint, text string, source string, size int, copies int, weight int"
+COLUMNS = "doc_id bigint, text string, source string, size int, copy int, rate int"
 
 
 def plain_targets(sizes: dict, weights=(1, 2, 3), most=3) -> dict:

@@ -9,7 +9,7 @@ import pytest
 from ticketmill.llm import nearcopies
 from ticketmill.llm.components import components
 
-COLUMNS = "doc_id bigint, text string, class_id string, node int, bands int"
+COLUMNS = "doc_id bigint, text string, class_id string, words_md5 int, bands int"
 
 
 def shingles(text) -> Counter:

@@ -16,6 +16,17 @@ from ticketmill.sources import storage
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows in one Arrow batch of texts. Spark's own 10,000 rows of long texts would be gigabytes.
+TEXT_ROWS = 512
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python in small Arrow batches from now on in this session."""
+    if not 0 < int(spark.conf.get(ARROW_ROWS)) <= TEXT_ROWS:
+        spark.conf.set(ARROW_ROWS, TEXT_ROWS)
+
+
 def staged(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """``df`` written once as Parquet in the shared work folder and read back.
 
@@ -57,6 +68,14 @@ def with_ordinal(spark: SparkSession, df: DataFrame, keys: Iterable[str], name:
     )
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer where ``df`` has a column of that name in any case."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def load_ranks(path: str) -> dict[bytes, int]:
     """The token bytes and ids of a rank file: a base64 text and a number on each line."""
     with open(path, "rb") as lines:

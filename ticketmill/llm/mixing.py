@@ -11,8 +11,8 @@ count come to the driver. Everything is DataFrame functions.
 
 Defined results: a null text has size 0; a null source is a source of its own
 and comes last; sources without any words have target 0; documents of equal id,
-also of null id, draw the same number; an empty table gives an empty one; a name
-of an added column must not be in the table (``repeated`` picks its own).
+also of null id, draw the same number; an empty table gives an empty one; other
+columns are ignored by ``repetitions`` and kept by ``repeated``.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm.common import WORD, staged, with_ordinal
+from ticketmill.llm.common import WORD, free_name, staged, with_ordinal
 
 DRAW_DIGITS = 13
 
@@ -111,14 +111,15 @@ def repeated(
     sized = docs.select(F.col(source_col).alias("source"), words(F.col(text_col)).alias("size"))
     targets = staged(spark, source_targets(spark, sized, weights, most), "targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    rates = targets.select(F.col("source").alias("_source"), rate.alias("_rate"))
-    fraction = F.col("_rate") - F.floor("_rate")
-    copies = F.floor("_rate") + F.when(draw(F.col(f"d.{id_col}"), seed) < fraction, 1).otherwise(0)
+    rates = targets.select("source", rate.alias("rate")).alias("r")
+    fraction = F.col("r.rate") - F.floor("r.rate")
+    copies = F.floor("r.rate") + F.when(draw(F.col(f"d.{id_col}"), seed) < fraction, 1).otherwise(0)
+    copy = free_name(docs, "copy")
     return (
         docs.alias("d")
-        .join(rates, F.col(f"d.{source_col}").eqNullSafe(F.col("_source")))
-        .withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies.cast("int"))))
-        .select([F.col(f"d.`{name}`") for name in docs.columns])
+        .join(rates, F.col(f"d.{source_col}").eqNullSafe(F.col("r.source")))
+        .select("d.*", F.explode(F.array_repeat(F.lit(0), copies.cast("int"))).alias(copy))
+        .drop(copy)
     )
 
 

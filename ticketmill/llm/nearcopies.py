@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm.common import WORD, ragged, staged
+from ticketmill.llm.common import WORD, free_name, ragged, small_batches, staged
 from ticketmill.llm.components import components
 
 SHINGLE = 5
@@ -291,7 +291,8 @@ def deduplicated(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", t
     found = _classed(spark, docs, id_col, text_col, similar, BANDS, ROWS)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "words_md5")).alias("first")
     kept = staged(spark, found.groupBy("component").agg(first).select("first.doc_id", "first.words_md5"), "kept")
-    keyed = docs.withColumn("_words_md5", same_words(F.col(text_col)))
-    same = (F.col("_words_md5") == F.col("words_md5")) & F.col(f"d.{id_col}").cast("bigint").eqNullSafe(F.col("k.doc_id"))
+    key = free_name(docs, "words_md5")
+    keyed = docs.withColumn(key, same_words(F.col(text_col)))
+    same = (F.col(f"d.{key}") == F.col("k.words_md5")) & F.col(f"d.{id_col}").cast("bigint").eqNullSafe(F.col("k.doc_id"))
     rows = keyed.alias("d").join(kept.alias("k"), same).select("d.*")
-    return rows.dropDuplicates([id_col, "_words_md5"]).drop("_words_md5")
+    return rows.dropDuplicates([id_col, key]).drop(key)
