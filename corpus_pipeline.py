@@ -37,7 +37,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document of the mix, as digests, checked by their way back."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe.digests(bpe.decode(spark, bpe.encode(spark, docs, ranks, public_tokenizers.PATTERN), ranks))
+    return bpe.digests(bpe.round_trip(spark, docs, ranks, public_tokenizers.PATTERN))
 
 
 STAGES: list[tuple[str, Stage]] = [

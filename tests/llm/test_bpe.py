@@ -53,6 +53,8 @@ def test_round_trip_beside_the_library(spark, library, block_chars):
     got = bpe.decode(spark, coded, RANKS).collect()
     want = sorted((str(i), library.encode_ordinary(t or ""), (t or "").encode()) for i, t in rows)
     assert sorted((str(r.doc_id), list(r.ids), bytes(r.decoded)) for r in got) == want
+    whole = bpe.round_trip(spark, docs, RANKS, public_tokenizers.PATTERN, block_chars=block_chars)
+    assert sorted((str(r.doc_id), list(r.ids), bytes(r.decoded)) for r in whole.collect()) == want
     digest = {r.doc_id: r for r in bpe.digests(bpe.decode(spark, coded, RANKS)).collect()}
     ids = " ".join(map(str, library.encode_ordinary(ODD[11])))
     assert digest[11].ids_sha256 == hashlib.sha256(ids.encode()).hexdigest()

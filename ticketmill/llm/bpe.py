@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm.common import load_ranks, ragged
+from ticketmill.llm.common import load_ranks, ragged, small_batches
 
 #: Characters of text that share one word list.
 BLOCK_CHARS = 16_000_000
@@ -327,18 +327,43 @@ def encode(
 ) -> DataFrame:
     """``doc_id`` and ``ids`` (array of int): each text by the ranks of the file, without special tokens.
 
-    ``shards`` (8 for each shuffle partition, 1024 at least) bounds memory: a
+    ``shards`` (8 for each shuffle partition, 256 at least) bounds memory: a
     task holds the distinct words of one shard, or of one block, at a time.
     """
+    blocks = _coded_blocks(spark, docs, ranks_path, pattern, id_col, text_col, shards, block_chars)
+    return blocks.mapInArrow(_assemble, "doc_id bigint, ids array<int>")
+
+
+def round_trip(
+    spark: SparkSession,
+    docs: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shards: int | None = None,
+    block_chars: int = BLOCK_CHARS,
+) -> DataFrame:
+    """``encode`` and then ``decode`` in one go: the ids' way back starts in the task that has put them together."""
+    blocks = _coded_blocks(spark, docs, ranks_path, pattern, id_col, text_col, shards, block_chars)
+    back = _decode(spark.sparkContext.broadcast(load_ranks(ranks_path)), 1)
+    return blocks.mapInArrow(lambda batches: back(_assemble(batches)), "doc_id bigint, ids array<int>, decoded binary")
+
+
+def _coded_blocks(
+    spark: SparkSession, docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_col: str, shards: int | None, block_chars: int
+) -> DataFrame:
+    """Blocks in order: their words' ids, then their texts as places in the word list."""
+    small_batches(spark)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards = shards or max(1024, 8 * partitions)
+    shards = shards or max(256, 8 * partitions)
     ranks = spark.sparkContext.broadcast(load_ranks(ranks_path))
     texts = docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string"))
     split = texts.mapInArrow(_split(pattern, shards, block_chars), MOVED)
     words = split.repartition("shard").sortWithinPartitions("shard", "kind")
     coded = words.mapInArrow(_encode(ranks), MOVED)
-    blocks = coded.repartition("block").sortWithinPartitions("block", "kind", F.when(F.col("kind") == WORDS, F.col("shard")), "seq")
-    return blocks.mapInArrow(_assemble, "doc_id bigint, ids array<int>")
+    by_shard = F.when(F.col("kind") == WORDS, F.col("shard"))
+    return coded.repartition("block").sortWithinPartitions("block", "kind", by_shard, "seq")
 
 
 def _decode(ranks_sent, at: int):
@@ -380,6 +405,7 @@ def _even_runs(lists: pa.ListArray, most: int = 1_000_000) -> Iterator[tuple[int
 
 def decode(spark: SparkSession, coded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
     """``coded`` with ``decoded`` (binary): the bytes of its ids. A null list of ids gives no bytes."""
+    small_batches(spark)
     ranks = spark.sparkContext.broadcast(load_ranks(ranks_path))
     whole = coded.withColumn(ids_col, F.coalesce(F.col(ids_col), F.array().cast("array<int>")))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in whole.schema) + ", decoded binary"

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+from ticketmill.llm.common import small_batches
+
 #: Bytes of distinct pieces that are encoded in one call.
 BATCH_BYTES = 1_000_000
 #: Distinct pieces whose counts a task remembers.
@@ -122,6 +124,7 @@ def token_counts(
     batch_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """``doc_id``, ``n_bytes`` (UTF-8), ``n_tokens`` and ``over_limit`` (more tokens than ``limit``) of each text."""
+    small_batches(spark)
     with open(model_path, "rb") as model:
         sent = spark.sparkContext.broadcast(model.read())
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))

@@ -221,6 +221,7 @@ def classes(
 
 def _classed(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, similar: float, bands: int, rows: int) -> DataFrame:
     """The same with ``component``, which tells classes apart when ids repeat, and ``words_md5``."""
+    small_batches(spark)
     texts = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), same_words(F.col(text_col)).alias("words_md5"), F.col(text_col).cast("string").alias("text")
     )

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm.common import WORD, ragged, staged
+from ticketmill.llm.common import WORD, ragged, small_batches, staged
 
 # The base rules' symbols, and marks that are classes of their own.
 SYMBOLS = "#*$%&|<>"
@@ -305,6 +305,7 @@ def language_models(spark: SparkSession, docs: DataFrame, text_col: str = "text"
 
 def scored(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The base counts and the mean negative log-probability of a character, of each row."""
+    small_batches(spark)
     models = staged(spark, language_models(spark, docs, text_col, lang_col), "models")
     sent = {}
     for row in models.select("lang").collect():

@@ -28,8 +28,7 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path(BPE_RANKS)
-    coded = bpe.encode(spark, _table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decode(spark, coded, ranks))
+    return bpe.digests(bpe.round_trip(spark, _table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN))
 
 
 def op3_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,6 +24,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticketmill.llm.common import small_batches
+
 # The base patterns, in the order in which kinds are listed.
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE
@@ -134,6 +136,7 @@ SPANS = "array<struct<kind: string, start: bigint, end: bigint>>"
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", novelty: float = NOVELTY) -> DataFrame:
     """``doc_id`` and ``spans``: kind, start and end (code points, end exclusive), by start, then kind."""
+    small_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
     return rows.mapInArrow(_scan(novelty), f"doc_id bigint, spans {SPANS}")
@@ -178,4 +181,5 @@ def _mask(at: int, threshold: float, mark: str):
 
 def masked(docs: DataFrame, text_col: str = "text", novelty: float = NOVELTY, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every reported span replaced by ``mark``; spans that overlap become one mark."""
+    small_batches(docs.sparkSession)
     return docs.mapInArrow(_mask(docs.columns.index(text_col), novelty, mark), docs.schema)

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm.common import staged
+from ticketmill.llm.common import small_batches, staged
 
 #: The chain: name, column of the table of labels, value that counts as positive.
 CHAIN = (("low_quality", "quality", 0), ("toxic", "toxic", 1))
@@ -181,6 +181,7 @@ def fit_chain(
     chain: tuple[tuple[str, str, int], ...] = CHAIN, sample: int = SAMPLE, folds: int = FOLDS,
 ) -> list[tuple[bytes, float]]:
     """The serialised models of the chain's categories, in order, each with the threshold that does best out of fold."""
+    small_batches(spark)
     label = [F.max(F.when(F.col(c).isNotNull(), (F.col(c) == v).cast("double"))).alias(f"label_{i}") for i, (_, c, v) in enumerate(chain)]
     marked = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("bigint").alias("doc_id")).agg(*label)
     marked = staged(spark, marked, "labels")
@@ -239,6 +240,7 @@ def scored(
     chain: tuple[tuple[str, str, int], ...] = CHAIN,
 ) -> DataFrame:
     """``doc_id``, ``p_<category>`` of each category, and the last category's flag under its own name."""
+    small_batches(spark)
     sent = spark.sparkContext.broadcast([model for model, _ in models])
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kinds = ", ".join(f"p{i} double" for i in range(len(chain)))
