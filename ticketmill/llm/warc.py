@@ -51,11 +51,10 @@ def archive(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_
     rows = pages.select(page_id.alias("page_id"), url.alias("url"), F.sha2(record, 256).alias("digest"), record.alias("record"))
     placed = with_ordinal(spark, rows, ["page_id", "url", "digest"], "at", "records")
     placed = placed.withColumn("warc_file", F.floor(F.col("at") / FILE_RECORDS)).withColumn("length", F.length("record").cast("bigint"))
-    sizes = staged(spark, placed.select("at", "warc_file", "length", "page_id", "record"), "placed")
     # A file has FILE_RECORDS records at most.
     before = Window.partitionBy("warc_file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("at", F.coalesce(F.sum("length").over(before), F.lit(0)).alias("start"))
-    return staged(spark, sizes.join(starts, "at").select("at", "warc_file", "start", "length", "page_id", "record"), "archive")
+    start = F.coalesce(F.sum("length").over(before), F.lit(0)).alias("start")
+    return staged(spark, placed.select("at", "warc_file", start, "length", "page_id", "record"), "archive")
 
 
 def tree(spark: SparkSession, records: DataFrame, fanout: int = FANOUT) -> list[DataFrame]:
