@@ -123,3 +123,27 @@ def test_verdicts(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string, lang string")
     assert quality.verdicts(spark, docs).collect() == [] and quality.kept(spark, docs).collect() == []
+
+
+def test_word_model_grows_and_rejects_words_of_no_other_text(spark):
+    draw = random.Random(9)
+    word = lambda: "".join(draw.choice(["th", "er", "on", "an", "re", "he"]) for _ in range(draw.randint(3, 4)))
+    known = [word() for _ in range(600)]
+    fresh = [w for w in (word() for _ in range(4000)) if w not in known]
+    rows = [(i, " ".join(draw.choice(known) for _ in range(draw.randint(40, 200))), "en") for i in range(200)]
+    # The same syllables, so the same characters, in words that no other text has.
+    rows += [(900 + i, " ".join(draw.sample(fresh, 100)), "en") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    got = {r.doc_id: r for r in quality.verdicts(spark, docs).collect()}
+    assert all(got[i].kept for i in range(200))
+    for i in range(900, 904):
+        assert not got[i].base_failed and not got[i].kept
+        assert got[i].low <= got[i].log_perplexity <= got[i].high and got[i].word_log_perplexity > got[i].word_high
+    words = [t.split() for _, t, _ in rows]
+    single, pairs = Counter(w for ws in words for w in ws), Counter(p for ws in words for p in zip(["", *ws], ws, strict=False))
+    assert sorted(r.n for r in quality.word_model(spark, docs).collect()) == sorted([*single.values(), *pairs.values()])
+    for i in (0, 201):
+        k1, k2, n = Counter(words[i]), Counter(zip(["", *words[i]], words[i], strict=False)), len(words[i])
+        mean = lambda k, c: sum(k[g] * math.log(c[g] - k[g] + 0.5) for g in k) / n  # noqa: E731, B023
+        want = math.log(sum(single.values())) - 2 / 3 * mean(k1, single) - mean(k2, pairs) / 3
+        assert got[rows[i][0]].word_log_perplexity == pytest.approx(want, rel=1e-9)

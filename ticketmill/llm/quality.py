@@ -1,6 +1,14 @@
-"""Quality rules with n-gram perplexity under a modified Kneser-Ney model that Spark counts.
+"""Quality rules with the perplexity of word n-grams and of characters, both under models that Spark counts.
 
-The model is one of characters in 64 classes (letters without case, one class of
+The word model has every word and every pair of neighbours of every text, in one
+case, without tokens that have neither letter nor digit. It grows with the input
+and stays a table of hashes and counts: a text's different n-grams are joined to
+it and their log-probabilities summed for each document. A text's own n-grams
+are taken off the counts first, so that what no other text has is rare however
+often the text repeats it. Words count for two thirds, pairs for one third.
+
+The character model sees what has no words between spaces. It is a modified
+Kneser-Ney model, one of characters in 64 classes (letters without case, one class of
 digits, of white space, of each common mark, hashed classes for other letters),
 four at a time. So it has at most 64**4 entries for a language, however large
 the corpus is, while its counts come from every character of every text. For
@@ -9,15 +17,18 @@ packed in 24 bits) beside their probabilities; a lookup is a binary search, an
 n-gram that is missing backs off to shorter ones.
 
 The languages' arrays are sent to the tasks one by one, and a task loads those
-of the languages it meets. Word n-grams would need arrays as long as the corpus.
+of the languages it meets.
 
-A document is kept when it passes the base rules and its perplexity lies inside
-its language's band. The band follows from all documents that pass the base
+A document is kept when it passes the base rules and both perplexities lie inside
+its language's bands. Bands follow from all documents that pass the base
 rules: around the language's median of log-perplexity, as wide as a multiple of
-the spread that a mean over so many characters has in that language.
+the spread that a mean over so many characters or words has in that language.
+The lower word band also reaches twice as far as the language's lowest
+twentieth, since near copies of other texts have low word perplexity and are
+judged elsewhere.
 
 Defined results: a null text is empty, has no perplexity and fails the base
-rules; a null language is the empty one; repeated rows and null ids are judged
+rules; a text without any letter or digit has no word perplexity and is not kept; a null language is the empty one; repeated rows and null ids are judged
 like any other; an empty table gives an empty one; other columns are ignored by
 ``verdicts`` and kept by ``kept``.
 """
@@ -50,8 +61,14 @@ BATCH_CHARS = 2_000_000
 REACH = 8.0
 #: ... and at least so much log-perplexity, which long texts of one language differ by.
 MARGIN = 0.12
+#: What is added to a word n-gram's count, the share of single words in the score, and the word band's half width.
+ADDED = 0.5
+SINGLE = 2 / 3
+WORD_REACH, WORD_MARGIN = 4.0, 0.4
 
 _WORDS = re.compile(WORD)
+_LETTER = re.compile(r"[^\W_]")
+_MULTIPLY = [np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
 @cache
@@ -252,6 +269,54 @@ def _repeated(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return inside[starts + sizes] - inside[starts]
 
 
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * _MULTIPLY[0]
+    x = (x ^ (x >> np.uint64(27))) * _MULTIPLY[1]
+    return x ^ (x >> np.uint64(31))
+
+
+def word_grams(langs: list[str], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words (even) and pairs of neighbours (odd) of the texts, and the text of each."""
+    known: dict[str, int] = {}
+    numbers: list[int] = []
+    sizes = []
+    for text in texts:
+        words = _WORDS.findall(text.lower())
+        for word in set(words):
+            if word not in known:
+                known[word] = xxhash.xxh64_intdigest(word) | 1 if _LETTER.search(word) else 0
+        numbers += map(known.__getitem__, words)
+        sizes.append(len(words))
+    words, owner = np.array(numbers, np.uint64), np.repeat(np.arange(len(texts)), sizes)
+    words, owner = words[words > 0], owner[words > 0]
+    seeds = np.array([xxhash.xxh64_intdigest(lang) for lang in langs], np.uint64)
+    words = _mix(words ^ seeds[owner])
+    before = np.concatenate([np.zeros(1, np.uint64), words[:-1]])[: len(words)]
+    before[np.concatenate([[True], owner[1:] != owner[:-1]])[: len(words)]] = 1
+    pairs = _mix(before * _MULTIPLY[1] + words)
+    grams = np.concatenate([words & ~np.uint64(1), pairs | np.uint64(1)])
+    return grams, np.concatenate([owner, owner])
+
+
+def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        langs, texts = (c.to_pylist() for c in batch.columns[1:])
+        for begin, stop in _even(texts):
+            grams, n = np.unique(word_grams(langs[begin:stop], texts[begin:stop])[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"])
+
+
+def _list_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        docs = np.asarray(batch.column(0))
+        langs, texts = (c.to_pylist() for c in batch.columns[1:])
+        for begin, stop in _even(texts):
+            grams, owner = word_grams(langs[begin:stop], texts[begin:stop])
+            _, first, n = np.unique(_mix(grams + owner.astype(np.uint64) * _MULTIPLY[1]), return_index=True, return_counts=True)
+            columns = [pa.array(docs[begin + owner[first]]), pa.array(grams[first].view(np.int64)), pa.array(n.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "gram", "k"])
+
+
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SCORED = "doc_id bigint, key string, lang string, " + ", ".join(f"{name} bigint" for name in FEATURES) + ", n_grams bigint, log_perplexity double"
 
@@ -314,30 +379,67 @@ def scored(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_co
     return _texts(docs, id_col, text_col, lang_col).mapInArrow(_score(sent), SCORED)
 
 
+def word_model(spark: SparkSession, docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``gram`` and ``n``: how often all texts together have each word and each pair of neighbours."""
+    counted = _for_words(docs, text_col, lang_col).mapInArrow(_count_grams, "gram bigint, n bigint")
+    return counted.groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def word_scored(spark: SparkSession, docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``doc`` (the hash of a key), ``n_letter_words`` and ``score``, the mean logarithm of a word's smoothed count; once for equal texts."""
+    model = staged(spark, word_model(spark, docs, text_col, lang_col), "words")
+    listed = _for_words(docs, text_col, lang_col).mapInArrow(_list_grams, "doc bigint, gram bigint, k int")
+    single = F.col("gram").bitwiseAND(F.lit(1)) == 0
+    part = F.when(single, SINGLE).otherwise(1 - SINGLE) * F.col("k") * F.log(F.col("n") - F.col("k") + ADDED)
+    # Equal texts have equal rows: sums and numbers of words grow alike.
+    summed = listed.join(model, "gram").groupBy("doc").agg(F.sum(part).alias("score"), F.sum(F.when(single, F.col("k"))).alias("n_all"))
+    return summed.select("doc", F.col("n_all").alias("n_letter_words"), (F.col("score") / F.col("n_all")).alias("score"))
+
+
+def _for_words(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    return _texts(docs, None, text_col, lang_col).select(F.xxhash64("key").alias("doc"), "lang", "text")
+
+
 def verdicts(
     spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     reach: float = REACH, margin: float = MARGIN,
 ) -> DataFrame:
-    """The base counts, ``base_failed``, ``kept``, ``log_perplexity`` and the band of each row; equal ``key``, equal verdict."""
+    """The base counts, ``base_failed``, ``kept``, both log-perplexities and their bands of each row; equal ``key``, equal verdict."""
     rows = staged(spark, scored(spark, docs, id_col, text_col, lang_col), "scored")
+    by_words = staged(spark, word_scored(spark, docs, text_col, lang_col), "word_scored")
+    rows = rows.withColumn("doc", F.xxhash64("key")).join(by_words, "doc", "left").drop("doc")
+    total = staged(spark, rows.groupBy("lang").agg(F.sum("n_letter_words").alias("total")), "totals")
+    rows = rows.join(total, "lang", "left").withColumn("word_log_perplexity", F.log("total") - F.col("score")).drop("total", "score")
+    rows = staged(spark, rows, "word_rows")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     rows = rows.withColumn("base_failed", failed)
     rows = rows.withColumn("_root", F.sqrt(F.greatest(F.col("n_grams"), F.lit(1))))
+    rows = rows.withColumn("_word_root", F.sqrt(F.greatest(F.col("n_letter_words"), F.lit(1))))
     good = rows.where(~F.col("base_failed"))
-    middle = staged(spark, good.groupBy("lang").agg(F.percentile_approx("log_perplexity", 0.5, 10000).alias("middle")), "middles")
+    ranks = F.percentile_approx("word_log_perplexity", [0.05, 0.5], 10000)
+    middle = good.groupBy("lang").agg(F.percentile_approx("log_perplexity", 0.5, 10000).alias("middle"), ranks.alias("w"))
+    middle = middle.select("lang", "middle", F.col("w")[1].alias("word_middle"), (F.col("w")[1] - F.col("w")[0]).alias("word_tail"))
+    middle = staged(spark, middle, "middles")
     off = (F.col("log_perplexity") - F.col("middle")) * F.col("_root")
-    quartiles = F.percentile_approx(off, [0.25, 0.75], 10000).alias("q")
+    word_off = (F.col("word_log_perplexity") - F.col("word_middle")) * F.col("_word_root")
+    quartiles = [F.percentile_approx(x, [0.25, 0.75], 10000).alias(q) for x, q in ((off, "q"), (word_off, "w"))]
     # Quartiles of a normal distribution lie 1.349 standard deviations apart.
-    spread = good.join(middle, "lang").groupBy("lang").agg(quartiles).select("lang", ((F.col("q")[1] - F.col("q")[0]) / 1.349).alias("spread"))
+    spread = good.join(middle, "lang").groupBy("lang").agg(*quartiles)
+    spread = spread.select("lang", *[((F.col(q)[1] - F.col(q)[0]) / 1.349).alias(name) for q, name in (("q", "spread"), ("w", "word_spread"))])
     bands = staged(spark, middle.join(spread, "lang"), "bands")
     wide = F.greatest(F.lit(margin), reach * F.col("spread") / F.col("_root"))
+    word_wide = F.greatest(F.lit(WORD_MARGIN), WORD_REACH * F.col("word_spread") / F.col("_word_root"))
+    inside = F.col("log_perplexity").between(F.col("low"), F.col("high")) & F.col("word_log_perplexity").between(F.col("word_low"), F.col("word_high"))
     judged = (
         rows.join(bands, "lang", "left")
         .withColumn("low", F.col("middle") - wide)
         .withColumn("high", F.col("middle") + wide)
-        .withColumn("kept", F.coalesce(~F.col("base_failed") & F.col("log_perplexity").between(F.col("low"), F.col("high")), F.lit(False)))
+        .withColumn("word_low", F.col("word_middle") - F.greatest(word_wide, 2 * F.col("word_tail")))
+        .withColumn("word_high", F.col("word_middle") + word_wide)
+        .withColumn("kept", F.coalesce(~F.col("base_failed") & inside, F.lit(False)))
     )
-    return judged.select("doc_id", "key", *FEATURES, "base_failed", "kept", "log_perplexity", "low", "high")
+    columns = ("log_perplexity", "low", "high", "word_log_perplexity", "word_low", "word_high")
+    return judged.select("doc_id", "key", *FEATURES, "base_failed", "kept", *columns)
 
 
 def kept(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -43,7 +43,7 @@ def op4_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.verdicts(spark, _table(spark, sf_dir, "documents"))
-    return judged.select("doc_id", *quality.FEATURES, "base_failed", "kept", "log_perplexity")
+    return judged.select("doc_id", *quality.FEATURES, "base_failed", "kept", "log_perplexity", "word_log_perplexity")
 
 
 def op6_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
