@@ -88,3 +88,17 @@ def test_stages_beside_brute_force(spark, sf_dir):
 def test_run_applies_all_stages(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir)
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() > 0
+
+
+def test_quality_stage_rejects_by_perplexity_alone(spark):
+    draw = random.Random(5)
+    word = lambda: "".join(draw.choice(["th", "er", "on", "an", "re", "he"]) for _ in range(draw.randint(3, 4)))
+    known = [word() for _ in range(600)]
+    fresh = [w for w in (word() for _ in range(2000)) if w not in known]
+    texts = [" ".join(draw.choice(known) for _ in range(draw.randint(40, 200))) for _ in range(150)]
+    texts.append(" ".join(draw.sample(fresh, 80)))
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    features = plain_features(texts[150])
+    assert features[0] >= 10 and 100 * features[4] <= 20 * features[0]
+    kept = dict(corpus_pipeline.STAGES)["quality"](spark, spark.createDataFrame(rows, COLUMNS), "")
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(150))
