@@ -121,3 +121,23 @@ def test_components(spark, seed):
                 group[a] = group[b] = min(group[a], group[b])
     df = spark.createDataFrame(links, "a bigint, b bigint")
     assert {r.node: r.component for r in components(spark, df).collect()} == group
+
+
+@pytest.mark.parametrize("rate", [0.08, 0.1])
+def test_no_link_of_a_bucket_is_lost(spark, rate):
+    draw = random.Random(1)
+    words, texts = [f"w{i}" for i in range(400)], []
+    for i in range(250):
+        # One run of words is replaced: neighbours stay above the limit, their neighbours don't.
+        at, n = draw.randrange(360), int(400 * rate)
+        words = [*words[:at], *(f"n{i}x{j}" for j in range(min(n, 400 - at))), *words[at + n :]]
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r.class_id for r in nearcopies.classes(spark, docs).collect()}
+    cells, owner = nearcopies._cells(texts)
+    earliest = nearcopies.signatures(cells, owner, len(texts), 144).reshape(len(texts), 24, 6)
+    sets = [shingles(t) for t in texts]
+    for i in range(len(texts)):
+        for j in range(i):
+            if (earliest[i] == earliest[j]).all(axis=1).any() and similarity(sets[i], sets[j]) >= 0.8:
+                assert got[i] == got[j], (i, j)

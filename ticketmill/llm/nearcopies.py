@@ -15,7 +15,10 @@ compared with one leader, the text that shares most buckets with others, by the
 exact similarity of their shingles; what the leader's group leaves over gets the
 next leader, as long as that finds links. So a bucket of n texts costs n
 comparisons and not n squared. Buckets of two bands joined give leaders for
-closer relatives. Components of the links are the classes.
+closer relatives. Then texts of one bucket that are still in different components
+and of which none was its first leader are joined by their rarest shingles, which
+two similar texts must share, and every pair that meets is compared. So no link
+between texts of one bucket is missed. Components of the links are the classes.
 
 Texts with the same words in a row are copies; one of them stands for all, so
 that thousands of copies are one text in everything that follows. Texts of fewer
@@ -205,6 +208,28 @@ def _linked(spark: SparkSession, pairs: DataFrame, cells: DataFrame, similar: fl
     return staged(spark, close.select("a", "b"), "linked")
 
 
+def _prefix_pairs(spark: SparkSession, texts: DataFrame, similar: float) -> DataFrame:
+    """Pairs ``a``, ``b`` of different components that hold all that are ``similar``, from ``node``, ``component`` and ``cells``.
+
+    Of two similar texts each has at most 1 - ``similar`` of its cells for itself, so
+    the rarest so many and one of each must meet. Common cells come last.
+    """
+    every = staged(spark, texts.select("node", "component", F.size("cells").alias("size"), F.explode("cells").alias("cell")), "apart_cells")
+    often = every.groupBy("cell").agg(F.count("*").alias("often"))
+    ranked = every.join(often, "cell").groupBy("node").agg(
+        F.first("component").alias("component"), F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("often", "cell"))).alias("cells")
+    )
+    least = F.col("size") - F.ceil(F.col("size") * F.lit(similar) - 1e-6) + 1
+    heads = ranked.select("node", "component", "size", F.explode(F.slice("cells", F.lit(1), least.cast("int"))).alias("head"))
+    heads = staged(spark, heads.select("node", "component", "size", "head.cell"), "heads")
+    met = heads.groupBy("cell").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    heads = staged(spark, heads.join(met, "cell", "left_semi"), "heads")
+    short, long = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
+    apart = (F.col("x.cell") == F.col("y.cell")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
+    met = heads.alias("x").join(heads.alias("y"), apart & (short >= long * similar - 1e-6))
+    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
 def classes(
     spark: SparkSession,
     docs: DataFrame,
@@ -249,11 +274,12 @@ def _classed(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, s
     cells = again.select("node", "text").mapInArrow(_shingles, "node bigint, cells array<bigint>")
     cells = staged(spark, cells.groupBy("node").agg(F.first("cells").alias("cells")), "cells")
 
-    links, done, left, groups = None, None, members, None
+    links, done, left, groups, first = None, None, members, None, None
     while True:
         leader = F.max(F.struct("popular", (-F.col("node")).alias("minus")))
         leaders = left.groupBy("bucket").agg(leader.alias("top"), F.count("*").alias("n")).where("n > 1")
         leaders = leaders.select("bucket", (-F.col("top.minus")).alias("leader"))
+        first = staged(spark, leaders, "leaders") if first is None else first
         pairs = left.join(leaders, "bucket").where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
@@ -271,6 +297,20 @@ def _classed(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, s
         rest = F.col("leading").isNull() | F.col("component").isNull() | (F.col("component") != F.col("leading"))
         left = staged(spark, own.where(rest & (F.col("node") != F.col("leader"))).select("bucket", "node", "popular"), "left")
 
+    # What the leaders left uncompared: texts of one bucket in different components, but for its first leader.
+    others = members.join(first, (members["bucket"] == first["bucket"]) & (members["node"] == first["leader"]), "left_anti")
+    if groups is not None:
+        others = others.join(groups, "node", "left")
+    component = F.col("node") if groups is None else F.coalesce("component", "node")
+    others = staged(spark, others.select("bucket", "node", component.alias("component")), "others")
+    mixed = others.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    apart = staged(spark, others.join(mixed, "bucket", "left_semi").select("node", "component").distinct(), "apart")
+    pairs = staged(spark, _prefix_pairs(spark, apart.join(cells, "node"), similar), "pairs")
+    found = _linked(spark, pairs, cells, similar)
+    if not found.isEmpty():
+        links = found if links is None else links.unionByName(found)
+        groups = staged(spark, components(spark, links), "groups")
+
     if groups is None:
         grouped = nodes.withColumn("component", F.col("node"))
     else:
