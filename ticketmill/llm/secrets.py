@@ -1,8 +1,9 @@
 """Secrets in texts: fixed patterns, and strings that a primed compressor finds new.
 
 Three patterns report assignments, access keys and long hexadecimal runs. The
-novelty scan then looks at every other string of key-like characters close
-behind a sensitive word. It compresses the text around the string with zstd,
+novelty scan then looks at every other string of key-like characters in a line
+with a sensitive word or in a line beside it, before and behind the word, and
+goes on through neighbouring strings as long as it reports them. It compresses the text around the string with zstd,
 primed with a dictionary of common identifiers, once without and once with the
 string. What the string adds, in bytes for each of its characters, is its
 novelty: names, paths and words that the dictionary or the text around already
@@ -42,6 +43,8 @@ SENSITIVE = (
 )
 NEAR = re.compile("|".join(re.escape(word) for word in SENSITIVE), re.ASCII | re.IGNORECASE)
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]+")
+#: What stands between the lines of one block or the parts of one token.
+JOINT = re.compile(r"""["'\\rn,]*\s*["']*|\.""", re.ASCII)
 # Text of the kind that stands around secrets without being one.
 IDENTIFIERS = (
     "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 "
@@ -56,10 +59,8 @@ IDENTIFIERS = (
     "ing tion ment ness able less ful ever over under with that this have from they which would there their "
 )
 
-#: A string of at least so many characters is a candidate ...
+#: A string of at least so many characters is a candidate.
 MIN_CHARS = 16
-#: ... when it begins at most so many characters behind a sensitive word.
-REACH = 64
 #: Characters on both sides that count as its surroundings.
 AROUND = 256
 #: Compressed bytes that a character must add. Random base64 adds 0.75, random hex 0.5.
@@ -92,26 +93,55 @@ class Novelty:
         return (len(self.press(around + text[start:end].encode())) - size) / (end - start)
 
 
+def _near_lines(text: str) -> list[tuple[int, int]]:
+    """Stretches of the lines with a sensitive word, the line before and the line behind."""
+    zones: list[tuple[int, int]] = []
+    line_end = -1
+    for near in NEAR.finditer(text):
+        if near.end() <= line_end:
+            continue
+        begin = text.rfind("\n", 0, near.start())
+        begin = text.rfind("\n", 0, begin) if begin > 0 else -1
+        line_end = text.find("\n", near.end())
+        line_end = line_end if line_end >= 0 else len(text)
+        end = text.find("\n", line_end + 1)
+        zones.append((begin + 1, end if end >= 0 else len(text)))
+    return zones
+
+
 def novel_spans(text: str, base: list[Span], novelty: Novelty, threshold: float) -> list[Span]:
-    """Key-like strings behind sensitive words that no base span covers and that add much."""
+    """Key-like strings around sensitive words that no base span touches and that add much."""
     lower = text.lower()
     if not any(word in lower for word in SENSITIVE):
         return []
-    found, done = [], 0
+    zones = _near_lines(text)
+    strings = [m.span() for m in CANDIDATE.finditer(text) if m.end() - m.start() >= MIN_CHARS]
+    near, at = [], 0
+    for i, (start, end) in enumerate(strings):
+        while at < len(zones) and zones[at][1] <= start:
+            at += 1
+        if at < len(zones) and zones[at][0] < end:
+            near.append(i)
     taken = sorted((start, end) for start, _, end in base)
-    for near in NEAR.finditer(text):
-        for m in CANDIDATE.finditer(text, max(near.end(), done)):
-            if m.start() > near.end() + REACH:
-                break
-            done = m.end()
-            if m.end() - m.start() < MIN_CHARS or any(a < m.end() and m.start() < b for a, b in taken):
-                continue
-            # Prose has no digits inside its words and no change of case.
-            if m[0].isalpha() and (m[0].islower() or m[0].isupper() or m[0].istitle()):
-                continue
-            if novelty(text, m.start(), m.end()) >= threshold:
-                found.append((m.start(), 3, m.end()))
-    return found
+    found, seen = [], set(near)
+    while near:
+        i = near.pop()
+        start, end = strings[i]
+        if any(a < end and start < b for a, b in taken):
+            continue
+        # Prose has no digits inside its words and no change of case.
+        string = text[start:end]
+        if string.isalpha() and (string.islower() or string.isupper() or string.istitle()):
+            continue
+        if novelty(text, start, end) < threshold:
+            continue
+        found.append((start, 3, end))
+        # The next lines of a block and parts between dots are near a secret too.
+        for j in (i - 1, i + 1):
+            if 0 <= j < len(strings) and j not in seen and JOINT.fullmatch(text, *sorted((strings[min(i, j)][1], strings[max(i, j)][0]))):
+                seen.add(j)
+                near.append(j)
+    return sorted(found)
 
 
 def _scan(threshold: float):
