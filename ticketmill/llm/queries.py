@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm import bpe, chats, counts, mixing, nearcopies, quality, secrets, topk, toxicity, warc
+from ticketmill.llm import bpe, chats, counts, mixing, nearcopies, quality, runs, secrets, topk, toxicity, warc
 
 BPE_RANKS = "byte_bpe_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
@@ -67,8 +67,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(spark, _table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digests(spark, _table(spark, sf_dir, "documents"), rewrite=runs.planted)
+
+
 def queries() -> dict[str, Query]:
-    found = [op1_mix_sources, op2_bpe_round_trip, op3_warc_audit, op4_chat_snapshots, op5_quality_rules, op6_near_copies, op7_toxicity_chain, op8_secret_scan, op9_exact_top_k, op10_token_counts]
+    found = [
+        op1_mix_sources, op2_bpe_round_trip, op3_warc_audit, op4_chat_snapshots, op5_quality_rules, op6_near_copies, op7_toxicity_chain,
+        op8_secret_scan, op9_exact_top_k, op10_token_counts, op11_word_runs,
+    ]
     return {query.__name__: query for query in found}
 
 
