@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm import bpe, chats, counts, mixing, nearcopies, quality, runs, secrets, topk, toxicity, warc
+from ticketmill.llm import bpe, chats, counts, mixing, nearcopies, quality, runs, secrets, setjoin, topk, toxicity, warc
 
 BPE_RANKS = "byte_bpe_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
@@ -71,13 +71,23 @@ def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digests(spark, _table(spark, sf_dir, "documents"), rewrite=runs.planted)
 
 
+def op12_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.components(spark, _table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_mix_sources, op2_bpe_round_trip, op3_warc_audit, op4_chat_snapshots, op5_quality_rules, op6_near_copies, op7_toxicity_chain,
-        op8_secret_scan, op9_exact_top_k, op10_token_counts, op11_word_runs,
+        op8_secret_scan, op9_exact_top_k, op10_token_counts, op11_word_runs, op12_shingle_join,
     ]
     return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": mixing.ORACLE_SQL, "op3_warc_audit": warc.ORACLE_SQL, "op4_chat_snapshots": chats.ORACLE_SQL, "op9_exact_top_k": topk.ORACLE_SQL}
+    return {
+        "op1_mix_sources": mixing.ORACLE_SQL,
+        "op3_warc_audit": warc.ORACLE_SQL,
+        "op4_chat_snapshots": chats.ORACLE_SQL,
+        "op9_exact_top_k": topk.ORACLE_SQL,
+        "op12_shingle_join": setjoin.ORACLE_SQL,
+    }
