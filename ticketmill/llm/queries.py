@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm import bpe, chats, counts, mixing, nearcopies, quality, runs, secrets, setjoin, topk, toxicity, warc
+from ticketmill.llm import bpe, chats, counts, mixing, nearcopies, phrases, quality, runs, secrets, setjoin, topk, toxicity, warc
 
 BPE_RANKS = "byte_bpe_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
@@ -75,10 +75,14 @@ def op12_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setjoin.components(spark, _table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(spark, _table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_mix_sources, op2_bpe_round_trip, op3_warc_audit, op4_chat_snapshots, op5_quality_rules, op6_near_copies, op7_toxicity_chain,
-        op8_secret_scan, op9_exact_top_k, op10_token_counts, op11_word_runs, op12_shingle_join,
+        op8_secret_scan, op9_exact_top_k, op10_token_counts, op11_word_runs, op12_shingle_join, op13_collocations,
     ]
     return {query.__name__: query for query in found}
 
@@ -90,4 +94,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_chat_snapshots": chats.ORACLE_SQL,
         "op9_exact_top_k": topk.ORACLE_SQL,
         "op12_shingle_join": setjoin.ORACLE_SQL,
+        "op13_collocations": phrases.ORACLE_SQL,
     }
