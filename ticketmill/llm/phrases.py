@@ -307,19 +307,21 @@ WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang,
     unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents
-), texts AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
-places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM texts),
+), texts AS (SELECT row_number() OVER () AS t, lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+places AS (SELECT t, lang, unnest(w) AS one, unnest(range(1, len(w) + 1)) AS i FROM texts),
+rows AS (SELECT lang, one, lead(one) OVER (PARTITION BY t ORDER BY i) AS two, lead(one, 2) OVER (PARTITION BY t ORDER BY i) AS three FROM places),
 grams AS (
-  SELECT lang, 1 AS words, w[i] AS phrase FROM places
-  UNION ALL SELECT lang, 2, w[i] || ' ' || w[i + 1] FROM places WHERE i + 1 <= len(w)
-  UNION ALL SELECT lang, 3, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FROM places WHERE i + 2 <= len(w)
-), counts AS (SELECT lang, words, phrase, count(*) AS f FROM grams GROUP BY ALL),
+  SELECT lang, 1 AS words, one AS phrase FROM rows
+  UNION ALL SELECT lang, 2, one || ' ' || two FROM rows WHERE two IS NOT NULL
+  UNION ALL SELECT lang, 3, one || ' ' || two || ' ' || three FROM rows WHERE three IS NOT NULL
+), counts AS (SELECT lang, words, phrase, count(*) AS f, lang || chr(10) || phrase AS id FROM grams GROUP BY lang, words, phrase),
 candidates AS (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE words > 1 AND f >= 10),
-cuts AS (
+parts AS (
+  SELECT *, lang || chr(10) || array_to_string(w[1 : k], ' ') AS left_id, lang || chr(10) || array_to_string(w[k + 1 :], ' ') AS right_id
+  FROM (SELECT *, unnest(range(1, words)) AS k FROM candidates)
+), cuts AS (
   SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, CAST((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
-  FROM (SELECT *, unnest(range(1, words)) AS k FROM candidates) c
-  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(w[1 : k], ' ')
-  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1 :], ' ')
+  FROM parts c JOIN counts x ON x.id = left_id JOIN counts y ON y.id = right_id
 ), weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
 longer AS (
   SELECT lang, w[1] || ' ' || w[2] AS phrase, a FROM candidates WHERE words = 3

@@ -323,8 +323,10 @@ WITH RECURSIVE docs AS (
     regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
   FROM documents
 ), texts AS (SELECT w, row_number() OVER () AS t FROM (SELECT DISTINCT w FROM docs WHERE len(w) > 0)),
-places AS (SELECT t, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM texts),
-shingles AS (SELECT DISTINCT t, array_to_string(w[i : i + 4], ' ') || CASE WHEN len(w) < 5 THEN ' ' ELSE '' END AS s FROM places),
+places AS (SELECT t, len(w) AS n_words, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM texts),
+windows AS (
+  SELECT t, n_words, i, array_agg(word) OVER (PARTITION BY t ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS w FROM places
+), shingles AS (SELECT DISTINCT t, w AS s FROM windows WHERE len(w) = 5 OR n_words < 5 AND i = 1),
 sizes AS (SELECT t, count(*) AS n FROM shingles GROUP BY t),
 shared AS (
   SELECT a.t AS a, b.t AS b, count(*) AS n_both FROM shingles a JOIN shingles b ON a.s = b.s AND a.t < b.t GROUP BY a.t, b.t
