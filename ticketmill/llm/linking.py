@@ -2,12 +2,15 @@
 
 In each bucket the heaviest node leads. Every node is compared first with the
 leader that it shares most buckets with, then with the other leaders of its
-buckets, as far as they are still in different components. Buckets whose nodes
-are then still in different components get more leaders, four times as many in
-each round, until no two nodes of a bucket are both uncompared and in different
-components. So a bucket of near copies costs about one comparison for each node,
-and every link between nodes of one bucket is in the result, directly or over
-others. Comparisons are exact.
+buckets, as far as they don't follow the same one. Buckets whose nodes are then
+still in different components get more leaders, many times as many in each round,
+until no two nodes of a bucket are both uncompared and in different components.
+So a bucket of near copies costs about one comparison for each node, and every
+link between nodes of one bucket is in the result, directly or over others.
+
+A node has a bound for each of its buckets: what it can share with another node
+that it meets there first. Only nodes whose bounds are enough for their sizes are
+compared. Comparisons are exact.
 """
 
 from __future__ import annotations
@@ -20,12 +23,12 @@ from ticketmill.llm.common import staged
 from ticketmill.llm.components import components
 
 #: By how much the number of leaders of a bucket grows from round to round.
-GROWTH = 4
+GROWTH = 16
 
 
 def _can_be_similar(x: str, y: str, similar: float) -> Column:
-    """Sizes allow it: the smaller number of shareable cells is enough for both sets."""
-    least = F.least(F.col(f"{x}.shareable"), F.col(f"{y}.shareable"))
+    """What both can share is enough for sets of their sizes."""
+    least = F.least(F.col(f"{x}.bound"), F.col(f"{y}.bound"))
     return (1 + similar) * least >= similar * (F.col(f"{x}.size") + F.col(f"{y}.size")) - 1e-6
 
 
@@ -39,70 +42,58 @@ def similar_pairs(spark: SparkSession, pairs: DataFrame, cells: DataFrame, simil
     return staged(spark, close.select("a", "b"), "linked")
 
 
-def _apart(pairs: DataFrame, groups: DataFrame | None) -> DataFrame:
-    """Pairs whose nodes are in different components."""
+def _with_component(nodes: DataFrame, groups: DataFrame | None, node: str = "node", component: str = "component") -> DataFrame:
+    """``nodes`` with the component of the column ``node``: itself where it has no link."""
     if groups is None:
-        return pairs
-    one = groups.select(F.col("node").alias("a"), F.col("component").alias("component_a"))
-    two = groups.select(F.col("node").alias("b"), F.col("component").alias("component_b"))
-    joined = pairs.join(one, "a", "left").join(two, "b", "left")
-    different = F.coalesce(F.col("component_a"), F.col("a")) != F.coalesce(F.col("component_b"), F.col("b"))
-    return joined.where(different).select(*pairs.columns)
+        return nodes.withColumn(component, F.col(node))
+    of = groups.select(F.col("node").alias(node), F.col("component").alias(component))
+    return nodes.join(of, node, "left").withColumn(component, F.coalesce(component, node))
 
 
 def grouped(spark: SparkSession, members: DataFrame, cells: DataFrame, similar: float) -> DataFrame | None:
     """``node`` and ``component`` (its smallest node) of all linked nodes; None without links.
 
-    ``members``: bucket, node, weight, size (of the set) and shareable (how many of its cells any other set can have).
+    ``members``: bucket, node, weight, size (of the set) and bound (how much it can share with a node that it meets there first).
     """
-    links, groups = None, None
-
-    def compare(pairs: DataFrame) -> None:
-        nonlocal links, groups
-        found = similar_pairs(spark, pairs, cells, similar)
-        if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            groups = staged(spark, components(spark, links), "groups")
-
-    heaviest = F.max(F.struct("weight", (-F.col("node")).alias("minus"), "size", "shareable")).alias("top")
+    heaviest = F.max(F.struct("weight", (-F.col("node")).alias("minus"), "size", "bound")).alias("top")
     leaders = members.groupBy("bucket").agg(heaviest, F.count("*").alias("n")).where("n > 1")
-    leaders = leaders.select("bucket", (-F.col("top.minus")).alias("node"), "top.size", "top.shareable").alias("l")
+    leaders = leaders.select("bucket", (-F.col("top.minus")).alias("node"), "top.size", "top.bound").alias("l")
     met = members.alias("m").join(leaders, (F.col("m.bucket") == F.col("l.bucket")) & (F.col("m.node") != F.col("l.node")) & _can_be_similar("m", "l", similar))
     met = met.groupBy(F.col("l.node").alias("a"), F.col("m.node").alias("b")).agg(F.count("*").alias("often"))
     met = staged(spark, met, "met")
     best = met.groupBy("b").agg(F.max(F.struct("often", (-F.col("a")).alias("minus"))).alias("top"))
     best = staged(spark, best.select((-F.col("top.minus")).alias("a"), "b"), "best")
-    compare(best)
-    rest = staged(spark, _apart(met.join(best, ["a", "b"], "left_anti"), groups), "rest")
-    compare(rest)
-
-    done, left, n_leaders = met.select("a", "b"), members, 1
+    followed = similar_pairs(spark, best, cells, similar)
+    # A node and a leader that both follow the same one, or one the other, need no comparison.
+    follows = followed.select(F.col("b").alias("node"), F.col("a").alias("component"))
+    rest = met.select("a", "b").join(best, ["a", "b"], "left_anti")
+    rest = _with_component(_with_component(rest, follows, "a", "of_a"), follows, "b", "of_b")
+    rest = rest.where("of_a <> of_b and of_a <> b and of_b <> a").select("a", "b")
+    links = followed.unionByName(similar_pairs(spark, staged(spark, rest, "rest"), cells, similar))
+    groups = None if links.isEmpty() else staged(spark, components(spark, links), "groups")
+
+    done, left, n_passed, n_leaders = met.select("a", "b"), members, 1, GROWTH
     in_bucket = Window.partitionBy("bucket").orderBy(F.col("weight").desc(), "node")
     while True:
-        # What each bucket's leaders have been compared with is done; they leave it.
-        if groups is None:
-            now = left.withColumn("component", F.col("node"))
-        else:
-            now = left.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        now = _with_component(left, groups)
         mixed = now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
         now = staged(spark, now.join(mixed, "bucket", "left_semi"), "mixed")
         if now.isEmpty():
             return groups
-        placed = now.withColumn("place", F.row_number().over(in_bucket)).where(F.col("place") <= n_leaders)
-        passed = staged(spark, placed.select("bucket", "node"), "passed")
-        left = staged(spark, now.drop("component").join(passed, ["bucket", "node"], "left_anti"), "left")
-        n_leaders *= GROWTH
-        if left.isEmpty():
-            return groups
-        now = left.withColumn("component", F.col("node")) if groups is None else left.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        now = staged(spark, now, "now")
-        leaders = now.withColumn("place", F.row_number().over(in_bucket)).where(F.col("place") <= n_leaders)
-        leaders = staged(spark, leaders.drop("place"), "leaders")
+        # Leaders that all others of the bucket have been compared with leave it, the next ones take their place.
+        placed = now.withColumn("place", F.row_number().over(in_bucket)).where(F.col("place") <= n_passed + n_leaders)
+        placed = staged(spark, placed, "leaders")
+        passed, leaders = placed.where(F.col("place") <= n_passed), placed.where(F.col("place") > n_passed)
+        rest = now.join(passed.select("bucket", "node"), ["bucket", "node"], "left_anti")
         different = (F.col("m.bucket") == F.col("l.bucket")) & (F.col("m.component") != F.col("l.component"))
-        met = now.alias("m").join(leaders.alias("l"), different & _can_be_similar("m", "l", similar))
-        ends = [f(F.col("l.node"), F.col("m.node")).alias(name) for f, name in ((F.least, "a"), (F.greatest, "b"))]
-        met = met.select(*ends).distinct()
+        met = rest.alias("m").join(leaders.alias("l"), different & _can_be_similar("m", "l", similar))
+        met = met.select(F.least("l.node", "m.node").alias("a"), F.greatest("l.node", "m.node").alias("b")).distinct()
         met = met.join(done, ["a", "b"], "left_anti").join(done.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
         met = staged(spark, met, "met")
         done = done.unionByName(met)
-        compare(met)
+        if not met.isEmpty():
+            found = similar_pairs(spark, met, cells, similar)
+            if not found.isEmpty():
+                links = links.unionByName(found)
+                groups = staged(spark, components(spark, links), "groups")
+        left, n_passed, n_leaders = rest.drop("component"), n_leaders, n_leaders * GROWTH

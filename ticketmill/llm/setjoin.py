@@ -11,7 +11,9 @@ dealt into groups by hash, and the pairs within each group are indexed: all
 pairs of a group are missing only when all of its shingles but one are, so the
 prefix is extended by one shingle for each group it meets, and two similar texts
 still share a signature. A signature of two frequent shingles is met by far
-fewer texts than either of them. The number of groups follows the size of the
+fewer texts than either of them. Beside each signature stands how much two sets
+can have in common that share nothing before it, and only sets for which that is
+enough are compared. The number of groups follows the size of the
 set, in steps; a set uses the steps of all sizes it can be similar to. Sets of a
 few shingles index frequent ones alone.
 
@@ -44,7 +46,7 @@ from ticketmill.llm.packing import framed, mixed, pack, pack_sorted, unframed, u
 SHINGLE = 5
 SIMILAR = 0.8
 #: A shingle that more texts than this have is frequent.
-OFTEN = 16
+OFTEN = 100
 #: Sets of fewer shingles index frequent shingles alone; beyond, one group of frequent shingles for so many of the set.
 LEAST_GROUPED, PER_GROUP = 32, 8
 
@@ -185,49 +187,62 @@ def groups_of(step: int) -> int:
     return (LEAST_GROUPED << (step - 1)) // PER_GROUP
 
 
-def signatures(n: int, keys: np.ndarray, often: np.ndarray, similar: float = SIMILAR, limit: int = OFTEN) -> np.ndarray:
+def signatures(
+    n: int, keys: np.ndarray, often: np.ndarray, similar: float = SIMILAR, limit: int = OFTEN
+) -> tuple[np.ndarray, np.ndarray]:
     """What a set of ``n`` shingles is indexed by. ``keys``: those that other sets have, from rare to frequent (``often``), then by key.
 
-    Two sets of a Jaccard similarity of ``similar`` or more share one, or have no shingle that only one of them has.
+    Two sets of a Jaccard similarity of ``similar`` or more share a signature, or have no shingle that only one of them has.
+    Beside each signature stands how many shingles two sets can share for which it is the first one they share;
+    of a pair of frequent shingles the second one counts, and before it two sets share one of each group at most.
     """
     least = int(np.ceil(similar * n - 1e-9))
+    m = len(keys)
     # More shingles of the prefix than can be missing, less those that no other set has.
-    need = n - least + 1 - (n - len(keys))
-    if need <= 0 or not len(keys):
-        return np.zeros(0, np.uint64)
+    need = m - least + 1
+    if need <= 0 or not m:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     n_rare = int(np.searchsorted(often, limit, side="right"))
-    found = [mixed(keys[: min(need, n_rare)] ^ _STEP)]
+    alone = min(need, n_rare)
+    found, bounds = [mixed(keys[:alone] ^ _STEP)], [m - np.arange(alone)]
     need -= n_rare
     if need > 0:
         frequent = keys[n_rare:]
-        for step in range(step_of(int(np.ceil(similar * n - 1e-9))), step_of(int(n / similar + 1e-9)) + 1):
+        for step in range(step_of(least), step_of(int(n / similar + 1e-9)) + 1):
             seed = mixed(np.array([step + 1], np.uint64))[0]
             if not step:
                 found.append(mixed(frequent[:need] ^ seed))
+                bounds.append(m - n_rare - np.arange(min(need, len(frequent))))
                 continue
             group = mixed(frequent) % np.uint64(groups_of(step))
             _, first = np.unique(group, return_index=True)
-            counted = np.ones(len(frequent), np.int64)
-            counted[first] = 0
-            enough = int(np.searchsorted(np.cumsum(counted), need)) + 1
-            found.append(_pairs(frequent[:enough], group[:enough], seed))
-    return np.unique(np.concatenate(found))
-
-
-def _pairs(keys: np.ndarray, group: np.ndarray, seed: np.uint64) -> np.ndarray:
-    """Signatures of all pairs of keys of one group."""
-    order = np.lexsort((keys, group))
-    keys, group = keys[order], group[order]
-    ends = np.searchsorted(group, group, side="right")
-    here = np.arange(len(keys))
+            new = np.zeros(len(frequent), np.int64)
+            new[first] = 1
+            enough = int(np.searchsorted(np.cumsum(1 - new), need)) + 1
+            seen = np.cumsum(new) - new
+            one, two = _within(group[:enough])
+            shared = seen[two] + (m - n_rare) - two
+            one, two, shared = one[shared >= least], two[shared >= least], shared[shared >= least]
+            found.append(mixed(mixed(frequent[one] ^ seed) + frequent[two]))
+            bounds.append(shared)
+    found, bounds = np.concatenate(found), np.concatenate(bounds)
+    order = np.lexsort((-bounds, found))
+    found, at = np.unique(found[order], return_index=True)
+    return found, bounds[order][at]
+
+
+def _within(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all pairs of one group, the earlier place first."""
+    order = np.argsort(group, kind="stable")
+    ends = np.searchsorted(group[order], group[order], side="right")
+    here = np.arange(len(group))
     other, _ = ragged(here + 1, ends - here - 1)
-    one = np.repeat(here, ends - here - 1)
-    return mixed(mixed(keys[one] ^ seed) + keys[other])
+    return order[np.repeat(here, ends - here - 1)], order[other]
 
 
 SETS = (
-    "node bigint, text binary, doc_ids array<bigint>, n bigint, first boolean, shareable int, weight bigint, "
-    "signatures array<bigint>, cells array<bigint>"
+    "node bigint, text binary, doc_ids array<bigint>, n bigint, first boolean, weight bigint, "
+    "signatures array<bigint>, bounds array<bigint>, cells array<bigint>"
 )
 
 
@@ -252,16 +267,16 @@ def _assemble(similar: float, limit: int):
         for begin in range(0, len(sizes), 512):
             some = range(begin, min(begin + 512, len(sizes)))
             signs = [signatures(int(sizes[i]), key[begins[i] : ends[i]], often[begins[i] : ends[i]], similar, limit) for i in some]
-            cells = [key[begins[i] : ends[i]] if len(signs[i - begin]) else none for i in some]
+            cells = [key[begins[i] : ends[i]] if len(signs[i - begin][0]) else none for i in some]
             columns = {
                 "node": pa.array([_node(block, i) for i in some], pa.int64()),
                 "text": texts["key"].slice(begin, len(some)).combine_chunks(),
                 "doc_ids": texts["ids"].slice(begin, len(some)).combine_chunks(),
                 "n": pa.array(sizes[begin : begin + len(some)], pa.int64()),
                 "first": pa.array(first[begin : begin + len(some)]),
-                "shareable": pa.array((ends - begins)[begin : begin + len(some)], pa.int32()),
                 "weight": pa.array([int(1000 * (weight[ends[i]] - weight[begins[i]]) / max(int(sizes[i]), 1)) for i in some], pa.int64()),
-                "signatures": _lists(signs),
+                "signatures": _lists([found for found, _ in signs]),
+                "bounds": _lists([shared for _, shared in signs]),
                 "cells": _lists(cells),
             }
             yield pa.RecordBatch.from_pydict(columns)
@@ -298,7 +313,8 @@ def components(
     sets = staged(spark, packing.asked(rows, _answer, _assemble(similar, often), SETS), "sets")
 
     signed = sets.where(F.size("signatures") > 0)
-    members = signed.select(F.explode("signatures").alias("bucket"), "node", "weight", F.col("n").alias("size"), "shareable")
+    members = signed.select("node", "weight", F.col("n").alias("size"), F.explode(F.arrays_zip("signatures", "bounds")).alias("s"))
+    members = members.select(F.col("s.signatures").alias("bucket"), "node", "weight", "size", F.col("s.bounds").alias("bound"))
     groups = linking.grouped(spark, members, signed.select("node", F.col("n").alias("size"), "cells"), similar)
 
     copies = sets.where("n > 0").groupBy("text").agg(F.min(F.array_min("doc_ids")).alias("least"), F.min(F.when(F.col("first"), F.col("node"))).alias("node"))
