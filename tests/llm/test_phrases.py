@@ -67,17 +67,57 @@ def test_fingerprints_are_those_of_the_words():
     draw = np.random.default_rng(5)
     hashes = draw.integers(0, 2**63, 40, dtype=np.uint64)
     hashes[20:30] = hashes[3:13]
-    one, two, three = phrases.fingerprints(hashes, 3)
+    one, two, three = (phrases.fingerprints(hashes, n) for n in (1, 2, 3))
     assert (one == hashes).all() and len(three) == 38
     assert (two[20:29] == two[3:12]).all() and (three[20:28] == three[3:11]).all()
     assert len(np.unique(two)) == 39 - 9
-    assert [len(x) for x in phrases.fingerprints(hashes[:1], 3)] == [1, 0, 0]
+    assert [len(phrases.fingerprints(hashes[:1], n)) for n in (1, 2, 3)] == [1, 0, 0]
 
 
 def test_colliding_fingerprints_are_told_apart_by_the_words(spark, monkeypatch):
     grams = np.array([[1, 2], [3, 4], [1, 2], [5, 6], [3, 4], [9, 9]])
-    found, counts = phrases._phrases(np.array([7, 7, 7, 8, 7, 8]), grams)
-    assert sorted((*g, n) for g, n in zip(found.tolist(), counts.tolist(), strict=True)) == [(1, 2, 2), (3, 4, 2), (5, 6, 1), (9, 9, 1)]
+    prints, found, counts = phrases._phrases(np.array([7, 7, 7, 8, 7, 8]), grams)
+    got = sorted((p, *g, n) for p, g, n in zip(prints.tolist(), found.tolist(), counts.tolist(), strict=True))
+    assert got == [(7, 1, 2, 2), (7, 3, 4, 2), (8, 5, 6, 1), (8, 9, 9, 1)]
+    assert prints.tolist() == sorted(prints.tolist())
+    # All fingerprints alike, over several blocks: counts stay those of the texts.
+    rows = corpus(6)
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+
+    def few(hashes, n, real=phrases.fingerprints):
+        return real(hashes, n) % np.uint64(3)
+
+    monkeypatch.setattr(phrases, "fingerprints", few)
+    counted, total = Counter(), Counter()
+    for batch in _local(phrases, docs.toPandas()):
+        counted.update(batch)
+    for lang, text in rows:
+        for piece in BREAK.split(lower(text or "")):
+            words = WORD.findall(piece)
+            for n in (1, 2, 3):
+                total.update(("und" if lang is None else lang, n, " ".join(words[i : i + n])) for i in range(len(words) - n + 1))
+    assert counted == Counter({key: n for key, n in total.items() if n >= 10})
+
+
+def _local(phrases, table):
+    """The steps of ``frequencies`` one after the other in this process, where every fingerprint can be made to collide."""
+    import pyarrow as pa
+
+    blocks, shards = [], 4
+    for number, part in enumerate((table[:70], table[70:])):
+        block = phrases._Block(number)
+        for lang, text in zip(part["lang"], part["text"], strict=True):
+            block.add(None if lang is None else lang, (text or "").encode())
+        blocks += phrases._rows(block, shards, 3)
+    answered = [a for s in range(shards) for a in phrases._answer(10)([r for r in blocks if r[1] == s])]
+    found = []
+    for number in (0, 1):
+        mine = sorted((r for r in answered if r[0] == number), key=lambda r: (r[2], r[1], r[3]))
+        found += phrases._assemble(3, shards)(number, mine)
+    rows = sorted((r for b in found for r in zip(*(c.to_pylist() for c in b.columns), strict=True)), key=lambda r: r[1])
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["block", "shard", "kind", "seq", "data"])
+    for out in phrases._sum(10)([batch]):
+        yield {(r["lang"], r["words"], r["phrase"]): r["n"] for r in out.to_pylist() if r["words"]}
 
 
 def test_scores_of_large_counts_are_exact(spark):

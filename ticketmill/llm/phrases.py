@@ -10,8 +10,9 @@ shard that has its range, and get back one bit: whether all blocks together have
 it often enough. A block's occurrences of frequent fingerprints are then pointers
 into its own text: the words at each pointer are compared with those at the
 first one, what differs is a collision and counted apart, and only these phrases
-become text. A phrase's counts are summed by its text, so collisions between blocks
-cannot mix phrases either: the counts are exact.
+become text. They go to their shard once more, compressed, and counts are summed
+by text, so collisions between blocks cannot mix phrases either: the counts are
+exact.
 
 A phrase is scored by how much more often it occurs than its parts would let
 expect, at its weakest cut. Frequencies of parts are joined from the same table, as
@@ -25,11 +26,12 @@ columns other than the text and the language are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -55,7 +57,7 @@ _SHIFT = np.uint64(64 - packing.KEY_BITS)
 _TABLE = bytes(ord(".") if i in BREAKS else ord(" ") if i in SPACES else i for i in range(256))
 
 
-@cache
+@lru_cache(2)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first powers of the base and of its inverse, modulo 2**64; ``n`` is a power of two."""
 
@@ -67,13 +69,13 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return powers(_BASE), powers(pow(_BASE, -1, 2**64))
 
 
-def fingerprints(hashes: np.ndarray, longest: int) -> list[np.ndarray]:
-    """For n = 1 to ``longest``, the fingerprint of the n-gram that begins at each place where one fits."""
+def fingerprints(hashes: np.ndarray, n: int) -> np.ndarray:
+    """The fingerprint of the n-gram that begins at each place where one fits."""
     size = 1 << max(len(hashes), 1).bit_length()
     power, inverse = (p[: len(hashes)] for p in _powers(size))
     prefix = np.zeros(len(hashes) + 1, np.uint64)
     np.cumsum(hashes * power, out=prefix[1:])
-    return [(prefix[n:] - prefix[: len(prefix) - n]) * inverse[: max(len(hashes) - n + 1, 0)] for n in range(1, longest + 1)]
+    return (prefix[n:] - prefix[: max(len(prefix) - n, 0)]) * inverse[: max(len(hashes) - n + 1, 0)]
 
 
 def broken(text: bytes) -> list[bytes]:
@@ -112,21 +114,25 @@ class _Block:
         return [words[i] for i in by_use.tolist()], list(self.streams), [place[stream] for stream in streams]
 
 
-def _keys(words: list[bytes], langs: list[str], streams: list[np.ndarray], longest: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Of each language (by place) and length: where its n-grams begin, and their keys."""
-    hashes = np.fromiter((xxhash.xxh64_intdigest(word) for word in words), np.uint64, len(words))
-    for i, (lang, stream) in enumerate(zip(langs, streams, strict=True)):
-        seed = xxhash.xxh64_intdigest(lang.encode())
-        ends = np.concatenate([[0], np.cumsum(stream == 0)])
-        for n, prints in enumerate(fingerprints(hashes[stream], longest), 1):
-            whole = np.flatnonzero(ends[n:] == ends[: len(ends) - n])
-            own = mixed(np.array([(seed + n) % 2**64], np.uint64))[0]
-            yield i, n, whole, mixed(prints[whole] ^ own) >> _SHIFT
+class _Keys:
+    """Keys of the n-grams of a block's streams."""
 
+    def __init__(self, words: list[bytes], langs: list[str], streams: list[np.ndarray]):
+        self.hashes = np.fromiter((xxhash.xxh64_intdigest(word) for word in words), np.uint64, len(words))
+        self.langs, self.streams = langs, streams
 
-def _distinct(block: tuple, longest: int) -> tuple[np.ndarray, np.ndarray]:
-    keys = [key for *_, key in _keys(*block, longest)]
-    return np.unique(np.concatenate([np.zeros(0, np.uint64), *keys]), return_counts=True)
+    def of(self, lang: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where the n-grams of a language (by place) begin, and their keys."""
+        stream = self.streams[lang]
+        ends = np.concatenate([[0], np.cumsum(stream == 0, dtype=np.int32)])
+        whole = np.flatnonzero(ends[n:] == ends[: len(ends) - n])
+        own = mixed(np.array([(xxhash.xxh64_intdigest(self.langs[lang].encode()) + n) % 2**64], np.uint64))[0]
+        return whole, mixed(fingerprints(self.hashes[stream], n)[whole] ^ own) >> _SHIFT
+
+    def distinct(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The block's different keys of n-grams, in order, and their counts."""
+        keys = [self.of(lang, n)[1] for lang in range(len(self.langs))]
+        return np.unique(np.concatenate([np.zeros(0, np.uint64), *keys]), return_counts=True)
 
 
 def _rows(block: _Block, shards: int, longest: int) -> Iterator[packing.Row]:
@@ -140,9 +146,11 @@ def _rows(block: _Block, shards: int, longest: int) -> Iterator[packing.Row]:
         out.write_table(head)
     whole = framed(sink.getvalue().to_pybytes(), framed(*(pack(stream) for stream in streams)))
     yield block.number, packing.spread(block.number, shards), TEXTS, 0, whole
-    keys, counts = _distinct(texts, longest)
-    for shard, part in packing.by_shard(keys, shards):
-        yield block.number, shard, GRAMS, 0, framed(pack_sorted(keys[part]), pack(counts[part]))
+    own = _Keys(words, langs, streams)
+    for n in range(1, longest + 1):
+        keys, counts = own.distinct(n)
+        for shard, part in packing.by_shard(keys, shards):
+            yield block.number, shard, GRAMS, n, framed(pack_sorted(keys[part]), pack(counts[part]))
 
 
 def _split(shards: int, longest: int, block_chars: int):
@@ -187,50 +195,87 @@ def _answer(least: int):
     return answer
 
 
-def _assemble(longest: int):
-    def assemble(block: int, held: list[packing.Row]) -> Iterator[pa.RecordBatch]:
+def _assemble(longest: int, shards: int):
+    def found(block: int, held: list[packing.Row]) -> Iterator[packing.Row]:
+        """The block's phrases whose fingerprints are frequent, with their counts, for the shards of their keys."""
         head, packed = unframed(next(row[4] for row in held if row[2] == TEXTS), 2)
         table = pa.ipc.open_stream(head).read_all()
         words, langs = table["words"][0].as_py(), table["langs"][0].as_py()
-        streams = [unpack(field).astype(np.int64) for field in unframed(packed, len(langs))]
-        known, _ = _distinct((words, langs, streams), longest)
-        flags = []
-        for row in held:
-            if row[2] == GRAMS:
-                size, bits = unframed(row[4], 2)
-                flags.append(np.unpackbits(unpack(bits).astype(np.uint8), count=int(unpack(size)[0])))
-        often = known[np.concatenate([np.zeros(0, np.uint8), *flags]).astype(bool)]
-        for i, n, begins, keys in _keys(words, langs, streams, longest):
-            if n == 1:
-                yield _counted(langs[i], 0, [""], np.array([len(keys)], np.int64))
-            at = np.minimum(np.searchsorted(often, keys), max(len(often) - 1, 0))
-            hit = often[at] == keys if len(often) else np.zeros(len(keys), bool)
-            grams = streams[i][begins[hit][:, None] + np.arange(n)]
-            found, counts = _phrases(at[hit], grams)
-            for begin in range(0, len(found), 50_000):
-                texts = [b" ".join([words[w] for w in gram]).decode() for gram in found[begin : begin + 50_000].tolist()]
-                yield _counted(langs[i], n, texts, counts[begin : begin + 50_000])
+        streams = [unpack(field).astype(np.int32) for field in unframed(packed, len(langs))]
+        own = _Keys(words, langs, streams)
+        for i, lang in enumerate(langs):
+            total = np.array([np.count_nonzero(streams[i])])
+            yield block, packing.spread(xxhash.xxh32_intdigest(lang.encode()), shards), GRAMS, 0, _texts_of(lang, [b""], total)
+        for n in range(1, longest + 1):
+            known, _ = own.distinct(n)
+            bits = [unframed(row[4], 2) for row in held if row[2] == GRAMS and row[3] == n]
+            flags = [np.unpackbits(unpack(bit).astype(np.uint8), count=int(unpack(size)[0])) for size, bit in bits]
+            often = known[np.concatenate([np.zeros(0, np.uint8), *flags]).astype(bool)]
+            del known, flags
+            if not len(often):
+                continue
+            for i, lang in enumerate(langs):
+                begins, keys = own.of(i, n)
+                at = np.minimum(np.searchsorted(often, keys), len(often) - 1)
+                hit = often[at] == keys
+                begins, at = begins[hit], at[hit].astype(np.int32)
+                del keys, hit
+                grams = np.stack([streams[i][begins + k] for k in range(n)], axis=1)
+                prints, grams, counts = _phrases(at, grams)
+                for shard, part in packing.by_shard(often[prints], shards):
+                    texts = [b" ".join([words[w] for w in gram]) for gram in grams[part].tolist()]
+                    yield block, shard, GRAMS, n, _texts_of(lang, texts, counts[part])
+
+    def assemble(block: int, held: list[packing.Row]) -> Iterator[pa.RecordBatch]:
+        yield from packing.gathered(found(block, held))
 
     return assemble
 
 
-def _phrases(prints: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different phrases (as word numbers) and their counts, of occurrences with their fingerprints' numbers."""
+def _texts_of(lang: str, texts: list[bytes], counts: np.ndarray) -> bytes:
+    # No word holds the end of a line.
+    return framed(lang.encode(), pack(counts, 8), zstandard.ZstdCompressor(level=1).compress(b"\n".join(texts)))
+
+
+def _sum(least: int):
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Counts of a shard's phrases, by their text: blocks' phrases with one fingerprint are one only if their words are."""
+        for _, held in packing.in_groups(batches, 1):
+            totals: dict[tuple[bytes, int], dict[bytes, int]] = {}
+            for row in held:
+                lang, counts, texts = unframed(row[4], 3)
+                own = totals.setdefault((lang, row[3]), {})
+                for text, n in zip(zstandard.ZstdDecompressor().decompress(texts).split(b"\n"), unpack(counts).tolist(), strict=True):
+                    own[text] = own.get(text, 0) + n
+            for (lang, words), own in totals.items():
+                enough = {text.decode(): n for text, n in own.items() if n >= least or not words}
+                columns = [
+                    pa.array([lang.decode()] * len(enough), pa.string()), pa.array(np.full(len(enough), words, np.int32)),
+                    pa.array(enough, pa.string()), pa.array(list(enough.values()), pa.int64()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "words", "phrase", "n"])
+
+    return summed
+
+
+def _phrases(prints: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different phrases by fingerprint: its number, the phrase's word numbers, its count."""
     order = np.argsort(prints, kind="stable")
     prints, grams = prints[order], grams[order]
     new = np.ones(len(prints), bool)
     new[1:] = prints[1:] != prints[:-1]
     first = np.flatnonzero(new)
-    # Each occurrence is compared with the words that its fingerprint's pointer has.
+    # Each occurrence is compared with the words that its fingerprint's first pointer has.
     same = (grams == grams[first][np.cumsum(new) - 1]).all(axis=1)
     counts = np.add.reduceat(same.astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
-    others, n_others = np.unique(grams[~same], axis=0, return_counts=True) if not same.all() else (grams[:0], counts[:0])
-    return np.concatenate([grams[first], others]), np.concatenate([counts, n_others])
-
-
-def _counted(lang: str, n: int, phrases: list[str], counts: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array([lang] * len(phrases), pa.string()), pa.array(np.full(len(phrases), n, np.int32)), pa.array(phrases, pa.string()), pa.array(counts)]
-    return pa.RecordBatch.from_arrays(columns, names=["lang", "words", "phrase", "n"])
+    prints_of, grams_of = prints[first], grams[first]
+    if not same.all():
+        others, n_others = np.unique(np.column_stack([prints[~same], grams[~same]]), axis=0, return_counts=True)
+        prints_of, counts = np.concatenate([prints_of, others[:, 0]]), np.concatenate([counts, n_others])
+        grams_of = np.concatenate([grams_of, others[:, 1:]])
+        order = np.argsort(prints_of, kind="stable")
+        prints_of, grams_of, counts = prints_of[order], grams_of[order], counts[order]
+    return prints_of, grams_of, counts
 
 
 def frequencies(
@@ -248,8 +293,8 @@ def frequencies(
     shards = shards or packing.n_shards(spark)
     texts = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").cast("binary").alias("text"))
     rows = texts.mapInArrow(_split(shards, longest, block_chars), packing.MOVED)
-    counted = packing.asked(rows, _answer(least), _assemble(longest), COUNTS)
-    return counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("words") == 0))
+    found = packing.asked(rows, _answer(least), _assemble(longest, shards), packing.MOVED)
+    return found.repartition("shard").sortWithinPartitions("shard").mapInArrow(_sum(least), COUNTS)
 
 
 def _part(begin: int, n: int) -> Column:
