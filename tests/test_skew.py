@@ -7,7 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from ticketmill.operators.dedupe import first_board_wins, first_per_key
+from ticketmill.operators.dedupe import first_board_wins, first_per_key, first_places, only_first_places
 from ticketmill.sinks.tables import absent_rows
 from ticketmill.sources import pages
 
@@ -36,6 +36,53 @@ def test_first_board_wins(listed):
     assert got == {key: row for key, (_, row) in best.items()}
 
 
+def test_first_places_of_repeated_issues(listed):
+    """The choice by keys alone gives the same rows; places that tie keep one entry."""
+    twice = listed.unionByName(listed).withColumn("entry", F.monotonically_increasing_id())
+    placed = twice.withColumn("place", F.struct("board_ord", "ord", "entry"))
+    left = only_first_places(placed, first_places(placed.select("project_id", "issue_ref", "place")))
+    want = {(r.project_id, r.issue_ref): r.row for r in first_board_wins(listed).collect()}
+    got = [((r.project_id, r.issue_ref), r.row) for r in left.collect()]
+    assert len(got) == len(want) and dict(got) == want
+
+
+def test_a_hot_board_is_split(spark, make_raw, tmp_path):
+    """Boards too large to broadcast and a third of all entries on one of them: the join splits its partition."""
+    from conftest import board, issue
+    from ticketmill import build
+    from ticketmill.sources import storage
+
+    bodies = [(1 if n % 3 == 0 else 2 + n % 400, issue(str(n), summary="x" * 400)) for n in range(6_000)]
+    boards = [("FERRY", board(n)) for n in range(1, 402)]
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        plans, write = {}, storage.stage_in(spark, storage.work_folder(spark, "skew"))
+
+        def stage(df, name):
+            if name == "issues":
+                df.write.format("noop").mode("overwrite").save()
+                df.collect()
+                plans[name] = df._jdf.queryExecution().executedPlan().toString()
+            return write(df, name)
+
+        raw = make_raw(boards=boards, issues=bodies)
+        raw = type(raw)(raw.projects, raw.details, raw.boards, raw.issues.repartition(16))
+        relations = build(raw, data_types=["issues"], stage=stage)
+        assert relations["issues"].count() == 6_000
+        assert "SortMergeJoin(skew=true)" in plans["issues"]
+    finally:
+        for key in small:
+            spark.conf.unset(key)
+
+
 def test_each_map_task_sends_at_most_one_row_per_key(listed):
     plan = first_per_key(listed, ["issue_ref"], ["ord"])._jdf.queryExecution().executedPlan()
     lines = [line.strip(" +-:") for line in plan.toString().splitlines()]

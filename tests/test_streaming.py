@@ -174,3 +174,108 @@ def test_a_stream_replaces_a_batch_run(spark, tmp_path, landing):
 def test_what_a_stream_cannot_repeat_is_refused(spark, tmp_path, other):
     with pytest.raises(ValueError, match="replace"):
         run_stream(spark, str(tmp_path), RunParams(str(tmp_path / "out"), SUFFIX, **other), str(tmp_path / "cp"))
+
+
+def boards_of(tmp_path, name, key, *boards, start=0):
+    request = f"/rest/agile/1.0/board?projectKeyOrId={key}&startAt={start}"
+    line = {"request_id": request, "startAt": 0, "values": list(boards)}
+    (tmp_path / "landing" / "boards" / f"{name}.json").write_text(json.dumps(line))
+
+
+def parked(spark, checkpoint, batch):
+    kind = "board_id BIGINT, body STRING"
+    return sorted(r.board_id for r in spark.read.schema(kind).parquet(f"{checkpoint}/parked/batch-{batch}").collect())
+
+
+def test_boards_that_nobody_wants_never_park(spark, tmp_path, landing):
+    uri, land = landing
+    line = {"request_id": "/rest/api/2/project", "startAt": 1, "values": [project("521", key="OTHER")]}
+    (tmp_path / "landing" / "projects" / "b.json").write_text(json.dumps(line))
+    boards_of(tmp_path, "other", "OTHER", board(7))
+    boards_of(tmp_path, "rejected", "FERRY", board("x8"), start=2)
+    params, checkpoint = RunParams(str(tmp_path / "out"), SUFFIX, project_keys=["FERRY"]), str(tmp_path / "checkpoint")
+    for n in range(3):
+        land(f"f{n}", 7, issue(str(10 + n)))
+        land(f"g{n}", 9, issue(str(20 + n)))
+        land(f"h{n}", 1, issue(str(30 + n)))
+        step(spark, uri, params, checkpoint)
+        # Each batch parks its own entries of unknown boards only, and writes no earlier one again.
+        assert parked(spark, checkpoint, n) == [9]
+    assert [i for i, _ in summaries(spark, params)] == [30, 31, 32]
+    boards_of(tmp_path, "late", "FERRY", board(9), start=3)
+    land("last", 1, issue("40"))
+    step(spark, uri, params, checkpoint)
+    assert parked(spark, checkpoint, 3) == []
+    land("more", 9, issue("41"))
+    step(spark, uri, params, checkpoint)
+    assert [i for i, _ in summaries(spark, params)] == [20, 21, 22, 30, 31, 32, 40, 41]
+
+
+def test_rejects_count_once_and_go_with_the_checkpoint(spark, tmp_path, landing):
+    uri, land = landing
+    (tmp_path / "landing" / "boards" / "torn.json").write_text('{"request_id": "/rest/agile')
+    boards_of(tmp_path, "bad", "FERRY", board("x8"), start=2)
+    params = RunParams(str(tmp_path / "out"), SUFFIX, keep_rejects=True)
+
+    def rejects():
+        rows = spark.read.option("recursiveFileLookup", True).json(f"{params.uri}/rejects/rejects_{SUFFIX}")
+        return sorted((r.relation, r.reason) for r in rows.collect())
+
+    for n in range(3):
+        land(f"f{n}", 1, issue(None if n == 1 else str(n)))
+        step(spark, uri, params, str(tmp_path / "first"))
+    dimensions = [("boards", "id is not an integer"), ("pages", "line is no readable page")]
+    assert rejects() == sorted([*dimensions, ("issues", "id is blank")])
+    (tmp_path / "landing" / "issues" / "f1.json").unlink()
+    step(spark, uri, params, str(tmp_path / "second"))
+    assert rejects() == dimensions
+
+
+def test_a_batch_of_issues_alone_checks_no_dimension(spark, tmp_path, landing, monkeypatch):
+    from ticketmill.plans import relations
+    from ticketmill.streaming import ingest
+
+    uri, land = landing
+    params, checkpoint = RunParams(str(tmp_path / "out"), SUFFIX), str(tmp_path / "checkpoint")
+    checks, writes = [], []
+    real_check, real_write = relations.check_projects, ingest.write_run
+    monkeypatch.setattr(relations, "check_projects", lambda *a: checks.append(1) or real_check(*a))
+    monkeypatch.setattr(ingest, "write_run", lambda *a: writes.append(1) or real_write(*a))
+    for n, expected in enumerate((1, 1, 1)):
+        land(f"f{n}", 1, issue(str(n)))
+        step(spark, uri, params, checkpoint)
+        assert (len(checks), len(writes)) == (expected, expected)
+    boards_of(tmp_path, "late", "FERRY", board(9), start=3)
+    land("last", 9, issue("40"))
+    step(spark, uri, params, checkpoint)
+    assert (len(checks), len(writes)) == (2, 2)
+    assert [i for i, _ in summaries(spark, params)] == [0, 1, 2, 40]
+    assert runs.read_run(spark, params.uri, "boards", SUFFIX).count() == 3
+
+
+def test_state_is_merged_and_read_by_lane(spark, tmp_path):
+    from ticketmill.sources import storage
+    from ticketmill.streaming import state
+
+    table = state.StateTable(str(tmp_path), "seen", "project_id BIGINT, entity_id STRING", "project_id")
+    rows = lambda n: spark.createDataFrame([(n, f"{n}-{i}") for i in range(3)] + [(500, str(n))], table.kind)
+    for n in range(40):
+        table.merge(spark, n)
+        table.keep(n, rows(n))
+        table.keep(n, rows(n))  # a batch that is run again
+        assert len(storage.folders(spark, table.uri)) <= state.MERGED_BATCHES + 1
+    assert table.before(spark, 0) is None or table.before(spark, 0).count() == 0
+    found = table.before(spark, 40)
+    assert sorted(map(tuple, found.collect())) == sorted(tuple(r) for n in range(40) for r in rows(n).collect())
+    at_hand = spark.createDataFrame([(3,), (3,)], "project_id BIGINT")
+    lanes = table.before(spark, 40, at_hand)
+    assert {r.project_id for r in lanes.collect()} >= {3}
+    assert "PartitionFilters: [isnotnull(lane" in lanes._jdf.queryExecution().executedPlan().toString()
+    # A merge that did not end is not read, and is made again.
+    (tmp_path / "seen" / "upto-39").mkdir()
+    assert table.before(spark, 41).count() == found.count()
+    less = spark.createDataFrame([(500,)], "project_id BIGINT")
+    for n in range(40, 50):
+        table.keep(n, rows(n))
+    table.merge(spark, 60, less)
+    assert table.before(spark, 60).where("project_id = 500").count() == 0

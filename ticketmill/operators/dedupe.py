@@ -46,3 +46,26 @@ def first_board_wins(listed: DataFrame) -> DataFrame:
     """
     own_place = F.when(F.col("issue_ref").isNull(), F.struct("board_ord", "ord"))
     return first_per_key(listed, ["project_id", "issue_ref", own_place], ["board_ord", "ord"])
+
+
+def first_places(listed: DataFrame) -> DataFrame:
+    """Where each issue that a project lists more than once stands first: ``first``, a struct like ``place``.
+
+    ``listed`` holds ``project_id``, ``issue_ref`` and ``place``, nothing that is wide. Places are
+    combined before the shuffle, so an issue that many boards list is one row for each map task.
+    """
+    named = listed.where(F.col("issue_ref").isNotNull())
+    places = named.groupBy("project_id", "issue_ref").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+    return places.where("n > 1").drop("n")
+
+
+def only_first_places(listed: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``listed`` without the entries that ``first_places`` names another place for."""
+    firsts = repeated.select(
+        F.col("project_id").alias("first_project"), F.col("issue_ref").alias("first_ref"), "first"
+    )
+    same = (F.col("project_id") == F.col("first_project")) & (F.col("issue_ref") == F.col("first_ref"))
+    joined = listed.join(firsts, same, "left")
+    return joined.where(F.col("first").isNull() | (F.col("first") == F.col("place"))).drop(
+        "first_project", "first_ref", "first"
+    )

@@ -17,10 +17,11 @@ from ticketmill.functions import (
     safe_int,
     variant_text,
 )
-from ticketmill.operators.dedupe import first_board_wins
+from ticketmill.operators.dedupe import first_board_wins, first_places, only_first_places
 from ticketmill.operators.transitions import tracked_histories
 from ticketmill.operators.validity import first_reason
 from ticketmill.schemas import CORRUPT, issue_wire
+from ticketmill.sources.storage import Stage, is_small, unstaged
 
 
 def parse_issues(
@@ -153,15 +154,31 @@ def check_issues(
     custom_fields: Mapping[str, str] | None = None,
     details: bool = True,
     histories: bool = True,
+    stage: Stage = unstaged,
 ) -> DataFrame:
     """Parse, date range, board join, first board wins; then the rows carry
     their ``reason``. An invalid copy still counts as the first one seen.
 
     ``details`` and ``histories`` say whether issues and transitions are
-    wanted; what is not wanted is not even parsed."""
+    wanted; what is not wanted is not even parsed.
+
+    With a stage that writes, parsed entries are staged as they come, and first
+    places are found from their keys alone and only for issues that a project
+    lists more than once. Details and histories then move in no shuffle, as
+    long as boards and repeated issues are small; where they are not, the
+    winners are staged, so that their joins run once."""
     parsed = parse_issues(issues, custom_fields, details, histories)
     flat = flatten_issues(parsed, custom_fields)
     if start_date or end_date:
         flat = flat.where(in_date_range(F.col("created"), F.col("updated"), start_date, end_date))
-    winners = first_board_wins(list_issues(flat, good_boards))
+    if stage is unstaged:
+        winners = first_board_wins(list_issues(flat, good_boards))
+    else:
+        flat = stage(flat.withColumn("entry", F.monotonically_increasing_id()), "parsed_entries")
+        # Of one place that landed twice the earlier entry stays.
+        listed = list_issues(flat, good_boards).withColumn("place", F.struct("board_ord", "ord", "entry"))
+        repeated = stage(first_places(listed.select("project_id", "issue_ref", "place")), "repeated")
+        winners = only_first_places(listed, repeated).drop("place", "entry")
+        if not (is_small(repeated) and is_small(good_boards)):
+            winners = stage(winners, "issues")
     return winners.withColumnRenamed("issue_ref", "entity_id").drop("board_id", "ord", "board_ord")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,7 +44,7 @@ class Raw:
     projects: DataFrame
     details: DataFrame
     boards: DataFrame
-    issues: DataFrame
+    issues: DataFrame | None = None
     torn: DataFrame | None = None
     """Landed lines that are no JSON, in the columns of rejects."""
 
@@ -86,15 +86,27 @@ def landed(
     uri = params.root(uri)
     if issue_pages is None:
         issue_pages = stage(scan_pages(spark, f"{uri}/issues", multi_line), "issue_pages")
+    dimensions = landed_dimensions(spark, uri, stage, multi_line)
+    return replace(
+        dimensions,
+        issues=issue_items(issue_pages, stage, earlier),
+        torn=dimensions.torn.unionByName(torn_rejects(issue_pages)),
+    )
+
+
+def landed_dimensions(
+    spark: SparkSession, uri: str, stage: Stage = unstaged, multi_line: bool = False
+) -> Raw:
+    """Projects, details and boards of a landing folder, without issues."""
+    uri = params.root(uri)
     project_pages = stage(scan_pages(spark, f"{uri}/projects", multi_line), "project_pages")
     board_pages = stage(scan_pages(spark, f"{uri}/boards", multi_line), "board_pages")
     details = stage(scan_details(spark, f"{uri}/details", multi_line), "detail_pages")
-    torn = [torn_rejects(pages) for pages in (project_pages, board_pages, issue_pages)]
+    torn = [torn_rejects(pages) for pages in (project_pages, board_pages)]
     return Raw(
         projects=items(whole_pages(project_pages)).select("body"),
         details=whole_pages(details).drop("torn"),
         boards=board_items(board_pages, stage),
-        issues=issue_items(issue_pages, stage, earlier),
         torn=reduce(DataFrame.unionByName, [*torn, torn_rejects(details, "path")]),
     )
 
@@ -132,6 +144,11 @@ class Relations:
             parts.append(self.torn)
         return reduce(DataFrame.unionByName, parts).to(REJECTS)
 
+    def only(self, *names: str, torn: DataFrame | None = None) -> Relations:
+        """These relations alone, with other torn lines."""
+        chosen = tuple(name for name in self.data_types if name in names)
+        return Relations(chosen, {n: df for n, df in self.checked.items() if n in names}, torn)
+
 
 def build(
     raw: Raw,
@@ -142,6 +159,7 @@ def build(
     custom_fields: str | Mapping[str, str] | None = None,
     stage: Stage = unstaged,
     seen: DataFrame | None = None,
+    ready: Mapping[str, DataFrame] | None = None,
 ) -> Relations:
     """Plan the selected relations.
 
@@ -150,22 +168,25 @@ def build(
     two. An invalid parent takes its children with it, because children join
     valid parents. ``stage`` may write a frame that several relations read.
     ``seen(project_id, entity_id)`` names issues an earlier batch has emitted.
+    ``ready`` has checked projects and boards of an earlier build, which are then
+    not built again.
     """
-    _need_utc(raw.projects.sparkSession)
+    _need_utc((raw.projects if raw.issues is None else raw.issues).sparkSession)
     chosen = params.data_types(data_types)
     keys = params.name_list(project_keys)
     start, end = params.day("start_date", start_date), params.day("end_date", end_date)
     custom = params.custom_fields(custom_fields)
     wanted = set(chosen)
     checked: dict[str, DataFrame] = {}
-    if wanted:
+    if ready:
+        checked["projects"], checked["boards"] = ready["projects"], ready["boards"]
+    elif wanted:
         selected = projects_by_key(raw.projects, keys)
         checked["projects"] = stage(check_projects(selected, raw.details), "projects")
-        good_projects = _valid(checked["projects"])
     if "releases" in wanted:
-        checked["releases"] = check_releases(good_projects)
-    if wanted & {"boards", "issues", "transitions"}:
-        checked["boards"] = stage(check_boards(raw.boards, good_projects), "boards")
+        checked["releases"] = check_releases(_valid(checked["projects"]))
+    if wanted & {"boards", "issues", "transitions"} and not ready:
+        checked["boards"] = stage(check_boards(raw.boards, _valid(checked["projects"])), "boards")
     if wanted & {"issues", "transitions"}:
         issues = check_issues(
             raw.issues,
@@ -175,8 +196,9 @@ def build(
             custom,
             details="issues" in wanted,
             histories="transitions" in wanted,
+            stage=stage,
         )
-        checked["issues"] = stage(issues, "issues")
+        checked["issues"] = issues
         if seen is not None:
             fresh = without_present(checked["issues"], seen, ["project_id", "entity_id"])
             checked["issues"] = stage(fresh, "fresh_issues")

@@ -85,9 +85,13 @@ def save_parts(
     return int(seen.get["rows"])
 
 
+def rejects_path(uri: str, suffix: str) -> str:
+    return f"{params.root(uri)}/rejects/rejects_{params.suffix(suffix)}"
+
+
 def write_rejects(
     rejected: DataFrame, uri: str, suffix: str, mode: str = "replace", part: str = ""
 ) -> None:
     """Rejected rows as JSON Lines under {uri}/rejects/rejects_{suffix}."""
-    path = f"{params.root(uri)}/rejects/rejects_{params.suffix(suffix)}{part}"
+    path = f"{rejects_path(uri, suffix)}{part}"
     rejected.write.mode("overwrite" if mode == "replace" else "append").json(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 
@@ -28,6 +29,31 @@ def has_files(spark: SparkSession, uri: str) -> bool:
     return False
 
 
+def exists(spark: SparkSession, uri: str) -> bool:
+    fs, path = _path(spark, uri)
+    return bool(fs.exists(path))
+
+
+def folders(spark: SparkSession, uri: str) -> list[str]:
+    """Names of the folders right under ``uri``; a missing one has none."""
+    fs, path = _path(spark, uri)
+    if not fs.exists(path):
+        return []
+    return [entry.getPath().getName() for entry in fs.listStatus(path) if entry.isDirectory()]
+
+
+def state_of(spark: SparkSession, *uris: str) -> str:
+    """A digest of the files under ``uris``: their paths, sizes and times. It changes when a file comes, goes or changes."""
+    lines = []
+    for uri in uris:
+        fs, path = _path(spark, uri)
+        found = fs.listFiles(path, True) if fs.exists(path) else None
+        while found is not None and found.hasNext():
+            file = found.next()
+            lines.append(f"{file.getPath()} {file.getLen()} {file.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(lines)).encode()).hexdigest()
+
+
 def delete(spark: SparkSession, uri: str) -> None:
     fs, path = _path(spark, uri)
     fs.delete(path, True)
@@ -82,6 +108,13 @@ def stage_in(spark: SparkSession, folder: str) -> Stage:
     return stage
 
 
+def is_small(df: DataFrame) -> bool:
+    """True when the planner, by the size of the files that ``df`` reads, broadcasts it in a join."""
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size) <= int(conf.autoBroadcastJoinThreshold())
+
+
 def unstaged(df: DataFrame, name: str) -> DataFrame:
     """The stage that does nothing: everything stays one lazy plan."""
     return df

@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ticketmill.params import RunParams
+from ticketmill.functions import safe_int
+from ticketmill.params import RunParams, name_list
 from ticketmill.plans.pipeline import make_tables
-from ticketmill.plans.relations import Relations, build, landed
-from ticketmill.sinks.files import run_path, save_parts, write_rejects, write_run
+from ticketmill.plans.relations import Raw, Relations, build, issue_items, landed_dimensions
+from ticketmill.schemas import REJECTS
+from ticketmill.sinks.files import rejects_path, run_path, save_parts, write_rejects, write_run
 from ticketmill.sinks.tables import PREFIX, load_all
 from ticketmill.sources import storage
-from ticketmill.sources.pages import ledger, stream_pages
+from ticketmill.sources.pages import ledger, stream_pages, torn_rejects, whole_pages
+from ticketmill.streaming.state import StateTable
 
 _SEEN = "project_id BIGINT, entity_id STRING"
 _LEDGER = "request_id STRING, start_at BIGINT, total BIGINT, is_last BOOLEAN, received BIGINT"
 _PARKED = "board_id BIGINT, ord STRUCT<start_at: BIGINT, pos: INT>, body STRING"
+_KNOWN = "board_id BIGINT"
 
 
 def run_stream(
@@ -31,18 +37,20 @@ def run_stream(
 ) -> StreamingQuery:
     """Follow ``{landing_uri}/issues`` and ingest each micro-batch of pages.
 
-    Projects, details and boards are read as they are landed when a batch
-    starts, and rewritten whole. Issues and transitions of batch n go to the
+    Projects, details and boards are checked when their landed files have changed
+    since the last batch, and rewritten whole then; a batch of issue pages alone
+    takes up what the batch before has checked. Issues and transitions of batch n go to the
     folder ``batch_id=n`` of their run, so a batch that is run again after a
     failure replaces its own parts; the first batch of a new checkpoint clears
-    what an earlier run of the same suffix has left there.
+    what an earlier run of the same suffix has left there. Rejects are kept
+    alike: each batch's own, and those of projects, boards and releases once.
 
-    What spans batches is kept as tables under ``checkpoint``, which are joined
-    and not held in memory: the issues emitted (the first copy of an issue in a
-    project wins), a ledger of the pages read (a page behind its request's stop
-    is not read, whichever batch holds the stop; one that came in a batch
-    before its stop has been read), and the entries whose board has not landed
-    yet, which the next batch takes up again.
+    What spans batches is kept as tables under ``checkpoint`` (``StateTable``): the
+    issues emitted (the first copy of an issue in a project wins), a ledger of
+    the pages read (a page behind its request's stop is not read, whichever batch
+    holds the stop; one that came in a batch before its stop has been read), and
+    the entries whose board has not landed yet. These wait, unread, until their
+    board has landed; a board whose project was not selected, or is a reject, drops them.
 
     Only ``mode="replace"`` and keyed loads hold up when a batch is run again,
     so others are refused. With ``once`` the query stops when the landed files
@@ -75,13 +83,31 @@ def _ingest(
 ) -> None:
     stage = storage.stage_in(spark, folder)
     pages = stage(pages, "issue_pages")
-    earlier = _before(spark, checkpoint, "ledger", _LEDGER, batch_id)
-    raw = landed(spark, landing_uri, stage, pages, earlier, params.multi_line)
-    # Only the last batch's entries: it has taken up those of the one before.
-    parked = _before(spark, checkpoint, "parked", _PARKED, batch_id, only_last=True)
-    if parked is not None:
-        raw = replace(raw, issues=raw.issues.unionByName(parked))
-    raw = replace(raw, issues=stage(raw.issues, "entries"))
+    read = StateTable(checkpoint, "ledger", _LEDGER, "request_id")
+    seen = StateTable(checkpoint, "seen", _SEEN, "project_id")
+    parked = StateTable(checkpoint, "parked", _PARKED, "board_id")
+    known = StateTable(checkpoint, "known", _KNOWN, "board_id")
+    dimensions = Dimensions(spark, landing_uri, params, checkpoint)
+    for table in (read, seen, known):
+        table.merge(spark, batch_id)
+    settled_before = known.before(spark, batch_id)
+    parked.merge(spark, batch_id, settled_before)
+
+    entries = issue_items(pages, stage, read.before(spark, batch_id, whole_pages(pages)))
+    own = entries = stage(entries, "entries")
+    wants_issues = bool({"issues", "transitions"} & set(params.data_types))
+    if wants_issues:
+        settled = dimensions.settled()
+        if settled_before is not None:
+            settled = settled.join(settled_before, "board_id", "left_anti")
+        settled = stage(settled, "settled")
+        waiting = parked.before(spark, batch_id, settled)
+        if waiting is not None:
+            # Their board has landed since the last batch.
+            entries = entries.unionByName(waiting.join(settled, "board_id", "left_semi"))
+    raw = replace(dimensions.raw, issues=entries)
+    boards = dimensions.checked["boards"].select("board_id", "project_id")
+    at_hand = entries.select("board_id").distinct().join(boards, "board_id").select("project_id").distinct()
     built = build(
         raw,
         params.data_types,
@@ -90,66 +116,99 @@ def _ingest(
         params.end_date,
         params.custom_fields,
         stage=stage,
-        seen=_before(spark, checkpoint, "seen", _SEEN, batch_id),
+        seen=seen.before(spark, batch_id, at_hand),
+        ready=dimensions.checked if params.data_types else None,
     )
-    _write_batch(built, params, batch_id)
+    facts = built.only("issues", "transitions", torn=torn_rejects(pages))
+    boards_too = ["boards"] if wants_issues or "boards" in params.data_types else []
+    whole = built.only("projects", "releases", *boards_too, torn=dimensions.raw.torn)
+    _write_batch(facts, params, batch_id)
     if params.keep_rejects and built.checked:
-        write_rejects(built.rejects(), params.uri, params.suffix, part=f"/batch_id={batch_id}")
+        write_rejects(facts.rejects(), params.uri, params.suffix, part=f"/batch_id={batch_id}")
+    if dimensions.changed:
+        write_run(whole.as_dict(), params.uri, params.suffix, params.fmt, "replace", params.max_rows, params.swap)
+        if params.keep_rejects and built.checked:
+            write_rejects(whole.rejects(), params.uri, params.suffix, part="/dimensions")
     if params.database:
-        load_all(built.loadable(), params.database, prefix=prefix)
+        load_all((built if dimensions.changed else facts).loadable(), params.database, prefix=prefix)
     # Last, so that a batch which failed earlier does not see itself.
-    _keep(checkpoint, "ledger", batch_id, ledger(pages))
-    if "issues" in built.checked:
+    read.keep(batch_id, ledger(pages))
+    if wants_issues:
         taken = built.checked["issues"].where(F.col("entity_id").isNotNull())
-        _keep(checkpoint, "seen", batch_id, taken.select("project_id", "entity_id"))
-        known = built.checked["boards"].select("board_id")
-        _keep(checkpoint, "parked", batch_id, raw.issues.join(known, "board_id", "left_anti"))
-
-
-def _state(checkpoint: str, name: str) -> str:
-    return f"{checkpoint.rstrip('/')}/{name}"
-
-
-def _keep(checkpoint: str, name: str, batch_id: int, df: DataFrame) -> None:
-    df.write.mode("overwrite").parquet(f"{_state(checkpoint, name)}/batch_id={batch_id}")
-
-
-def _before(
-    spark: SparkSession, checkpoint: str, name: str, kind: str, batch_id: int,
-    only_last: bool = False,
-) -> DataFrame | None:
-    """What batches before this one have kept; None where there is nothing."""
-    root = _state(checkpoint, name)
-    if not storage.has_files(spark, root):
-        return None
-    table = spark.read.schema(f"{kind}, batch_id BIGINT").parquet(root)
-    wanted = F.col("batch_id") == batch_id - 1 if only_last else F.col("batch_id") < batch_id
-    return table.where(wanted).drop("batch_id")
+        seen.keep(batch_id, taken.select("project_id", "entity_id"))
+        unknown = own.where(F.col("board_id").isNotNull()).join(dimensions.settled(), "board_id", "left_anti")
+        parked.keep(batch_id, unknown)
+        known.keep(batch_id, settled)
+    dimensions.finish()
+
+
+class Dimensions:
+    """Checked projects and boards of the landed files, kept under the checkpoint until these files change."""
+
+    def __init__(self, spark: SparkSession, landing_uri: str, params: RunParams, checkpoint: str):
+        uri = landing_uri.rstrip("/")
+        files = storage.state_of(spark, *(f"{uri}/{kind}" for kind in ("projects", "details", "boards")))
+        self.spark, self.root = spark, f"{checkpoint.rstrip('/')}/dimensions"
+        self.uri = f"{self.root}/{files[:32]}"
+        self.changed = not storage.exists(spark, f"{self.uri}/finished/_SUCCESS")
+        if self.changed:
+            storage.delete(spark, self.uri)
+            self._build(landing_uri, params)
+        schemas = spark.read.schema("name STRING, json STRING").parquet(f"{self.uri}/schemas").collect()
+        kinds = {row.name: T.StructType.fromJson(json.loads(row.json)) for row in schemas}
+        self.checked = {name: spark.read.schema(kind).parquet(f"{self.uri}/{name}") for name, kind in kinds.items()}
+        torn = spark.read.schema(REJECTS).parquet(f"{self.uri}/torn")
+        none = spark.createDataFrame([], "body STRING")
+        self.raw = Raw(projects=none, details=none, boards=none, torn=torn)
+
+    def _build(self, landing_uri: str, params: RunParams) -> None:
+        stage = storage.stage_in(self.spark, self.uri)
+        raw = landed_dimensions(self.spark, landing_uri, stage, params.multi_line)
+        boards = stage(raw.boards, "board_entries")
+        built = build(replace(raw, boards=boards), ["boards"], params.project_keys, stage=stage)
+        kinds = [(name, df.schema.json()) for name, df in built.checked.items()]
+        stage(self.spark.createDataFrame(kinds, "name STRING, json STRING"), "schemas")
+        stage(raw.torn, "torn")
+        # A board is settled once its project has landed or is known to be not selected.
+        listed = boards.select("project_key", safe_int(F.get_json_object("body", "$.id")).alias("board_id"))
+        listed = listed.where(F.col("board_id").isNotNull())
+        landed_keys = raw.projects.select(F.get_json_object("body", "$.key").alias("project_key")).distinct()
+        settled = listed.join(landed_keys, "project_key", "left_semi")
+        if keys := name_list(params.project_keys):
+            settled = settled.unionByName(listed.where(~F.col("project_key").isin(*keys)))
+        stage(settled.select("board_id").distinct(), "settled_boards")
+
+    def settled(self) -> DataFrame:
+        """Boards whose entries need not wait any more."""
+        return self.spark.read.schema(_KNOWN).parquet(f"{self.uri}/settled_boards")
+
+    def finish(self) -> None:
+        """From now on these are taken up as they are; older ones go."""
+        if self.changed:
+            self.spark.range(1).write.mode("overwrite").parquet(f"{self.uri}/finished")
+            for name in storage.folders(self.spark, self.root):
+                if not self.uri.endswith(name):
+                    storage.delete(self.spark, f"{self.root}/{name}")
 
 
 def _clear_once(spark: SparkSession, checkpoint: str, params: RunParams) -> None:
-    """A new checkpoint replaces the run: an earlier one's parts go, once."""
-    mark = _state(checkpoint, "started")
+    """A new checkpoint replaces the run: an earlier one's parts and rejects go, once."""
+    mark = f"{checkpoint.rstrip('/')}/started"
     if storage.has_files(spark, mark):
         return
     for name in ("issues", "transitions"):
         storage.delete(spark, run_path(params.uri, name, params.suffix))
+    storage.delete(spark, rejects_path(params.uri, params.suffix))
     spark.range(1).write.mode("overwrite").parquet(mark)
 
 
-def _write_batch(built: Relations, params: RunParams, batch_id: int) -> None:
-    parts = built.as_dict()
-    whole = {name: df for name, df in parts.items() if name not in ("issues", "transitions")}
-    write_run(
-        whole, params.uri, params.suffix, params.fmt, "replace", params.max_rows, params.swap
-    )
-    for name, df in parts.items():
-        if name not in whole:
-            path = f"{run_path(params.uri, name, params.suffix)}/batch_id={batch_id}"
-            if df.isEmpty():
-                storage.delete(df.sparkSession, path)
-            else:
-                save_parts(df, name, path, params.fmt, params.max_rows, "overwrite")
+def _write_batch(facts: Relations, params: RunParams, batch_id: int) -> None:
+    for name, df in facts.items():
+        path = f"{run_path(params.uri, name, params.suffix)}/batch_id={batch_id}"
+        if df.isEmpty():
+            storage.delete(df.sparkSession, path)
+        else:
+            save_parts(df, name, path, params.fmt, params.max_rows, "overwrite")
 
 
 def first_seen(
