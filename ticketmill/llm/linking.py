@@ -55,6 +55,12 @@ def grouped(spark: SparkSession, members: DataFrame, cells: DataFrame, similar:
 
     ``members``: bucket, node, weight, size (of the set) and bound (how much it can share with a node that it meets there first).
     """
+    links, met = led(spark, members, cells, similar)
+    return finished(spark, members, cells, similar, links, met, 1)
+
+
+def led(spark: SparkSession, members: DataFrame, cells: DataFrame, similar: float) -> tuple[DataFrame, DataFrame]:
+    """The links of nodes to their buckets' leaders, as far as these matter, and the pairs that this has settled."""
     heaviest = F.max(F.struct("weight", (-F.col("node")).alias("minus"), "size", "bound")).alias("top")
     leaders = members.groupBy("bucket").agg(heaviest, F.count("*").alias("n")).where("n > 1")
     leaders = leaders.select("bucket", (-F.col("top.minus")).alias("node"), "top.size", "top.bound").alias("l")
@@ -70,14 +76,31 @@ def grouped(spark: SparkSession, members: DataFrame, cells: DataFrame, similar:
     rest = _with_component(_with_component(rest, follows, "a", "of_a"), follows, "b", "of_b")
     rest = rest.where("of_a <> of_b and of_a <> b and of_b <> a").select("a", "b")
     links = followed.unionByName(similar_pairs(spark, staged(spark, rest, "rest"), cells, similar))
-    groups = None if links.isEmpty() else staged(spark, components(spark, links), "groups")
+    return links, met.select("a", "b")
+
+
+def grouped_by(spark: SparkSession, links: DataFrame) -> DataFrame | None:
+    return None if links.isEmpty() else staged(spark, components(spark, links), "groups")
+
 
-    done, left, n_passed, n_leaders = met.select("a", "b"), members, 1, GROWTH
+def apart(spark: SparkSession, members: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """The members, with ``component``, of buckets whose nodes are in different components, staged."""
+    now = _with_component(members, groups)
+    mixed = now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    return staged(spark, now.join(mixed, "bucket", "left_semi"), "mixed")
+
+
+def finished(
+    spark: SparkSession, members: DataFrame, cells: DataFrame, similar: float, links: DataFrame, done: DataFrame, n_passed: int = 0
+) -> DataFrame | None:
+    """The components, once no two nodes of a bucket are uncompared and in different ones.
+
+    ``links`` are known and the pairs ``done`` settled; that many leaders of each bucket have been compared with all of it.
+    """
+    groups, left, n_leaders = grouped_by(spark, links), members, GROWTH
     in_bucket = Window.partitionBy("bucket").orderBy(F.col("weight").desc(), "node")
     while True:
-        now = _with_component(left, groups)
-        mixed = now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-        now = staged(spark, now.join(mixed, "bucket", "left_semi"), "mixed")
+        now = apart(spark, left, groups)
         if now.isEmpty():
             return groups
         # Leaders that all others of the bucket have been compared with leave it, the next ones take their place.
@@ -95,5 +118,5 @@ def grouped(spark: SparkSession, members: DataFrame, cells: DataFrame, similar:
             found = similar_pairs(spark, met, cells, similar)
             if not found.isEmpty():
                 links = links.unionByName(found)
-                groups = staged(spark, components(spark, links), "groups")
+                groups = grouped_by(spark, links)
         left, n_passed, n_leaders = rest.drop("component"), n_leaders, n_leaders * GROWTH

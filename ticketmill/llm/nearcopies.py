@@ -10,15 +10,15 @@ text's coordinates are all hit; that takes about k ln k darts, whatever the
 number of shingles. Two texts agree in a coordinate with a probability of their
 weighted Jaccard similarity.
 
-Bands of the signature put texts into buckets. In a bucket every text is
-compared with one leader, the text that shares most buckets with others, by the
-exact similarity of their shingles; what the leader's group leaves over gets the
-next leader, as long as that finds links. So a bucket of n texts costs n
-comparisons and not n squared. Buckets of two bands joined give leaders for
-closer relatives. Then texts of one bucket that are still in different components
-and of which none was its first leader are joined by their rarest shingles, which
-two similar texts must share, and every pair that meets is compared. So no link
-between texts of one bucket is missed. Components of the links are the classes.
+Bands of the signature put texts into buckets. In a bucket texts are compared
+with leaders, the texts that share most buckets with others, by the exact
+similarity of their shingles (``linking``): a group of n near copies costs about n
+comparisons and not n squared. Buckets of two bands joined give leaders for closer
+relatives. Texts of buckets that are then in different components are indexed by
+prefixes of their shingles from rare to frequent, which two similar texts must
+share, with bounds on what they can have in common, and compared as far as these
+allow it. So no link between texts of one bucket is missed. Components of the
+links are the classes.
 
 Texts with the same words in a row are copies; one of them stands for all, so
 that thousands of copies are one text in everything that follows. Texts of fewer
@@ -39,8 +39,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticketmill.llm import linking
 from ticketmill.llm.common import WORD, free_name, ragged, small_batches, staged
-from ticketmill.llm.components import components
+from ticketmill.llm.setjoin import as_lists
+from ticketmill.llm.setjoin import signatures as signatures_of
 
 SHINGLE = 5
 BANDS, ROWS = 24, 6
@@ -198,36 +200,31 @@ def same_words(text: Column) -> Column:
     return F.md5(F.trim(spaced).cast("binary"))
 
 
-def _linked(spark: SparkSession, pairs: DataFrame, cells: DataFrame, similar: float) -> DataFrame:
-    """The pairs ``a``, ``b`` whose weighted Jaccard similarity is ``similar`` or more, staged."""
-    one = cells.select(F.col("node").alias("a"), F.col("cells").alias("cells_a"))
-    two = cells.select(F.col("node").alias("b"), F.col("cells").alias("cells_b"))
-    both = F.size(F.array_intersect("cells_a", "cells_b"))
-    every = F.size("cells_a") + F.size("cells_b") - both
-    close = pairs.join(one, "a").join(two, "b").where(both.cast("double") >= every.cast("double") * similar - 1e-9)
-    return staged(spark, close.select("a", "b"), "linked")
+def _indexed(spark: SparkSession, texts: DataFrame, similar: float) -> DataFrame:
+    """Members of buckets that all ``similar`` texts share, with bounds: prefixes of their shingles from rare to frequent."""
+    every = staged(spark, texts.select("node", "size", F.explode("cells").alias("cell")), "apart_cells")
+    often = every.groupBy("cell").agg(F.count("*").alias("often")).where("often > 1")
+    shared = every.join(often, "cell").groupBy("node").agg(F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("often", "cell"))).alias("c"))
+    shared = shared.select("node", "size", F.col("c.often").alias("often"), F.col("c.cell").alias("cells"))
+    weight = F.aggregate("often", F.lit(0).cast("bigint"), lambda x, y: x + y) * 1000 / F.col("size")
+    kind = "node bigint, size bigint, weight bigint, buckets array<bigint>, bounds array<bigint>"
+    shared = shared.select("node", F.col("size").cast("bigint"), weight.cast("bigint").alias("weight"), "often", "cells")
+    signed = shared.mapInArrow(_signed(similar), kind)
+    members = signed.select("node", "size", "weight", F.explode(F.arrays_zip("buckets", "bounds")).alias("s"))
+    return staged(spark, members.select(F.col("s.buckets").alias("bucket"), "node", "weight", "size", F.col("s.bounds").alias("bound")), "indexed")
 
 
-def _prefix_pairs(spark: SparkSession, texts: DataFrame, similar: float) -> DataFrame:
-    """Pairs ``a``, ``b`` of different components that hold all that are ``similar``, from ``node``, ``component`` and ``cells``.
+def _signed(similar: float):
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for n, often, cells in zip(batch.column("size").to_pylist(), batch.column("often"), batch.column("cells"), strict=True):
+                keys = np.asarray(cells.values).astype(np.int64).view(np.uint64)
+                found.append(signatures_of(n, keys, np.asarray(often.values), similar))
+            columns = [as_lists([one[i].view(np.int64) for one in found]) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("node", "size", "weight")), *columns], names=["node", "size", "weight", "buckets", "bounds"])
 
-    Of two similar texts each has at most 1 - ``similar`` of its cells for itself, so
-    the rarest so many and one of each must meet. Common cells come last.
-    """
-    every = staged(spark, texts.select("node", "component", F.size("cells").alias("size"), F.explode("cells").alias("cell")), "apart_cells")
-    often = every.groupBy("cell").agg(F.count("*").alias("often"))
-    ranked = every.join(often, "cell").groupBy("node").agg(
-        F.first("component").alias("component"), F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("often", "cell"))).alias("cells")
-    )
-    least = F.col("size") - F.ceil(F.col("size") * F.lit(similar) - 1e-6) + 1
-    heads = ranked.select("node", "component", "size", F.explode(F.slice("cells", F.lit(1), least.cast("int"))).alias("head"))
-    heads = staged(spark, heads.select("node", "component", "size", "head.cell"), "heads")
-    met = heads.groupBy("cell").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    heads = staged(spark, heads.join(met, "cell", "left_semi"), "heads")
-    short, long = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
-    apart = (F.col("x.cell") == F.col("y.cell")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
-    met = heads.alias("x").join(heads.alias("y"), apart & (short >= long * similar - 1e-6))
-    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    return signed
 
 
 def classes(
@@ -263,8 +260,7 @@ def _classed(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, s
     joined = F.transform(i, lambda x: F.xxhash64(F.get("bands", x), F.get("bands", (x + 1) % bands)))
     finer = _shared(involved.select("node", F.explode(joined).alias("bucket")))
     members = staged(spark, members.unionByName(finer), "members")
-    popular = members.groupBy("node").agg(F.sum("n").alias("popular"))
-    members = staged(spark, members.join(popular, "node").select("bucket", "node", "popular"), "members")
+    popular = members.groupBy("node").agg(F.sum("n").alias("weight"))
 
     chosen = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "words_md5", "first_id")
     again = texts.join(
@@ -272,44 +268,14 @@ def _classed(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, s
         (F.col("words_md5") == F.col("md5")) & F.col("doc_id").eqNullSafe(F.col("first_id")),
     )
     cells = again.select("node", "text").mapInArrow(_shingles, "node bigint, cells array<bigint>")
-    cells = staged(spark, cells.groupBy("node").agg(F.first("cells").alias("cells")), "cells")
-
-    links, done, left, groups, first = None, None, members, None, None
-    while True:
-        leader = F.max(F.struct("popular", (-F.col("node")).alias("minus")))
-        leaders = left.groupBy("bucket").agg(leader.alias("top"), F.count("*").alias("n")).where("n > 1")
-        leaders = leaders.select("bucket", (-F.col("top.minus")).alias("leader"))
-        first = staged(spark, leaders, "leaders") if first is None else first
-        pairs = left.join(leaders, "bucket").where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = staged(spark, pairs, "pairs")
-        found = _linked(spark, pairs, cells, similar)
-        if found.isEmpty():
-            break
-        links = found if links is None else links.unionByName(found)
-        done = pairs if done is None else done.unionByName(pairs)
-        groups = staged(spark, components(spark, links), "groups")
-        # What is not in the leader's group is left for the next leader.
-        of = groups.select("node", "component")
-        own = left.join(leaders, "bucket").join(of, "node", "left")
-        own = own.join(of.select(F.col("node").alias("leader"), F.col("component").alias("leading")), "leader", "left")
-        rest = F.col("leading").isNull() | F.col("component").isNull() | (F.col("component") != F.col("leading"))
-        left = staged(spark, own.where(rest & (F.col("node") != F.col("leader"))).select("bucket", "node", "popular"), "left")
-
-    # What the leaders left uncompared: texts of one bucket in different components, but for its first leader.
-    others = members.join(first, (members["bucket"] == first["bucket"]) & (members["node"] == first["leader"]), "left_anti")
-    if groups is not None:
-        others = others.join(groups, "node", "left")
-    component = F.col("node") if groups is None else F.coalesce("component", "node")
-    others = staged(spark, others.select("bucket", "node", component.alias("component")), "others")
-    mixed = others.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    apart = staged(spark, others.join(mixed, "bucket", "left_semi").select("node", "component").distinct(), "apart")
-    pairs = staged(spark, _prefix_pairs(spark, apart.join(cells, "node"), similar), "pairs")
-    found = _linked(spark, pairs, cells, similar)
-    if not found.isEmpty():
-        links = found if links is None else links.unionByName(found)
-        groups = staged(spark, components(spark, links), "groups")
+    cells = staged(spark, cells.groupBy("node").agg(F.first("cells").alias("cells")), "cells").withColumn("size", F.size("cells"))
+    # What a text can share with another one of its bucket is all that it has.
+    sizes = cells.select("node", "size", F.col("size").alias("bound"))
+    members = staged(spark, members.select("bucket", "node").join(popular, "node").join(sizes, "node"), "members")
+    links, met = linking.led(spark, members, cells, similar)
+    groups = linking.grouped_by(spark, links)
+    apart = staged(spark, linking.apart(spark, members, groups).select("node").distinct(), "apart")
+    groups = linking.finished(spark, _indexed(spark, cells.join(apart, "node"), similar), cells, similar, links, met)
 
     if groups is None:
         grouped = nodes.withColumn("component", F.col("node"))

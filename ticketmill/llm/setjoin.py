@@ -275,9 +275,9 @@ def _assemble(similar: float, limit: int):
                 "n": pa.array(sizes[begin : begin + len(some)], pa.int64()),
                 "first": pa.array(first[begin : begin + len(some)]),
                 "weight": pa.array([int(1000 * (weight[ends[i]] - weight[begins[i]]) / max(int(sizes[i]), 1)) for i in some], pa.int64()),
-                "signatures": _lists([found for found, _ in signs]),
-                "bounds": _lists([shared for _, shared in signs]),
-                "cells": _lists(cells),
+                "signatures": as_lists([found for found, _ in signs]),
+                "bounds": as_lists([shared for _, shared in signs]),
+                "cells": as_lists(cells),
             }
             yield pa.RecordBatch.from_pydict(columns)
 
@@ -289,7 +289,7 @@ def _node(block: int, place: int) -> int:
     return ((block >> 32) << 37) | ((block & 0xFFF) << 25) | place
 
 
-def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+def as_lists(arrays: list[np.ndarray]) -> pa.ListArray:
     ends = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
     return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(arrays).view(np.int64)))
 
