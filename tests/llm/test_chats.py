@@ -47,3 +47,11 @@ def test_beside_trying_all(spark, monkeypatch, chunk, part):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
     assert chats.rendered(spark, df).collect() == []
+
+
+def test_tied_turns_are_in_the_order_of_their_text(spark):
+    rows = [(1, 1, "user", t) for t in "cfabed"] + [(1, 1, "user", None), (1, 1, None, "z"), (1, 0, "x", "first"), (1, None, "a", "last")]
+    docs = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(4)
+    (row,) = chats.rendered(spark, docs).collect()
+    lines = row.text.split("\n")[1::2]
+    assert lines == ["first", "a", "b", "c", "d", "e", "f", "", "z", "last"]

@@ -70,3 +70,32 @@ def test_all_sources_at_their_stop_or_empty(spark):
         docs = spark.createDataFrame(data, "doc_id bigint, text string, source string")
         assert [(r.target, r.copies) for r in mixing.repetitions(spark, docs).collect()] == [(0.0, 0)] * len(data)
         assert mixing.repeated(spark, docs).collect() == []
+
+
+def test_rows_without_an_id_of_their_own_draw_apart(spark):
+    """A source without ids, and one of a single id, come near their targets; equal rows too."""
+    data = [(None, f"text {i % 400} " + "w " * 8, "a") for i in range(3000)] + [(7, "w " * 10, "b") for _ in range(3000)]
+    data += [(100 + i, "w " * 10, "c") for i in range(3000)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, source string").repartition(6)
+    got = mixing.repetitions(spark, docs).collect()
+    mixed = mixing.repeated(spark, docs).groupBy("source").count().collect()
+    counted = {r.source: r["count"] for r in mixed}
+    for source in "abc":
+        mine = [r for r in got if r.source == source]
+        assert abs(sum(r.copies * r.size for r in mine) - mine[0].target) <= 0.04 * mine[0].target
+        assert counted[source] == sum(r.copies for r in mine)
+    again = mixing.repetitions(spark, docs.repartition(2)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+
+
+def test_sql_of_rows_without_an_id_of_their_own(spark):
+    import duckdb
+    import pandas as pd
+
+    data = [(None, "a b c", "x"), (None, "a b c", "x"), (None, None, None), (4, "one", "x"), (4, "two words", "y"), (5, "some more words here", "z")] * 7
+    data += [(i, "w " * (i % 9), "xyz"[i % 3]) for i in range(50, 300)]
+    documents = pd.DataFrame(data, columns=["doc_id", "text", "source"]).astype({"doc_id": "Int64"})
+    want = duckdb.connect().register("documents", documents).execute(mixing.ORACLE_SQL).fetchall()
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, source string")
+    got = [(r.doc_id, r.size, r.source_size, r.target, r.copies * r.size) for r in mixing.repetitions(spark, docs).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))

@@ -99,3 +99,23 @@ def test_whole_blocks_tokens_and_keys_before_their_word():
     ]:
         spans = secrets.novel_spans(text, secrets.base_spans(text), novelty, secrets.NOVELTY)
         assert [text[a:b] for a, _, b in spans] == want
+
+
+def novel(text):
+    base = secrets.base_spans(text)
+    return [text[a:b] for a, _, b in secrets.novel_spans(text, base, secrets.Novelty(), secrets.NOVELTY)]
+
+
+def test_keys_of_letters_and_keys_that_a_pattern_covers_in_part():
+    run = "0123456789abcdef0123456789abcdef"
+    assert novel(f"token value {run}ZqX9vLm2KpW8sRt5YhN3") == [f"{run}ZqX9vLm2KpW8sRt5YhN3"]
+    assert novel("password backup word: qhzmvkxwtrplgnyd") == ["qhzmvkxwtrplgnyd"]
+    assert novel("api key JBSWYQZKTMNPXVRHA") == ["JBSWYQZKTMNPXVRHA"]
+    assert novel(f"token value {run} and password = {KEY}") == []
+    prose = "the end of the secret ering blee rate sat thanonontioniner with eringingbleeratesat and other words of the same kind in it "
+    assert novel(prose * 3) == []
+
+
+def test_partly_covered_keys_are_masked_whole(spark):
+    docs = spark.createDataFrame([(1, "token value " + "0123456789abcdef" * 2 + "ZqX9vLm2KpW8sRt5YhN3 end")], "doc_id bigint, text string")
+    assert secrets.masked(docs).first().text == "token value [SECRET] end"

@@ -55,7 +55,7 @@ def placed_turns(
         F.col(conv_col).cast("bigint").alias("conv_id"), F.col(turn_col).cast("bigint").alias("turn"),
         role.alias("role"), text.alias("text"), h1.alias("h1"), h2.alias("h2"),
     )
-    placed = with_ordinal(spark, turns, ["conv_id", "turn", "role", "h1", "h2"], "at", "turns")
+    placed = with_ordinal(spark, turns, ["conv_id", "turn", "role", "text"], "at", "turns")
     return staged(spark, placed, "placed")
 
 

@@ -8,7 +8,9 @@ primed with a dictionary of common identifiers, once without and once with the
 string. What the string adds, in bytes for each of its characters, is its
 novelty: names, paths and words that the dictionary or the text around already
 has add little, random keys add most of their bytes. Strings above the threshold
-are reported as kind ``novel``.
+are reported as kind ``novel``. A string that a base pattern covers in part only
+is measured and reported whole beside it. Letters in one case, as prose has them,
+have a higher threshold.
 
 Defined results: a null text is empty; repeated rows and null ids are scanned
 like any other; an empty table gives an empty one; other columns are ignored by
@@ -18,7 +20,9 @@ like any other; an empty table gives an empty one; other columns are ignored by
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -65,6 +69,10 @@ MIN_CHARS = 16
 AROUND = 256
 #: Compressed bytes that a character must add. Random base64 adds 0.75, random hex 0.5.
 NOVELTY = 0.45
+#: The same for letters in one case or title case, which prose has too: of its long words none added 0.6.
+LETTERS_NOVELTY = 0.65
+#: With fewer characters around, plain text is hardly compressed, and letters must add this much.
+FEW_AROUND, BARE_NOVELTY = 128, 0.95
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -87,6 +95,14 @@ class Novelty:
         primed = zstandard.ZstdCompressionDict(identifiers.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.press = zstandard.ZstdCompressor(level=19, dict_data=primed, write_content_size=False).compress
 
+    def reports(self, text: str, start: int, end: int, threshold: float) -> bool:
+        """True where the string adds enough. Letters without digits or change of case, as in prose, have thresholds of their own."""
+        string = text[start:end]
+        if string.isalpha() and (string.islower() or string.isupper() or string.istitle()):
+            few = min(start, AROUND) + min(len(text) - end, AROUND) < FEW_AROUND
+            threshold = max(threshold, BARE_NOVELTY if few else LETTERS_NOVELTY)
+        return self(text, start, end) >= threshold
+
     def __call__(self, text: str, start: int, end: int) -> float:
         around = (text[max(0, start - AROUND) : start] + text[end : end + AROUND]).encode()
         size = len(self.press(around))
@@ -109,31 +125,29 @@ def _near_lines(text: str) -> list[tuple[int, int]]:
     return zones
 
 
-def novel_spans(text: str, base: list[Span], novelty: Novelty, threshold: float) -> list[Span]:
-    """Key-like strings around sensitive words that no base span touches and that add much."""
+def novel_spans(text: str, base: list[Span], novelty: Novelty, threshold: float, min_chars: int = MIN_CHARS) -> list[Span]:
+    """Key-like strings around sensitive words that add much; those that a base span covers whole are reported by it already."""
     lower = text.lower()
     if not any(word in lower for word in SENSITIVE):
         return []
     zones = _near_lines(text)
-    strings = [m.span() for m in CANDIDATE.finditer(text) if m.end() - m.start() >= MIN_CHARS]
+    strings = [m.span() for m in CANDIDATE.finditer(text) if m.end() - m.start() >= min_chars]
     near, at = [], 0
     for i, (start, end) in enumerate(strings):
         while at < len(zones) and zones[at][1] <= start:
             at += 1
         if at < len(zones) and zones[at][0] < end:
             near.append(i)
-    taken = sorted((start, end) for start, _, end in base)
+    starts = [start for start, _, _ in base]
+    furthest = list(accumulate((end for _, _, end in base), max))
     found, seen = [], set(near)
     while near:
         i = near.pop()
         start, end = strings[i]
-        if any(a < end and start < b for a, b in taken):
+        before = bisect_right(starts, start)
+        if before and furthest[before - 1] >= end:
             continue
-        # Prose has no digits inside its words and no change of case.
-        string = text[start:end]
-        if string.isalpha() and (string.islower() or string.isupper() or string.istitle()):
-            continue
-        if novelty(text, start, end) < threshold:
+        if not novelty.reports(text, start, end, threshold):
             continue
         found.append((start, 3, end))
         # The next lines of a block and parts between dots are near a secret too.
@@ -144,7 +158,7 @@ def novel_spans(text: str, base: list[Span], novelty: Novelty, threshold: float)
     return sorted(found)
 
 
-def _scan(threshold: float):
+def _scan(threshold: float, min_chars: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         novelty = Novelty()
         spans = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
@@ -153,7 +167,7 @@ def _scan(threshold: float):
             for text in batch.column(batch.num_columns - 1):
                 text = text.as_py()
                 base = base_spans(text)
-                every = sorted(base + novel_spans(text, base, novelty, threshold))
+                every = sorted(base + novel_spans(text, base, novelty, threshold, min_chars))
                 found.append([{"kind": KINDS[k], "start": a, "end": b} for a, k, b in every])
             kept = batch.columns[:-1]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(found, spans)], names=[*batch.schema.names[:-1], "spans"])
@@ -164,12 +178,16 @@ def _scan(threshold: float):
 SPANS = "array<struct<kind: string, start: bigint, end: bigint>>"
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", novelty: float = NOVELTY) -> DataFrame:
-    """``doc_id`` and ``spans``: kind, start and end (code points, end exclusive), by start, then kind."""
+def scan(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", novelty: float = NOVELTY, min_chars: int = MIN_CHARS
+) -> DataFrame:
+    """``doc_id`` and ``spans``: kind, start and end (code points, end exclusive), by start, then kind.
+
+    Strings shorter than ``min_chars`` are words of prose and code and are not measured."""
     small_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
-    return rows.mapInArrow(_scan(novelty), f"doc_id bigint, spans {SPANS}")
+    return rows.mapInArrow(_scan(novelty, min_chars), f"doc_id bigint, spans {SPANS}")
 
 
 def _listed(spans: Column) -> Column:
@@ -188,7 +206,7 @@ def report(scanned: DataFrame) -> DataFrame:
     )
 
 
-def _mask(at: int, threshold: float, mark: str):
+def _mask(at: int, threshold: float, mark: str, min_chars: int):
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         novelty = Novelty()
         for batch in batches:
@@ -198,7 +216,7 @@ def _mask(at: int, threshold: float, mark: str):
                     continue
                 base = base_spans(text)
                 out, done = [], 0
-                for start, _, end in sorted(base + novel_spans(text, base, novelty, threshold)):
+                for start, _, end in sorted(base + novel_spans(text, base, novelty, threshold, min_chars)):
                     if start >= done:
                         out += [text[done:start], mark]
                     done = max(done, end)
@@ -209,7 +227,9 @@ def _mask(at: int, threshold: float, mark: str):
     return mask
 
 
-def masked(docs: DataFrame, text_col: str = "text", novelty: float = NOVELTY, mark: str = "[SECRET]") -> DataFrame:
+def masked(
+    docs: DataFrame, text_col: str = "text", novelty: float = NOVELTY, mark: str = "[SECRET]", min_chars: int = MIN_CHARS
+) -> DataFrame:
     """``docs`` with every reported span replaced by ``mark``; spans that overlap become one mark."""
     small_batches(docs.sparkSession)
-    return docs.mapInArrow(_mask(docs.columns.index(text_col), novelty, mark), docs.schema)
+    return docs.mapInArrow(_mask(docs.columns.index(text_col), novelty, mark, min_chars), docs.schema)
