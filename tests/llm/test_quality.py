@@ -139,11 +139,85 @@ def test_word_model_grows_and_rejects_words_of_no_other_text(spark):
     for i in range(900, 904):
         assert not got[i].base_failed and not got[i].kept
         assert got[i].low <= got[i].log_perplexity <= got[i].high and got[i].word_log_perplexity > got[i].word_high
+    # The word model by its definition.
     words = [t.split() for _, t, _ in rows]
-    single, pairs = Counter(w for ws in words for w in ws), Counter(p for ws in words for p in zip(["", *ws], ws, strict=False))
-    assert sorted(r.n for r in quality.word_model(spark, docs).collect()) == sorted([*single.values(), *pairs.values()])
-    for i in (0, 201):
-        k1, k2, n = Counter(words[i]), Counter(zip(["", *words[i]], words[i], strict=False)), len(words[i])
-        mean = lambda k, c: sum(k[g] * math.log(c[g] - k[g] + 0.5) for g in k) / n  # noqa: E731, B023
-        want = math.log(sum(single.values())) - 2 / 3 * mean(k1, single) - mean(k2, pairs) / 3
-        assert got[rows[i][0]].word_log_perplexity == pytest.approx(want, rel=1e-9)
+    c = Counter(w for ws in words for w in ws)
+    n = Counter(c.values())
+    y = n[1] / (n[1] + 2 * n[2])
+    off = [0, *(min(max(i - (i + 1) * y * n[i + 1] / n[i], 0.05), i - 0.05) for i in (1, 2, 3))] if all(n[i] for i in (1, 2, 3, 4)) else [0, 0.5, 0.75, 1.0]
+    total = sum(c.values())
+    weight = sum(off[min(k, 3)] for k in c.values()) / total
+    keys, counts = np.unique(quality._joined_keys([t for _, t, _ in rows])[0], return_counts=True)
+    model = quality.Model(keys, counts)
+    by_chars = lambda w: model.score(quality._joined_keys([w + " "])[0]).astype(float).sum()
+    for i in (0, 77, 201):
+        own = Counter(words[i])
+        logs = [k * math.log(max(c[w] - k - off[min(c[w] - k, 3)], 0) / total + weight * math.exp(by_chars(w))) for w, k in own.items()]
+        assert got[rows[i][0]].word_log_perplexity == pytest.approx(-sum(logs) / len(words[i]), rel=1e-5)
+
+
+def test_words_of_a_language_have_probabilities_of_one_in_sum():
+    """What the discounts take off is what the characters get."""
+    totals = np.array([1] * 40 + [2] * 15 + [3] * 9 + [4] * 5 + [30, 80])
+    classes = {"words": int(totals.sum()), "different": len(totals), **{f"n{i}": int((totals == i).sum()) for i in range(1, 5)}}
+    none = np.full(len(totals), -np.inf)
+    logs = quality.word_log_probabilities(totals, np.zeros(len(totals), int), none, classes)
+    new = quality.word_log_probabilities(np.array([0]), np.array([0]), np.array([0.0]), classes)
+    assert np.exp(logs).sum() + np.exp(new).sum() == pytest.approx(1)
+
+
+@pytest.mark.parametrize("block_chars", [300, 4000])
+def test_blocks_and_shards_do_not_change_scores(spark, block_chars):
+    every = [t for t in texts(120) if t.strip()]
+    rows = [(i, t, ["en", None, "fr", "de"][i % 4]) for i, t in enumerate(every)] + [(None, "", "xx"), (900, "### $$$ 12 a", "yy")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    plain = {str(r.doc_id): r for r in quality.scored(spark, docs.coalesce(1)).collect()}
+    cut = {str(r.doc_id): r for r in quality.scored(spark, docs.repartition(4), shards=3, block_chars=block_chars).collect()}
+    assert plain.keys() == cut.keys()
+    for i, r in plain.items():
+        assert [cut[i][f] for f in (*quality.FEATURES, "n_letter_words", "key")] == [r[f] for f in (*quality.FEATURES, "n_letter_words", "key")]
+        for f in ("log_perplexity", "word_log_perplexity"):
+            assert (cut[i][f] is None) == (r[f] is None) and (r[f] is None or cut[i][f] == pytest.approx(r[f], rel=1e-5))
+
+
+def plain_bands(rows):
+    """Each language's bands from all rows that pass the base rules, and the verdicts that follow."""
+
+    def rank(values, q):
+        values = sorted(values)
+        return values[max(math.ceil(q * len(values)) - 1, 0)]
+
+    kept = {}
+    for lang in {r["lang"] for r in rows}:
+        mine = [r for r in rows if r["lang"] == lang]
+        good = [r for r in mine if not r["failed"]]
+        if not good:
+            continue
+        for name, n, reach, margin in (("log_perplexity", "n_grams", 8.0, 0.12), ("word_log_perplexity", "n_letter_words", 4.0, 0.4)):
+            values = [r[name] for r in good if r[name] is not None]
+            middle = rank(values, 0.5)
+            off = [(r[name] - middle) * math.sqrt(max(r[n] or 0, 1)) for r in good if r[name] is not None]
+            spread = (rank(off, 0.75) - rank(off, 0.25)) / 1.349
+            tail = 2 * (middle - rank(values, 0.05)) if n == "n_letter_words" else 0
+            for r in mine:
+                wide = max(margin, reach * spread / math.sqrt(max(r[n] or 0, 1)))
+                r[f"{name}_in"] = r[name] is not None and middle - max(wide, tail) <= r[name] <= middle + wide
+        kept |= {r["doc_id"]: not r["failed"] and r["log_perplexity_in"] and r["word_log_perplexity_in"] for r in mine}
+    return kept
+
+
+def test_bands_and_verdicts_as_by_their_definition(spark):
+    draw = random.Random(12)
+    rows = []
+    for i in range(300):
+        words = [draw.choice(["alpha", "beta", "gamma", "delta", "epsilon", "zeta", "eta"]) + draw.choice(["", "s", "er"]) for _ in range(draw.randint(12, 90))]
+        if i % 10 == 0:
+            words = ["".join(draw.choice("qxzjkvw") for _ in range(6)) for _ in words]
+        rows.append((i, " ".join(words), ["en", "fr"][i % 2]))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    scores = [r.asDict() for r in quality.scored(spark, docs).collect()]
+    for r in scores:
+        r["failed"] = r["n_words"] < 10 or 100 * r["n_repeat_words"] > 20 * r["n_words"]
+    want = plain_bands(scores)
+    got = {r.doc_id: r.kept for r in quality.verdicts(spark, docs).collect()}
+    assert got == want and 0 < sum(not k for k in got.values()) < 100

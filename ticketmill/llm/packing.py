@@ -73,6 +73,14 @@ def unframed(data: bytes, n: int) -> list[bytes]:
     return [data[a:b] for a, b in zip(starts, ends.tolist(), strict=True)]
 
 
+def framed_list(fields: list[bytes]) -> bytes:
+    return np.array([len(fields)], "<u8").tobytes() + framed(*fields)
+
+
+def unframed_list(data: bytes) -> list[bytes]:
+    return unframed(data[8:], int(np.frombuffer(data, "<u8", 1)[0]))
+
+
 def gathered(rows: Iterator[Row], most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
     """Rows in batches of about ``most`` bytes."""
     held: list[Row] = []
@@ -127,7 +135,7 @@ def in_groups(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[
 
 def n_shards(spark: SparkSession) -> int:
     """More shards than tasks, so that one of them fits in memory whatever the input."""
-    return max(256, 8 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(128, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def asked(

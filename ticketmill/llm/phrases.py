@@ -203,9 +203,10 @@ def _assemble(longest: int, shards: int):
         words, langs = table["words"][0].as_py(), table["langs"][0].as_py()
         streams = [unpack(field).astype(np.int32) for field in unframed(packed, len(langs))]
         own = _Keys(words, langs, streams)
+        parts: dict[int, list[bytes]] = {}
         for i, lang in enumerate(langs):
             total = np.array([np.count_nonzero(streams[i])])
-            yield block, packing.spread(xxhash.xxh32_intdigest(lang.encode()), shards), GRAMS, 0, _texts_of(lang, [b""], total)
+            parts.setdefault(packing.spread(xxhash.xxh32_intdigest(lang.encode()), shards), []).append(_texts_of(lang, 0, [b""], total))
         for n in range(1, longest + 1):
             known, _ = own.distinct(n)
             bits = [unframed(row[4], 2) for row in held if row[2] == GRAMS and row[3] == n]
@@ -224,7 +225,10 @@ def _assemble(longest: int, shards: int):
                 prints, grams, counts = _phrases(at, grams)
                 for shard, part in packing.by_shard(often[prints], shards):
                     texts = [b" ".join([words[w] for w in gram]) for gram in grams[part].tolist()]
-                    yield block, shard, GRAMS, n, _texts_of(lang, texts, counts[part])
+                    parts.setdefault(shard, []).append(_texts_of(lang, n, texts, counts[part]))
+        # One row for each shard.
+        for shard, some in parts.items():
+            yield block, shard, GRAMS, 0, packing.framed_list(some)
 
     def assemble(block: int, held: list[packing.Row]) -> Iterator[pa.RecordBatch]:
         yield from packing.gathered(found(block, held))
@@ -232,9 +236,9 @@ def _assemble(longest: int, shards: int):
     return assemble
 
 
-def _texts_of(lang: str, texts: list[bytes], counts: np.ndarray) -> bytes:
+def _texts_of(lang: str, words: int, texts: list[bytes], counts: np.ndarray) -> bytes:
     # No word holds the end of a line.
-    return framed(lang.encode(), pack(counts, 8), zstandard.ZstdCompressor(level=1).compress(b"\n".join(texts)))
+    return framed(lang.encode(), bytes([words]), pack(counts, 8), zstandard.ZstdCompressor(level=1).compress(b"\n".join(texts)))
 
 
 def _sum(least: int):
@@ -242,9 +246,9 @@ def _sum(least: int):
         """Counts of a shard's phrases, by their text: blocks' phrases with one fingerprint are one only if their words are."""
         for _, held in packing.in_groups(batches, 1):
             totals: dict[tuple[bytes, int], dict[bytes, int]] = {}
-            for row in held:
-                lang, counts, texts = unframed(row[4], 3)
-                own = totals.setdefault((lang, row[3]), {})
+            for part in (part for row in held for part in packing.unframed_list(row[4])):
+                lang, words, counts, texts = unframed(part, 4)
+                own = totals.setdefault((lang, words[0]), {})
                 for text, n in zip(zstandard.ZstdDecompressor().decompress(texts).split(b"\n"), unpack(counts).tolist(), strict=True):
                     own[text] = own.get(text, 0) + n
             for (lang, words), own in totals.items():

@@ -1,20 +1,20 @@
-"""Quality rules with the perplexity of word n-grams and of characters, both under models that Spark counts.
+"""Quality rules with the perplexity of words and of characters, under modified Kneser-Ney models that Spark counts.
 
-The word model has every word and every pair of neighbours of every text, in one
-case, without tokens that have neither letter nor digit. It grows with the input
-and stays a table of hashes and counts: a text's different n-grams are joined to
-it and their log-probabilities summed for each document. A text's own n-grams
-are taken off the counts first, so that what no other text has is rare however
-often the text repeats it. Words count for two thirds, pairs for one third.
-
-The character model sees what has no words between spaces. It is a modified
-Kneser-Ney model, one of characters in 64 classes (letters without case, one class of
+The model of characters is one of classes (letters without case, one class of
 digits, of white space, of each common mark, hashed classes for other letters),
-four at a time. So it has at most 64**4 entries for a language, however large
-the corpus is, while its counts come from every character of every text. For
-each language the n-grams lie in sorted arrays of their hashes (the four classes
-packed in 24 bits) beside their probabilities; a lookup is a binary search, an
-n-gram that is missing backs off to shorter ones.
+four at a time. For each language the n-grams lie in sorted arrays of their
+hashes (the four classes packed in 24 bits) beside their probabilities; a lookup
+is a binary search, an n-gram that is missing backs off to shorter ones.
+
+The model of words has every word of every text, in one case, without tokens that
+have neither letter nor digit, so it grows with the input. Blocks of texts send
+each different word once, with its count, to the word's shard, where counts are
+summed in sorted arrays of hashes, and get the sums back. Its counts are
+discounted as modified Kneser-Ney does, by how many words of the language occur
+once to four times, and what is taken off goes to the model of characters:
+a word that is rare or new is as likely as its characters. A text's own
+occurrences are taken off a word's count first, so that what no other text has is
+new however often the text repeats it.
 
 The languages' arrays are sent to the tasks one by one, and a task loads those
 of the languages it meets.
@@ -36,6 +36,7 @@ like any other; an empty table gives an empty one; other columns are ignored by
 from __future__ import annotations
 
 import io
+import json
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -44,9 +45,10 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticketmill.llm import packing
 from ticketmill.llm.common import WORD, ragged, small_batches, staged
 
 # The base rules' symbols, and marks that are classes of their own.
@@ -61,14 +63,13 @@ BATCH_CHARS = 2_000_000
 REACH = 8.0
 #: ... and at least so much log-perplexity, which long texts of one language differ by.
 MARGIN = 0.12
-#: What is added to a word n-gram's count, the share of single words in the score, and the word band's half width.
-ADDED = 0.5
-SINGLE = 2 / 3
+#: The word band's half width, in the same two terms.
 WORD_REACH, WORD_MARGIN = 4.0, 0.4
 
+TEXTS, WORD_COUNTS, CLASSES = 0, 1, 2
+
 _WORDS = re.compile(WORD)
 _LETTER = re.compile(r"[^\W_]")
-_MULTIPLY = [np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
 @cache
@@ -206,7 +207,10 @@ def _find(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def _discounts(counts: np.ndarray) -> tuple[float, float, float]:
     """What is taken off counts of one, two, and three or more, from how many n-grams occur once to four times."""
-    n = [int((counts == i).sum()) for i in range(5)]
+    return _discounts_of([int((counts == i).sum()) for i in range(5)])
+
+
+def _discounts_of(n: list[int]) -> tuple[float, float, float]:
     if 0 in n[1:]:
         return 0.5, 0.75, 1.0
     y = n[1] / (n[1] + 2 * n[2])
@@ -269,88 +273,221 @@ def _repeated(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return inside[starts + sizes] - inside[starts]
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _MULTIPLY[0]
-    x = (x ^ (x >> np.uint64(27))) * _MULTIPLY[1]
-    return x ^ (x >> np.uint64(31))
-
-
-def word_grams(langs: list[str], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words (even) and pairs of neighbours (odd) of the texts, and the text of each."""
-    known: dict[str, int] = {}
-    numbers: list[int] = []
-    sizes = []
-    for text in texts:
-        words = _WORDS.findall(text.lower())
-        for word in set(words):
-            if word not in known:
-                known[word] = xxhash.xxh64_intdigest(word) | 1 if _LETTER.search(word) else 0
-        numbers += map(known.__getitem__, words)
-        sizes.append(len(words))
-    words, owner = np.array(numbers, np.uint64), np.repeat(np.arange(len(texts)), sizes)
-    words, owner = words[words > 0], owner[words > 0]
-    seeds = np.array([xxhash.xxh64_intdigest(lang) for lang in langs], np.uint64)
-    words = _mix(words ^ seeds[owner])
-    before = np.concatenate([np.zeros(1, np.uint64), words[:-1]])[: len(words)]
-    before[np.concatenate([[True], owner[1:] != owner[:-1]])[: len(words)]] = 1
-    pairs = _mix(before * _MULTIPLY[1] + words)
-    grams = np.concatenate([words & ~np.uint64(1), pairs | np.uint64(1)])
-    return grams, np.concatenate([owner, owner])
-
-
-def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        langs, texts = (c.to_pylist() for c in batch.columns[1:])
-        for begin, stop in _even(texts):
-            grams, n = np.unique(word_grams(langs[begin:stop], texts[begin:stop])[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"])
-
-
-def _list_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        docs = np.asarray(batch.column(0))
-        langs, texts = (c.to_pylist() for c in batch.columns[1:])
-        for begin, stop in _even(texts):
-            grams, owner = word_grams(langs[begin:stop], texts[begin:stop])
-            _, first, n = np.unique(_mix(grams + owner.astype(np.uint64) * _MULTIPLY[1]), return_index=True, return_counts=True)
-            columns = [pa.array(docs[begin + owner[first]]), pa.array(grams[first].view(np.int64)), pa.array(n.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc", "gram", "k"])
-
-
 FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-SCORED = "doc_id bigint, key string, lang string, " + ", ".join(f"{name} bigint" for name in FEATURES) + ", n_grams bigint, log_perplexity double"
-
-
-def _score(sent: dict):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loaded: dict[str, Model] = {}
-
-        def model(lang: str) -> Model:
-            if lang not in loaded:
-                if len(loaded) >= 8:
-                    loaded.pop(next(iter(loaded)))
-                loaded[lang] = Model.load(sent[lang].value)
-            return loaded[lang]
-
-        for batch in batches:
-            langs, texts = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            for begin, stop in _even(texts):
-                part = texts[begin:stop]
-                mean, n_grams = np.full(len(part), np.nan), np.zeros(len(part), np.int64)
-                for lang, at in _by_language(langs[begin:stop]).items():
-                    keys, sizes = _joined_keys([part[i] for i in at])
-                    sums = np.concatenate([[0.0], np.cumsum(model(lang).score(keys), dtype=np.float64)])
-                    ends = np.cumsum(sizes)
-                    n_grams[at] = sizes
-                    mean[at] = -(sums[ends] - sums[ends - sizes]) / np.maximum(sizes, 1)
-                features = base_features(part)
-                rows = batch.slice(begin, stop - begin)
-                yield pa.RecordBatch.from_arrays(
-                    [*rows.columns[:3], *(pa.array(features[f]) for f in FEATURES), pa.array(n_grams), pa.array(mean, mask=n_grams == 0)],
-                    names=["doc_id", "key", "lang", *FEATURES, "n_grams", "log_perplexity"],
-                )
-
-    return score
+NUMBERS = ", ".join(f"{name} bigint" for name in FEATURES)
+SCORED = f"doc_id bigint, key string, lang string, {NUMBERS}, n_grams bigint, log_perplexity double, n_letter_words bigint, word_log_perplexity double"
+
+
+class _Models:
+    """The character models of the languages that a task meets; eight at a time."""
+
+    def __init__(self, sent: dict):
+        self.sent, self.loaded = sent, {}
+
+    def __getitem__(self, lang: str) -> Model:
+        if lang not in self.loaded:
+            if len(self.loaded) >= 8:
+                self.loaded.pop(next(iter(self.loaded)))
+            self.loaded[lang] = Model.load(self.sent[lang].value)
+        return self.loaded[lang]
+
+
+def _sums(models: _Models, lang: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The log-probability of each text's characters, and how many it has. A language of empty texts has no model."""
+    if not any(texts):
+        return np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+    model = models[lang]
+    keys, sizes = _joined_keys(texts)
+    sums = np.concatenate([[0.0], np.cumsum(model.score(keys), dtype=np.float64)])
+    ends = np.cumsum(sizes)
+    return sums[ends] - sums[ends - sizes], sizes
+
+
+class _Block:
+    """Texts of a run of rows: what is known of them, and the words that each one has, by language."""
+
+    def __init__(self, number: int):
+        self.number, self.chars = number, 0
+        self.known: dict[str, dict[str, int]] = {}
+        self.rows: list[pa.RecordBatch] = []
+        self.places: list[np.ndarray] = []
+        self.often: list[np.ndarray] = []
+
+    def add(self, rows: pa.RecordBatch, models: _Models) -> None:
+        langs, texts = rows.column(2).to_pylist(), rows.column(3).to_pylist()
+        mean, n_grams = np.full(len(texts), np.nan), np.zeros(len(texts), np.int64)
+        for lang, at in _by_language(langs).items():
+            sums, sizes = _sums(models, lang, [texts[i] for i in at])
+            n_grams[at], mean[at] = sizes, -sums / np.maximum(sizes, 1)
+        n_words = []
+        for lang, text in zip(langs, texts, strict=True):
+            known = self.known.setdefault(lang, {})
+            words = [word for word in _WORDS.findall(text.lower()) if _LETTER.search(word)]
+            for word in set(words):
+                if word not in known:
+                    known[word] = len(known)
+            places, often = np.unique(np.fromiter(map(known.__getitem__, words), np.int64, len(words)), return_counts=True)
+            self.places.append(places)
+            self.often.append(often)
+            n_words.append(len(words))
+        features = base_features(texts)
+        columns = [*rows.columns[:3], *(pa.array(features[f]) for f in FEATURES), pa.array(n_grams), pa.array(mean, mask=n_grams == 0), pa.array(n_words, pa.int64())]
+        self.rows.append(pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "lang", *FEATURES, "n_grams", "log_perplexity", "n_letter_words"]))
+        self.chars += sum(map(len, texts))
+
+    def moved(self, shards: int, models: _Models) -> Iterator[packing.Row]:
+        if not self.rows:
+            return
+        table = pa.Table.from_batches(self.rows)
+        langs = table["lang"].to_pylist()
+        order, by_chars, asked = {}, [], {}
+        for lang, known in self.known.items():
+            words = list(known)
+            keys = np.fromiter((xxhash.xxh64_intdigest(word) for word in words), np.uint64, len(words))
+            keys = packing.mixed(keys ^ np.uint64(xxhash.xxh64_intdigest(lang))) >> np.uint64(64 - packing.KEY_BITS)
+            by_key = np.argsort(keys, kind="stable")
+            place = np.empty(len(words), np.int64)
+            place[by_key] = np.arange(len(words))
+            order[lang] = place
+            n = np.zeros(len(words), np.int64)
+            for i, own in enumerate(langs):
+                if own == lang:
+                    # One entry for each different word of a text.
+                    n[self.places[i]] += self.often[i]
+            keys, n = keys[by_key], n[by_key]
+            by_chars.append(_sums(models, lang, [words[i] + " " for i in by_key.tolist()])[0].astype(np.float32).tobytes())
+            for shard, part in packing.by_shard(keys, shards):
+                asked.setdefault(shard, []).extend([lang.encode(), packing.pack_sorted(keys[part]), packing.pack(n[part])])
+        for shard, fields in asked.items():
+            yield self.number, shard, WORD_COUNTS, 0, packing.framed_list(fields)
+        steps, often = [], []
+        for lang, places, n in zip(langs, self.places, self.often, strict=True):
+            at = order[lang][places]
+            by_place = np.argsort(at)
+            steps.append(np.diff(at[by_place], prepend=0))
+            often.append(n[by_place])
+        none = np.zeros(0, np.int64)
+        steps, sizes = np.concatenate([none, *steps]), np.array([len(x) for x in often], np.int64)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(table)
+        small = steps < 255
+        texts = packing.framed(
+            sink.getvalue().to_pybytes(), packing.pack(sizes), packing.pack(np.where(small, steps, 255), 1), packing.pack(steps[~small]),
+            _pack_counts(np.concatenate([none, *often])), packing.framed(*by_chars), "\n".join(self.known).encode(),
+        )
+        yield self.number, packing.spread(self.number, shards), TEXTS, 0, texts
+
+
+def _pack_counts(n: np.ndarray) -> bytes:
+    """Counts, nearly all of them small: one byte, and the others apart."""
+    small = n < 255
+    return packing.framed(packing.pack(np.where(small, n, 255), 1), packing.pack(n[~small]))
+
+
+def _unpack_split(short: bytes, rest: bytes) -> np.ndarray:
+    values = packing.unpack(short).astype(np.int64)
+    values[values == 255] = packing.unpack(rest)
+    return values
+
+
+def _split(sent: dict, shards: int, block_chars: int):
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[packing.Row]:
+            models, block = _Models(sent), _Block(packing.first_block())
+            for batch in batches:
+                for begin, stop in _even(batch.column(3).to_pylist()):
+                    block.add(batch.slice(begin, stop - begin), models)
+                    if block.chars >= block_chars:
+                        yield from block.moved(shards, models)
+                        block = _Block(block.number + 1)
+            yield from block.moved(shards, models)
+
+        yield from packing.gathered(rows())
+
+    return split
+
+
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each block the counts that its words have in all texts, and for each language how many words have which count."""
+
+    def rows() -> Iterator[packing.Row]:
+        for shard, held in packing.in_groups(batches, 1):
+            yield from (row for row in held if row[2] == TEXTS)
+            by_lang: dict[bytes, list] = {}
+            rows_asked = [row for row in held if row[2] == WORD_COUNTS]
+            answers: list[list[bytes]] = [[] for _ in rows_asked]
+            for answer, row in zip(answers, rows_asked, strict=True):
+                fields = packing.unframed_list(row[4])
+                for lang, keys, n in zip(fields[::3], fields[1::3], fields[2::3], strict=True):
+                    by_lang.setdefault(lang, []).append((answer, packing.unpack_sorted(keys), packing.unpack(n).astype(np.int64)))
+            for lang, asked in by_lang.items():
+                keys, at = np.unique(np.concatenate([k for _, k, _ in asked]), return_inverse=True)
+                total = np.zeros(len(keys), np.int64)
+                np.add.at(total, at, np.concatenate([n for *_, n in asked]))
+                begin = 0
+                for answer, own, _ in asked:
+                    answer += [lang, _pack_counts(total[at[begin : begin + len(own)]])]
+                    begin += len(own)
+                classes = [int((total == i).sum()) for i in range(1, 5)]
+                line = {"lang": lang.decode(), "words": int(total.sum()), "different": len(keys), **{f"n{i}": n for i, n in enumerate(classes, 1)}}
+                yield -1 - shard, shard, CLASSES, 0, json.dumps(line).encode()
+            for answer, row in zip(answers, rows_asked, strict=True):
+                yield *row[:4], packing.framed_list(answer)
+
+    yield from packing.gathered(rows())
+
+
+CLASS_COUNTS = "lang string, words bigint, different bigint, n1 bigint, n2 bigint, n3 bigint, n4 bigint"
+
+
+def word_classes(totals: DataFrame) -> DataFrame:
+    """For each language its words, different words, and how many of these occur once, twice, three and four times."""
+    lines = totals.where(F.col("kind") == CLASSES).select(F.inline(F.array(F.from_json(F.col("data").cast("string"), CLASS_COUNTS))))
+    names = [c.split()[0] for c in CLASS_COUNTS.split(", ")[1:]]
+    return lines.groupBy("lang").agg(*[F.sum(name).alias(name) for name in names])
+
+
+def word_log_probabilities(total: np.ndarray, own: np.ndarray, by_chars: np.ndarray, classes: dict) -> np.ndarray:
+    """Modified Kneser-Ney: discounted counts less the text's own ones, and what is taken off by characters."""
+    off = np.array([0.0, *_discounts_of([0, *(classes[f"n{i}"] for i in range(1, 5))])])
+    n = np.array([classes["n1"], classes["n2"], classes["different"] - classes["n1"] - classes["n2"]], float)
+    weight = float((off[1:] * n).sum()) / classes["words"]
+    others = np.maximum(total - own, 0)
+    return np.log((others - off[np.minimum(others, 3)]) / classes["words"] + weight * np.exp(by_chars.astype(np.float64)) + 1e-300)
+
+
+def _assemble(classes: dict):
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, held in packing.in_groups(batches, 0):
+            data = next(row[4] for row in held if row[2] == TEXTS)
+            head, sizes, steps, far, often, by_chars, langs = packing.unframed(data, 7)
+            table = pa.ipc.open_stream(head).read_all().combine_chunks()
+            langs = langs.decode().split("\n")
+            found: dict[str, list[np.ndarray]] = {lang: [np.zeros(0, np.int64)] for lang in langs}
+            for row in held:
+                if row[2] == WORD_COUNTS:
+                    fields = packing.unframed_list(row[4])
+                    for lang, counts in zip(fields[::2], fields[1::2], strict=True):
+                        found[lang.decode()].append(_unpack_split(*packing.unframed(counts, 2)))
+            totals = [np.concatenate(found[lang]) for lang in langs]
+            chars = [np.frombuffer(x, np.float32) for x in packing.unframed(by_chars, len(langs))]
+            steps, often, sizes = _unpack_split(steps, far), _unpack_split(*packing.unframed(often, 2)), packing.unpack(sizes).astype(np.int64)
+            ends = np.cumsum(sizes)
+            mean = np.full(len(sizes), np.nan)
+            for i, lang in enumerate(table["lang"].to_pylist()):
+                if sizes[i]:
+                    mine = slice(int(ends[i] - sizes[i]), int(ends[i]))
+                    at, which = np.cumsum(steps[mine]), langs.index(lang)
+                    logs = word_log_probabilities(totals[which][at], often[mine], chars[which][at], classes[lang])
+                    mean[i] = -(often[mine] * logs).sum() / often[mine].sum()
+            words = table["n_letter_words"]
+            out = table.append_column("word_log_perplexity", pa.array(mean, mask=sizes == 0)).set_column(
+                table.schema.get_field_index("n_letter_words"), "n_letter_words", words
+            )
+            yield from out.combine_chunks().to_batches(max_chunksize=10_000)
+
+    return assemble
 
 
 def _texts(docs: DataFrame, id_col: str | None, text_col: str, lang_col: str) -> DataFrame:
@@ -368,36 +505,25 @@ def language_models(spark: SparkSession, docs: DataFrame, text_col: str = "text"
     return counted.groupBy("lang").applyInArrow(_build, "lang string, model binary")
 
 
-def scored(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The base counts and the mean negative log-probability of a character, of each row."""
+def scored(
+    spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+    shards: int | None = None, block_chars: int = packing.BLOCK_CHARS,
+) -> DataFrame:
+    """The base counts and the mean negative log-probability of a character and of a word, of each row."""
     small_batches(spark)
     models = staged(spark, language_models(spark, docs, text_col, lang_col), "models")
     sent = {}
     for row in models.select("lang").collect():
         model = models.where(F.col("lang") == row.lang).first().model
         sent[row.lang] = spark.sparkContext.broadcast(bytes(model))
-    return _texts(docs, id_col, text_col, lang_col).mapInArrow(_score(sent), SCORED)
-
-
-def word_model(spark: SparkSession, docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``gram`` and ``n``: how often all texts together have each word and each pair of neighbours."""
-    counted = _for_words(docs, text_col, lang_col).mapInArrow(_count_grams, "gram bigint, n bigint")
-    return counted.groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def word_scored(spark: SparkSession, docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``doc`` (the hash of a key), ``n_letter_words`` and ``score``, the mean logarithm of a word's smoothed count; once for equal texts."""
-    model = staged(spark, word_model(spark, docs, text_col, lang_col), "words")
-    listed = _for_words(docs, text_col, lang_col).mapInArrow(_list_grams, "doc bigint, gram bigint, k int")
-    single = F.col("gram").bitwiseAND(F.lit(1)) == 0
-    part = F.when(single, SINGLE).otherwise(1 - SINGLE) * F.col("k") * F.log(F.col("n") - F.col("k") + ADDED)
-    # Equal texts have equal rows: sums and numbers of words grow alike.
-    summed = listed.join(model, "gram").groupBy("doc").agg(F.sum(part).alias("score"), F.sum(F.when(single, F.col("k"))).alias("n_all"))
-    return summed.select("doc", F.col("n_all").alias("n_letter_words"), (F.col("score") / F.col("n_all")).alias("score"))
-
-
-def _for_words(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    return _texts(docs, None, text_col, lang_col).select(F.xxhash64("key").alias("doc"), "lang", "text")
+    shards = shards or packing.n_shards(spark)
+    rows = _texts(docs, id_col, text_col, lang_col).mapInArrow(_split(sent, shards, block_chars), packing.MOVED)
+    totals = rows.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(_totals, packing.MOVED)
+    totals = staged(spark, totals, "word_totals")
+    # Seven numbers for each language that has words.
+    classes = {row.lang: row.asDict() for row in word_classes(totals).collect()}
+    blocks = totals.where(F.col("kind") != CLASSES).repartition("block").sortWithinPartitions("block", "kind", "shard", "seq")
+    return blocks.mapInArrow(_assemble(classes), SCORED)
 
 
 def verdicts(
@@ -406,11 +532,6 @@ def verdicts(
 ) -> DataFrame:
     """The base counts, ``base_failed``, ``kept``, both log-perplexities and their bands of each row; equal ``key``, equal verdict."""
     rows = staged(spark, scored(spark, docs, id_col, text_col, lang_col), "scored")
-    by_words = staged(spark, word_scored(spark, docs, text_col, lang_col), "word_scored")
-    rows = rows.withColumn("doc", F.xxhash64("key")).join(by_words, "doc", "left").drop("doc")
-    total = staged(spark, rows.groupBy("lang").agg(F.sum("n_letter_words").alias("total")), "totals")
-    rows = rows.join(total, "lang", "left").withColumn("word_log_perplexity", F.log("total") - F.col("score")).drop("total", "score")
-    rows = staged(spark, rows, "word_rows")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     rows = rows.withColumn("base_failed", failed)
     rows = rows.withColumn("_root", F.sqrt(F.greatest(F.col("n_grams"), F.lit(1))))
