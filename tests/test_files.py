@@ -157,3 +157,45 @@ def test_work_folder_lies_where_the_session_says(spark):
     assert "LogicalRDD" not in staged._jdf.queryExecution().toString()
     storage.delete(spark, folder)
     assert not storage.has_files(spark, folder)
+
+
+@pytest.mark.parametrize("step", ["point", "keep_only"])
+@pytest.mark.parametrize("fmt", ["parquet", "jsonl"])
+def test_a_crash_while_replacing_leaves_a_whole_run(spark, tmp_path, boards, monkeypatch, step, fmt):
+    """Between writing and pointing the old run is read, between pointing and deleting the new one."""
+    write_run({"boards": boards("OLD", "TOO")}, str(tmp_path), SUFFIX, fmt, swap=True)
+
+    def broken(*args):
+        raise RuntimeError("lost the driver here")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(storage, step, broken)
+        with pytest.raises(RuntimeError, match="lost"):
+            write_run({"boards": boards("NEW")}, str(tmp_path), SUFFIX, fmt, swap=True)
+    assert names_in(spark, tmp_path, fmt) == (["OLD", "TOO"] if step == "point" else ["NEW"])
+    assert runs.read_runs(spark, str(tmp_path), "boards", fmt).count() == (2 if step == "point" else 1)
+    write_run({"boards": boards("LAST")}, str(tmp_path), SUFFIX, fmt, swap=True)
+    assert names_in(spark, tmp_path, fmt) == ["LAST"]
+    versions = [p for p in (tmp_path / "boards" / f"boards_{SUFFIX}").iterdir() if p.is_dir()]
+    assert len(versions) == 1
+
+
+def test_a_plain_run_is_kept_until_its_versioned_replacement_is_pointed_at(spark, tmp_path, boards, monkeypatch):
+    write_run({"boards": boards("PLAIN")}, str(tmp_path), SUFFIX)
+
+    def broken(*args):
+        raise RuntimeError("lost the driver here")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(storage, "point", broken)
+        with pytest.raises(RuntimeError):
+            write_run({"boards": boards("NEW")}, str(tmp_path), SUFFIX, swap=True)
+    assert names_in(spark, tmp_path) == ["PLAIN"]
+    write_run({"boards": boards("NEW")}, str(tmp_path), SUFFIX, swap=True)
+    assert names_in(spark, tmp_path) == ["NEW"]
+    write_run({"boards": boards("MORE")}, str(tmp_path), SUFFIX, mode="append")
+    assert names_in(spark, tmp_path) == ["MORE", "NEW"]
+    write_run({"boards": boards()}, str(tmp_path), SUFFIX, swap=True)
+    assert names_in(spark, tmp_path) == [] and not parts(tmp_path, "boards")
+    write_run({"boards": boards("AGAIN")}, str(tmp_path), SUFFIX)
+    assert names_in(spark, tmp_path) == ["AGAIN"]

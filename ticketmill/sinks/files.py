@@ -38,9 +38,11 @@ def write_run(
     relation; ``append`` adds parts next to the ones there. Parts hold at most
     ``max_rows`` rows. Each relation is first asked whether it has a row, so
     give frames that are cheap to start, such as staged ones. With ``swap``,
-    a replaced run is written aside and moved in place when it is complete,
-    which keeps the old run through a crash (cheap where a rename is). Returns
-    the rows written of each relation, counted while they are written.
+    a replaced run is written to a folder of its own inside the run's, and a
+    pointer file that ``read_run`` follows is set to it when it is complete. A
+    crash at any point leaves the old run or the new one, whole; what the pointer
+    doesn't name is deleted last. Returns the rows written of each relation,
+    counted while they are written.
     """
     counts: dict[str, int] = {}
     run_suffix = params.suffix(suffix)
@@ -53,15 +55,19 @@ def write_run(
         counts[data_type] = 0
         if df.isEmpty():
             if mode == "replace":
+                if swap and storage.has_files(spark, path):
+                    # A version without files, so that half a deletion is no half run.
+                    storage.point(spark, path, "_none")
                 storage.delete(spark, path)
         elif swap and mode == "replace":
-            aside = f"{params.root(uri)}/{data_type}/_{data_type}_{run_suffix}-{uuid.uuid4().hex}"
-            counts[data_type] = save_parts(df, data_type, aside, fmt, max_rows, "error")
-            storage.delete(spark, path)
-            storage.rename(spark, aside, path)
+            version = f"_v-{uuid.uuid4().hex}"
+            counts[data_type] = save_parts(df, data_type, f"{path}/{version}", fmt, max_rows, "error")
+            storage.point(spark, path, version)
+            storage.keep_only(spark, path, version, storage.POINTER)
         else:
             how = "overwrite" if mode == "replace" else "append"
-            counts[data_type] = save_parts(df, data_type, path, fmt, max_rows, how)
+            target = path if mode == "replace" else storage.current(spark, path)
+            counts[data_type] = save_parts(df, data_type, target, fmt, max_rows, how)
     return counts
 
 

@@ -11,15 +11,15 @@ from pyspark.sql import types as T
 from ticketmill import params
 from ticketmill.schemas import RECORDS
 from ticketmill.sinks.files import TEXT_TIME, run_path
-from ticketmill.sources.storage import has_files
+from ticketmill.sources.storage import current, folders, has_files
 
 
-def _scan(spark: SparkSession, paths: str, data_type: str, fmt: str) -> DataFrame:
+def _scan(spark: SparkSession, paths: str | list[str], data_type: str, fmt: str) -> DataFrame:
     schema = RECORDS[params.one_data_type(data_type)]
     params.choice("format", fmt, params.FORMATS)
     reader = spark.read.option("recursiveFileLookup", True)
     if fmt == "parquet":
-        return reader.schema(schema).parquet(paths)
+        return reader.schema(schema).format("parquet").load(paths)
     reader = reader.option("timestampFormat", TEXT_TIME)
     if fmt == "jsonl":
         return reader.schema(schema).json(paths)
@@ -43,7 +43,7 @@ def read_run(
 
     A relation that wrote no part reads as no rows.
     """
-    path = run_path(uri, data_type, suffix)
+    path = current(spark, run_path(uri, data_type, suffix))
     if not has_files(spark, path):
         return spark.createDataFrame([], RECORDS[data_type])
     return _scan(spark, path, data_type, fmt)
@@ -51,7 +51,11 @@ def read_run(
 
 def read_runs(spark: SparkSession, uri: str, data_type: str, fmt: str = "parquet") -> DataFrame:
     """One relation of all runs under ``uri``, with each row's ``run`` suffix."""
-    paths = f"{params.root(uri)}/{data_type}/{data_type}_*"
+    root = f"{params.root(uri)}/{params.one_data_type(data_type)}"
+    names = [name for name in folders(spark, root) if name.startswith(f"{data_type}_")]
+    paths = [path for path in (current(spark, f"{root}/{name}") for name in names) if has_files(spark, path)]
+    if not paths:
+        return spark.createDataFrame([], RECORDS[data_type]).withColumn("run", F.lit(None).cast("string"))
     # A relation's name has no underscore, so the suffix is all behind the first one.
     run = F.regexp_extract("_metadata.file_path", f"/{data_type}/{data_type}_([^/]+)/", 1)
     return _scan(spark, paths, data_type, fmt).withColumn("run", run)
@@ -62,7 +66,7 @@ def written_types(
 ) -> tuple[str, ...]:
     """The asked-for relations that have at least one part in this run."""
     chosen = params.data_types(data_types)
-    return tuple(name for name in chosen if has_files(spark, run_path(uri, name, suffix)))
+    return tuple(name for name in chosen if has_files(spark, current(spark, run_path(uri, name, suffix))))
 
 
 def bulk_prefixes(

@@ -65,6 +65,43 @@ def make_folder(spark: SparkSession, uri: str) -> None:
     fs.mkdirs(path)
 
 
+#: A file that names the folder beside it which holds the rows; names with an underscore are hidden from scans.
+POINTER = "_current"
+
+
+def current(spark: SparkSession, uri: str) -> str:
+    """The folder that the pointer in ``uri`` names; ``uri`` itself where there is none."""
+    fs, path = _path(spark, f"{uri}/{POINTER}")
+    if not fs.exists(path):
+        return uri
+    stream = fs.open(path)
+    try:
+        return f"{uri}/{spark._jvm.org.apache.commons.io.IOUtils.toString(stream, 'UTF-8')}"
+    finally:
+        stream.close()
+
+
+def point(spark: SparkSession, uri: str, name: str) -> None:
+    """From now on, and in one step, readers of ``uri`` read the folder ``name`` in it."""
+    fs, aside = _path(spark, f"{uri}/_{uuid.uuid4().hex}")
+    stream = fs.create(aside, True)
+    stream.writeBytes(name)
+    stream.close()
+    jvm = spark._jvm
+    options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+    options[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(aside.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(aside, jvm.org.apache.hadoop.fs.Path(f"{uri}/{POINTER}"), options)
+
+
+def keep_only(spark: SparkSession, uri: str, *names: str) -> None:
+    """Deletes what lies right under ``uri`` but for these names."""
+    fs, path = _path(spark, uri)
+    for entry in fs.listStatus(path):
+        if entry.getPath().getName() not in names:
+            fs.delete(entry.getPath(), True)
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     fs, path = _path(spark, source)
     goal = spark._jvm.org.apache.hadoop.fs.Path(target)
