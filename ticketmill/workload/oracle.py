@@ -221,9 +221,7 @@ _TYPE_OF_WORK = """CASE WHEN l_partkey % 3 = 0 THEN 'feature'
     WHEN l_partkey % 2 = 0 THEN 'opt' || l_linenumber
     WHEN l_partkey % 3 = 1 THEN '{"id":' || l_suppkey || ',"value":""}'
     ELSE '{"id":' || l_suppkey || '}' END"""
-_READBACK = f"""SELECT l_orderkey AS id, c AS project_id,
-    'P' || o_custkey || '-' || l_orderkey AS key, project_name, {_DONE} AS epic_done,
-    {_LABELS} AS labels, epoch_us(created) AS created_us, epoch_us(updated) AS updated_us,
+_READBACK = _ISSUES.removesuffix("FROM iss") + f""",
     'Team "' || l_returnflag || '"' AS team, {_SPRINTS} AS sprints FROM iss"""
 _PAGE = """SELECT o_orderkey, o_orderkey // 600 AS r, (o_orderkey % 600) // 150 AS page,
     row_number() OVER (PARTITION BY o_orderkey // 150 ORDER BY o_orderkey) - 1 AS pos
@@ -373,6 +371,11 @@ def oracle_sql() -> dict[str, str]:
             "rl",
             "winner",
         ),
+        "v_rejected_transitions": _with(
+            """SELECT CAST(transition_id AS VARCHAR) AS entity_id, 'fieldtype is null' AS reason, transition_field AS field
+            FROM tr WHERE transition_field_type = 'second'""",
+            "tr",
+        ),
         "v_rejected_issues": _with(
             """SELECT issue_ref AS entity_id, reason,
             'Order ' || l_orderkey || ' line ' || l_linenumber AS summary

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from ticketmill import functions as X
 from ticketmill.operators import issues as issue_ops
 from ticketmill.operators import transitions as transition_ops
-from ticketmill.operators.dedupe import first_board_wins
+from ticketmill.operators.dedupe import first_places, only_first_places
 from ticketmill.operators.projects import project_details
 from ticketmill.params import RunParams
 from ticketmill.plans.pipeline import run
@@ -55,8 +56,11 @@ def _relation(name: str, **options: object) -> Query:
 
 
 def _staged(spark: SparkSession, sf_dir: str, **options: object) -> Relations:
-    folder = storage.work_folder(spark, "query")
-    return _built(spark, sf_dir, stage=storage.stage_in(spark, folder), **options)
+    return _built(spark, sf_dir, stage=_stage(spark), **options)
+
+
+def _stage(spark: SparkSession) -> storage.Stage:
+    return storage.stage_in(spark, storage.work_folder(spark, "query"))
 
 
 def _records(named: dict[str, DataFrame]) -> DataFrame:
@@ -109,8 +113,8 @@ def _order_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s1_paged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = pages.parse_pages(_order_pages(spark, sf_dir), "text")
-    read = pages.paged_items(landed)
+    stage = _stage(spark)
+    read = pages.paged_items(stage(pages.parse_pages(_order_pages(spark, sf_dir), "text"), "pages"), stage)
     return read.select(
         pages.board_of_request(F.col("request_id")).alias("request"),
         (F.col("ord.start_at") + F.col("ord.pos")).alias("place"),
@@ -194,7 +198,8 @@ def s4_boards_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = W.board_bodies(spark, sf_dir).select(
         W._page(request, F.col("ord"), "values", F.lit(W.BOARDS_PER_PROJECT))
     )
-    found = board_items(pages.parse_pages(texts, "value"))
+    stage = _stage(spark)
+    found = board_items(stage(pages.parse_pages(texts, "value"), "pages"), stage)
     return found.select(
         "project_key",
         F.col("ord.start_at").alias("place"),
@@ -204,7 +209,8 @@ def s4_boards_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def s5_issues_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = W.issue_page_texts(W.issue_bodies(W.listing(spark, sf_dir)))
-    found = issue_items(pages.parse_pages(texts, "value"))
+    stage = _stage(spark)
+    found = issue_items(stage(pages.parse_pages(texts, "value"), "pages"), stage)
     parsed = issue_ops.parse_issues(found, details=False, histories=False)
     flat = issue_ops.flatten_issues(parsed)
     inside = issue_ops.in_date_range(F.col("created"), F.col("updated"), START, END)
@@ -328,6 +334,15 @@ def v_rejected_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def v_rejected_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second items of a history whose field type is an explicit null on the wire."""
+    source = W.raw(spark, sf_dir)
+    nulled = F.regexp_replace("body", '"fieldtype":"second"', '"fieldtype":null')
+    built = build(replace(source, issues=source.issues.withColumn("body", nulled)), data_types=["transitions"])
+    rejected = built.rejects().where(F.col("relation") == "transitions")
+    return rejected.select("entity_id", "reason", F.get_json_object("raw", "$.field").alias("field"))
+
+
 def v_nulled_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bad nested ids and bad times that became null without rejecting the row."""
     flat = issue_ops.flatten_issues(_parsed(spark, sf_dir, histories=False))
@@ -343,12 +358,13 @@ def v_nulled_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def j3_first_board_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = W.raw(spark, sf_dir)
-    good_boards = build(source, data_types=["boards"]).checked["boards"].where("reason IS NULL")
-    flat = issue_ops.flatten_issues(issue_ops.parse_issues(source.issues))
-    named = flat.where(F.col("issue_ref").isNotNull())
-    winners = first_board_wins(issue_ops.list_issues(named, good_boards))
-    return winners.select("project_id", "issue_ref", "board_id", "ord", "summary")
+    source, stage = W.raw(spark, sf_dir), _stage(spark)
+    good_boards = build(source, data_types=["boards"], stage=stage).checked["boards"].where("reason IS NULL")
+    flat = issue_ops.flatten_issues(issue_ops.parse_issues(source.issues)).where(F.col("issue_ref").isNotNull())
+    flat = stage(flat.withColumn("entry", F.monotonically_increasing_id()), "entries")
+    listed = issue_ops.list_issues(flat, good_boards).withColumn("place", F.struct("board_ord", "ord", "entry"))
+    repeated = stage(first_places(listed.select("project_id", "issue_ref", "place")), "repeated")
+    return only_first_places(listed, repeated).select("project_id", "issue_ref", "board_id", "ord", "summary")
 
 
 def l3_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -421,18 +437,8 @@ def _readback(fmt: str) -> Query:
         ).as_dict()
         write_run(chosen, uri, SUFFIX, fmt)
         back = runs.read_run(spark, uri, "issues", SUFFIX, fmt)
-        return back.select(
-            "id",
-            "project_id",
-            "key",
-            "project_name",
-            "epic_done",
-            "labels",
-            _micros("created"),
-            _micros("updated"),
-            F.col("custom_fields")["team"].alias("team"),
-            F.col("custom_fields")["sprints"].alias("sprints"),
-        )
+        custom = [F.col("custom_fields")[name].alias(name) for name in ("team", "sprints")]
+        return _flat_times(back.select("*", *custom))
 
     return query
 
@@ -803,7 +809,7 @@ def queries() -> dict[str, Query]:
         s1_paged_scan, s1_torn_pages, s1b_page_audit, s2_projects_by_key, s3_project_details, s4_boards_scan,
         s5_issues_scan, s6_run_relations, s8_bulk_prefixes, f1_date_range, f3_selected_relations,
         f4_tracked_fields, f5_history_id, f6_issue_id, p6_labels, p7_custom_fields,
-        p8_assignee_mask, p9_issue_project, v_rejects_by_reason, v_rejected_issues,
+        p8_assignee_mask, p9_issue_project, v_rejects_by_reason, v_rejected_issues, v_rejected_transitions,
         v_nulled_values, j3_first_board_wins, l3_insert_if_absent, a1_run_summary,
         a2_load_summary, u3_align_columns, k4_layout, k5_append_run, k6_replace_run,
         k7_part_sizes, k8_typed_nulls, k9_empty_custom, k10_empty_type, r1_run, l1_tables,
