@@ -25,8 +25,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with their secrets replaced, and the length that they have then."""
-    return secrets.masked(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    """Texts with their secrets replaced, and the length that they have then, where the table has one."""
+    masked = secrets.masked(docs)
+    if "n_chars" not in docs.columns:
+        return masked
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
