@@ -23,7 +23,7 @@ from ticketmill.llm.common import staged
 from ticketmill.llm.components import components
 
 #: By how much the number of leaders of a bucket grows from round to round.
-GROWTH = 16
+GROWTH = 64
 
 
 def _can_be_similar(x: str, y: str, similar: float) -> Column:
@@ -83,11 +83,16 @@ def grouped_by(spark: SparkSession, links: DataFrame) -> DataFrame | None:
     return None if links.isEmpty() else staged(spark, components(spark, links), "groups")
 
 
-def apart(spark: SparkSession, members: DataFrame, groups: DataFrame | None) -> DataFrame:
-    """The members, with ``component``, of buckets whose nodes are in different components, staged."""
+def apart(spark: SparkSession, members: DataFrame, groups: DataFrame | None, similar: float) -> DataFrame:
+    """The members, with ``component``, of buckets whose nodes are in different components, staged.
+
+    Members whose bound is too low even for the smallest set of their bucket are left out.
+    """
     now = _with_component(members, groups)
-    mixed = now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    return staged(spark, now.join(mixed, "bucket", "left_semi"), "mixed")
+    mixed = now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("size").alias("smallest"))
+    mixed = mixed.where("low <> high").select("bucket", "smallest")
+    enough = (1 + similar) * F.col("bound") >= similar * (F.col("size") + F.col("smallest")) - 1e-6
+    return staged(spark, now.join(mixed, "bucket").where(enough).drop("smallest"), "mixed")
 
 
 def finished(
@@ -100,7 +105,7 @@ def finished(
     groups, left, n_leaders = grouped_by(spark, links), members, GROWTH
     in_bucket = Window.partitionBy("bucket").orderBy(F.col("weight").desc(), "node")
     while True:
-        now = apart(spark, left, groups)
+        now = apart(spark, left, groups, similar)
         if now.isEmpty():
             return groups
         # Leaders that all others of the bucket have been compared with leave it, the next ones take their place.

@@ -274,7 +274,7 @@ def _classed(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, s
     members = staged(spark, members.select("bucket", "node").join(popular, "node").join(sizes, "node"), "members")
     links, met = linking.led(spark, members, cells, similar)
     groups = linking.grouped_by(spark, links)
-    apart = staged(spark, linking.apart(spark, members, groups).select("node").distinct(), "apart")
+    apart = staged(spark, linking.apart(spark, members, groups, similar).select("node").distinct(), "apart")
     groups = linking.finished(spark, _indexed(spark, cells.join(apart, "node"), similar), cells, similar, links, met)
 
     if groups is None:
