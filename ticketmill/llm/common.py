@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterable
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -27,6 +29,32 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(ARROW_ROWS, TEXT_ROWS)
 
 
+def give_back() -> None:
+    """Freed memory of this process goes back to the system, where its C library can do that."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidy(function: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``function`` over Arrow batches, at whose end its worker gives freed memory back.
+
+    Workers wait to be used again by later stages. Until then the executor lacks what their memory pools keep.
+    """
+
+    def run(batches: Batches) -> Batches:
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def staged(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """``df`` written once as Parquet in the shared work folder and read back.
 

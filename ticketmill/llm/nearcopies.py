@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketmill.llm import linking
-from ticketmill.llm.common import WORD, free_name, ragged, small_batches, staged
+from ticketmill.llm.common import WORD, free_name, ragged, small_batches, staged, tidy
 from ticketmill.llm.setjoin import as_lists
 from ticketmill.llm.setjoin import signatures as signatures_of
 
@@ -209,7 +209,7 @@ def _indexed(spark: SparkSession, texts: DataFrame, similar: float) -> DataFrame
     weight = F.aggregate("often", F.lit(0).cast("bigint"), lambda x, y: x + y) * 1000 / F.col("size")
     kind = "node bigint, size bigint, weight bigint, buckets array<bigint>, bounds array<bigint>"
     shared = shared.select("node", F.col("size").cast("bigint"), weight.cast("bigint").alias("weight"), "often", "cells")
-    signed = shared.mapInArrow(_signed(similar), kind)
+    signed = shared.mapInArrow(tidy(_signed(similar)), kind)
     members = signed.select("node", "size", "weight", F.explode(F.arrays_zip("buckets", "bounds")).alias("s"))
     return staged(spark, members.select(F.col("s.buckets").alias("bucket"), "node", "weight", "size", F.col("s.bounds").alias("bound")), "indexed")
 
@@ -247,7 +247,7 @@ def _classed(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, s
     texts = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), same_words(F.col(text_col)).alias("words_md5"), F.col(text_col).cast("string").alias("text")
     )
-    sketched = texts.mapInArrow(_sketch(bands, rows), "doc_id bigint, words_md5 string, bands array<bigint>")
+    sketched = texts.mapInArrow(tidy(_sketch(bands, rows)), "doc_id bigint, words_md5 string, bands array<bigint>")
     sketched = staged(spark, sketched, "sketches")
     nodes = sketched.groupBy("words_md5").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"))
     nodes = staged(spark, nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
@@ -267,7 +267,7 @@ def _classed(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, s
         chosen.select("node", F.col("words_md5").alias("md5"), "first_id"),
         (F.col("words_md5") == F.col("md5")) & F.col("doc_id").eqNullSafe(F.col("first_id")),
     )
-    cells = again.select("node", "text").mapInArrow(_shingles, "node bigint, cells array<bigint>")
+    cells = again.select("node", "text").mapInArrow(tidy(_shingles), "node bigint, cells array<bigint>")
     cells = staged(spark, cells.groupBy("node").agg(F.first("cells").alias("cells")), "cells").withColumn("size", F.size("cells"))
     # What a text can share with another one of its bucket is all that it has.
     sizes = cells.select("node", "size", F.col("size").alias("bound"))

@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketmill.llm import packing
-from ticketmill.llm.common import WORD, ragged, small_batches, staged
+from ticketmill.llm.common import WORD, ragged, small_batches, staged, tidy
 
 # The base rules' symbols, and marks that are classes of their own.
 SYMBOLS = "#*$%&|<>"
@@ -501,7 +501,7 @@ def _texts(docs: DataFrame, id_col: str | None, text_col: str, lang_col: str) ->
 def language_models(spark: SparkSession, docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``lang`` and ``model``: the serialised model of each language, counted over every text."""
     texts = _texts(docs, None, text_col, lang_col).select("lang", "text")
-    counted = texts.mapInArrow(_count, "lang string, gram int, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(tidy(_count), "lang string, gram int, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     return counted.groupBy("lang").applyInArrow(_build, "lang string, model binary")
 
 
@@ -517,13 +517,13 @@ def scored(
         model = models.where(F.col("lang") == row.lang).first().model
         sent[row.lang] = spark.sparkContext.broadcast(bytes(model))
     shards = shards or packing.n_shards(spark)
-    rows = _texts(docs, id_col, text_col, lang_col).mapInArrow(_split(sent, shards, block_chars), packing.MOVED)
-    totals = rows.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(_totals, packing.MOVED)
+    rows = _texts(docs, id_col, text_col, lang_col).mapInArrow(tidy(_split(sent, shards, block_chars)), packing.MOVED)
+    totals = rows.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(tidy(_totals), packing.MOVED)
     totals = staged(spark, totals, "word_totals")
     # Seven numbers for each language that has words.
     classes = {row.lang: row.asDict() for row in word_classes(totals).collect()}
     blocks = totals.where(F.col("kind") != CLASSES).repartition("block").sortWithinPartitions("block", "kind", "shard", "seq")
-    return blocks.mapInArrow(_assemble(classes), SCORED)
+    return blocks.mapInArrow(tidy(_assemble(classes)), SCORED)
 
 
 def verdicts(
