@@ -121,3 +121,12 @@ def test_wire_schema_holds_configured_fields_only(spark):
     parsed = parse_issues(df, {"a": "customfield_1", "b": "customfield_1", "c": "summary"})
     names = [n for n in parsed.schema["fields"].dataType.names if n.startswith("custom")]
     assert names == ["customfield_1"]
+
+
+def test_what_the_histories_of_an_entry_share_is_written_once(spark):
+    """Made bodies: the author's JSON is made by one expression, not by a lambda for every history."""
+    bodies = workload.issue_bodies(workload.listing(spark, SF))
+    plan = bodies._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(" AS author_json#") == 1
+    entry = bodies.where("body LIKE '%Link%'").selectExpr("from_json(body, 'changelog STRING') AS b").first()
+    assert '"fieldtype":"second"' in entry["b"]["changelog"]
