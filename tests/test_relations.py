@@ -427,3 +427,27 @@ def test_a_session_outside_utc_is_refused(make_raw, spark):
             build(raw)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_transitions_of_some_fields_or_their_keys_alone_are_the_same_rows(make_raw):
+    changes = [
+        history("81", [change(), change("assignee")]),
+        history("82", [change("Attachment")]),
+        history("83", [change("assignee", fieldtype=None), change("Link")]),
+    ]
+    raw = make_raw(issues=[(1, issue(histories=changes))])
+
+    def planned(**options):
+        return build(raw, data_types="transitions", **options)
+
+    def rows(df):
+        return sorted(map(str, df.collect()))
+
+    whole = planned()
+    assert whole["transitions"].count() == 3
+    people = planned(transition_fields=["assignee"])["transitions"]
+    assert rows(people) == rows(whole["transitions"].where("transition_field = 'assignee'"))
+    keys, names = planned(transition_keys_only=True), ["transition_id", "issue_id", "transition_field"]
+    assert rows(keys["transitions"].select(*names)) == rows(whole["transitions"].select(*names))
+    assert rows(keys.rejects().drop("raw")) == rows(whole.rejects().drop("raw"))
+    assert "displayName" not in str(keys.checked["issues"].schema)
