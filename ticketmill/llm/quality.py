@@ -322,10 +322,16 @@ class _Block:
         n_words = []
         for lang, text in zip(langs, texts, strict=True):
             known = self.known.setdefault(lang, {})
-            words = [word for word in _WORDS.findall(text.lower()) if _LETTER.search(word)]
+            words = _WORDS.findall(text.lower())
+            bare = set()
             for word in set(words):
                 if word not in known:
-                    known[word] = len(known)
+                    if _LETTER.search(word):
+                        known[word] = len(known)
+                    else:
+                        bare.add(word)
+            if bare:
+                words = [word for word in words if word not in bare]
             places, often = np.unique(np.fromiter(map(known.__getitem__, words), np.int64, len(words)), return_counts=True)
             self.places.append(places)
             self.often.append(often)
@@ -340,7 +346,7 @@ class _Block:
             return
         table = pa.Table.from_batches(self.rows)
         langs = table["lang"].to_pylist()
-        order, by_chars, asked = {}, [], {}
+        order, classes, by_chars, asked = {}, [], [], {}
         for lang, known in self.known.items():
             words = list(known)
             keys = np.fromiter((xxhash.xxh64_intdigest(word) for word in words), np.uint64, len(words))
@@ -348,14 +354,19 @@ class _Block:
             by_key = np.argsort(keys, kind="stable")
             place = np.empty(len(words), np.int64)
             place[by_key] = np.arange(len(words))
-            order[lang] = place
             n = np.zeros(len(words), np.int64)
             for i, own in enumerate(langs):
                 if own == lang:
                     # One entry for each different word of a text.
                     n[self.places[i]] += self.often[i]
             keys, n = keys[by_key], n[by_key]
-            by_chars.append(_sums(models, lang, [words[i] + " " for i in by_key.tolist()])[0].astype(np.float32).tobytes())
+            # In the texts' steps frequent words stand first, which makes steps small numbers.
+            classes.append(_use_classes(n))
+            by_use = np.empty(len(words), np.int64)
+            by_use[_by_use(classes[-1])] = np.arange(len(words))
+            order[lang] = by_use[place]
+            logs = _sums(models, lang, [words[i] + " " for i in by_key.tolist()])[0].astype(np.float32)
+            by_chars.append(packing.pack(logs.view(np.uint32)))
             for shard, part in packing.by_shard(keys, shards):
                 asked.setdefault(shard, []).extend([lang.encode(), packing.pack_sorted(keys[part]), packing.pack(n[part])])
         for shard, fields in asked.items():
@@ -374,11 +385,22 @@ class _Block:
         small = steps < 255
         texts = packing.framed(
             sink.getvalue().to_pybytes(), packing.pack(sizes), packing.pack(np.where(small, steps, 255), 1), packing.pack(steps[~small]),
-            _pack_counts(np.concatenate([none, *often])), packing.framed(*by_chars), "\n".join(self.known).encode(),
+            _pack_counts(np.concatenate([none, *often])), packing.framed(*by_chars),
+            packing.framed(*(packing.pack(c, 1) for c in classes)), "\n".join(self.known).encode(),
         )
         yield self.number, packing.spread(self.number, shards), TEXTS, 0, texts
 
 
+def _use_classes(n: np.ndarray) -> np.ndarray:
+    """The number of bits of each count."""
+    return np.frexp(n.astype(float))[1].astype(np.int64)
+
+
+def _by_use(classes: np.ndarray) -> np.ndarray:
+    """The words' places in the order of their keys, those of the most frequent class first."""
+    return np.argsort(-classes, kind="stable")
+
+
 def _pack_counts(n: np.ndarray) -> bytes:
     """Counts, nearly all of them small: one byte, and the others apart."""
     small = n < 255
@@ -461,7 +483,7 @@ def _assemble(classes: dict):
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, held in packing.in_groups(batches, 0):
             data = next(row[4] for row in held if row[2] == TEXTS)
-            head, sizes, steps, far, often, by_chars, langs = packing.unframed(data, 7)
+            head, sizes, steps, far, often, by_chars, use, langs = packing.unframed(data, 8)
             table = pa.ipc.open_stream(head).read_all().combine_chunks()
             langs = langs.decode().split("\n")
             found: dict[str, list[np.ndarray]] = {lang: [np.zeros(0, np.int64)] for lang in langs}
@@ -471,16 +493,21 @@ def _assemble(classes: dict):
                     for lang, counts in zip(fields[::2], fields[1::2], strict=True):
                         found[lang.decode()].append(_unpack_split(*packing.unframed(counts, 2)))
             totals = [np.concatenate(found[lang]) for lang in langs]
-            chars = [np.frombuffer(x, np.float32) for x in packing.unframed(by_chars, len(langs))]
+            chars = [packing.unpack(x).astype(np.uint32).view(np.float32) for x in packing.unframed(by_chars, len(langs))]
+            by_use = [_by_use(packing.unpack(x).astype(np.int64)) for x in packing.unframed(use, len(langs))]
             steps, often, sizes = _unpack_split(steps, far), _unpack_split(*packing.unframed(often, 2)), packing.unpack(sizes).astype(np.int64)
             ends = np.cumsum(sizes)
             mean = np.full(len(sizes), np.nan)
             for i, lang in enumerate(table["lang"].to_pylist()):
                 if sizes[i]:
                     mine = slice(int(ends[i] - sizes[i]), int(ends[i]))
-                    at, which = np.cumsum(steps[mine]), langs.index(lang)
-                    logs = word_log_probabilities(totals[which][at], often[mine], chars[which][at], classes[lang])
-                    mean[i] = -(often[mine] * logs).sum() / often[mine].sum()
+                    which = langs.index(lang)
+                    # Back in the order of keys, in which the sum is taken.
+                    at = by_use[which][np.cumsum(steps[mine])]
+                    by_key = np.argsort(at)
+                    at, n = at[by_key], often[mine][by_key]
+                    logs = word_log_probabilities(totals[which][at], n, chars[which][at], classes[lang])
+                    mean[i] = -(n * logs).sum() / n.sum()
             words = table["n_letter_words"]
             out = table.append_column("word_log_perplexity", pa.array(mean, mask=sizes == 0)).set_column(
                 table.schema.get_field_index("n_letter_words"), "n_letter_words", words
