@@ -2,8 +2,12 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
+from types import SimpleNamespace
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from ticketmill.llm import bpe
@@ -65,3 +69,21 @@ def test_round_trip_beside_the_library(spark, library, block_chars):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert bpe.decode(spark, bpe.encode(spark, docs, RANKS, public_tokenizers.PATTERN), RANKS).collect() == []
+
+
+def test_decoding_works_on_few_ids_at_a_time():
+    """The way back of a million ids takes some 30 MB besides its input and output, not over 100."""
+    ranks = load_ranks(RANKS)
+    ids = np.resize(np.arange(20_000, 50_000, dtype=np.int32), 1_000_000)
+    lists = pa.ListArray.from_arrays(np.arange(0, 1_000_001, 1000, dtype=np.int32), pa.array(ids))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000), pa.int64()), lists], names=["doc_id", "ids"])
+    by_id = {number: token for token, number in ranks.items()}
+    parts = bpe._decode(SimpleNamespace(value=ranks), 1)(iter([batch]))
+    decoded, most = [], 0
+    tracemalloc.start()
+    for part in parts:
+        most = max(most, tracemalloc.get_traced_memory()[1])
+        decoded.append(part["decoded"].to_pylist())
+    tracemalloc.stop()
+    assert b"".join(sum(decoded, [])) == b"".join(by_id[int(i)] for i in ids)
+    assert most < 80_000_000

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm.common import load_ranks, ragged, small_batches
+from ticketmill.llm.common import load_ranks, ragged, small_batches, tidy
 
 #: Characters of text that share one word list.
 BLOCK_CHARS = 16_000_000
@@ -331,7 +331,7 @@ def encode(
     task holds the distinct words of one shard, or of one block, at a time.
     """
     blocks = _coded_blocks(spark, docs, ranks_path, pattern, id_col, text_col, shards, block_chars)
-    return blocks.mapInArrow(_assemble, "doc_id bigint, ids array<int>")
+    return blocks.mapInArrow(tidy(_assemble), "doc_id bigint, ids array<int>")
 
 
 def round_trip(
@@ -347,7 +347,7 @@ def round_trip(
     """``encode`` and then ``decode`` in one go: the ids' way back starts in the task that has put them together."""
     blocks = _coded_blocks(spark, docs, ranks_path, pattern, id_col, text_col, shards, block_chars)
     back = _decode(spark.sparkContext.broadcast(load_ranks(ranks_path)), 1)
-    return blocks.mapInArrow(lambda batches: back(_assemble(batches)), "doc_id bigint, ids array<int>, decoded binary")
+    return blocks.mapInArrow(tidy(lambda batches: back(_assemble(batches))), "doc_id bigint, ids array<int>, decoded binary")
 
 
 def _coded_blocks(
@@ -359,9 +359,9 @@ def _coded_blocks(
     shards = shards or max(256, 8 * partitions)
     ranks = spark.sparkContext.broadcast(load_ranks(ranks_path))
     texts = docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string"))
-    split = texts.mapInArrow(_split(pattern, shards, block_chars), MOVED)
+    split = texts.mapInArrow(tidy(_split(pattern, shards, block_chars)), MOVED)
     words = split.repartition("shard").sortWithinPartitions("shard", "kind")
-    coded = words.mapInArrow(_encode(ranks), MOVED)
+    coded = words.mapInArrow(tidy(_encode(ranks)), MOVED)
     by_shard = F.when(F.col("kind") == WORDS, F.col("shard"))
     return coded.repartition("block").sortWithinPartitions("block", "kind", by_shard, "seq")
 
@@ -392,7 +392,7 @@ def _decode(ranks_sent, at: int):
     return decode
 
 
-def _even_runs(lists: pa.ListArray, most: int = 1_000_000) -> Iterator[tuple[int, int]]:
+def _even_runs(lists: pa.ListArray, most: int = 250_000) -> Iterator[tuple[int, int]]:
     """Runs of rows with about ``most`` items, so that working arrays stay small."""
     offsets = np.asarray(lists.offsets).astype(np.int64)
     begin = 0

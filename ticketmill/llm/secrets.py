@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm.common import small_batches
+from ticketmill.llm.common import small_batches, tidy
 
 # The base patterns, in the order in which kinds are listed.
 ASSIGN = re.compile(
@@ -232,4 +232,4 @@ def masked(
 ) -> DataFrame:
     """``docs`` with every reported span replaced by ``mark``; spans that overlap become one mark."""
     small_batches(docs.sparkSession)
-    return docs.mapInArrow(_mask(docs.columns.index(text_col), novelty, mark, min_chars), docs.schema)
+    return docs.mapInArrow(tidy(_mask(docs.columns.index(text_col), novelty, mark, min_chars)), docs.schema)
