@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from ticketmill.schemas import RECORDS
 from ticketmill.sinks.files import write_run
 from ticketmill.sources import runs, storage
 from ticketmill.sources.pages import scan_pages, until_stop
+from ticketmill.workload import queries as registered
 from ticketmill.workload import raw as workload
 
 SF = "/root/testdata/sf0.001"
@@ -130,3 +132,32 @@ def test_what_the_histories_of_an_entry_share_is_written_once(spark):
     assert plan.count(" AS author_json#") == 1
     entry = bodies.where("body LIKE '%Link%'").selectExpr("from_json(body, 'changelog STRING') AS b").first()
     assert '"fieldtype":"second"' in entry["b"]["changelog"]
+
+
+def test_queries_parse_only_the_fields_that_they_read(spark):
+    """Whole issues are parsed where whole issues are read; others skip details, authors and values."""
+    unread = {
+        "f1_date_range": ("priority", "labels"), "p9_issue_project": ("priority", "labels"),
+        "v_rejected_issues": ("priority", "labels"), "l5_required_columns": ("priority", "labels"),
+        "v_issues_good": ("priority", "labels"), "v_nulled_values": ("priority", "labels"),
+        "f4_tracked_fields": ("displayName", "fromString"),
+    }
+    for name, fields in unread.items():
+        plan = plan_of(registered.queries()[name](spark, SF))
+        wire = plan[plan.index("from_json(StructField(id,StringType,true), StructField(key") :].split("_corrupt")[0]
+        assert "StructField(fields," in wire and not any(f"StructField({field}," in wire for field in fields), name
+
+
+def test_history_times_pass_the_end_of_a_month(spark):
+    """Made bodies: a history is as many days after shipping as its place, over months and years, in odd hours too."""
+    entries = workload.listing(spark, SF).limit(3)
+    for shipped in ("1996-02-27 00:00:00", "1999-12-25 13:07:09.25", "2000-03-01 00:00:00"):
+        ship = F.lit(shipped).cast("timestamp")
+        odd = entries.withColumn("l_shipdate", ship).withColumn("l_linenumber", F.lit(7)).withColumn("o_orderdate", ship)
+        form = "changelog STRUCT<histories: ARRAY<STRUCT<created: STRING>>>"
+        for row in workload.issue_bodies(odd).select(F.from_json("body", form).alias("b")).collect():
+            start = datetime.fromisoformat(shipped)
+            days = [start + timedelta(days=i) for i in range(1, 8)]
+            expected = [f"{day.isoformat(timespec='milliseconds')}+0000" for day in days]
+            expected[5] = start.date().isoformat()
+            assert [h.created for h in row.b.changelog.histories] == expected

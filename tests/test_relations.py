@@ -451,3 +451,13 @@ def test_transitions_of_some_fields_or_their_keys_alone_are_the_same_rows(make_r
     assert rows(keys["transitions"].select(*names)) == rows(whole["transitions"].select(*names))
     assert rows(keys.rejects().drop("raw")) == rows(whole.rejects().drop("raw"))
     assert "displayName" not in str(keys.checked["issues"].schema)
+
+
+def test_issue_keys_alone_are_those_of_whole_issues(make_raw):
+    raw = make_raw(issues=[(1, issue()), (1, issue(id="")), (1, issue(id="x9"))])
+    whole, keys = (build(raw, data_types="issues", issue_keys_only=only) for only in (False, True))
+    names = ["id", "key", "project_id", "project_key", "project_name", "created", "updated"]
+    assert sorted(map(str, keys["issues"].select(*names).collect())) == sorted(map(str, whole["issues"].select(*names).collect()))
+    assert sorted(map(str, keys.rejects().collect())) == sorted(map(str, whole.rejects().collect()))
+    assert keys["issues"].schema == whole["issues"].schema
+    assert keys["issues"].where("status_name IS NOT NULL OR summary IS NOT NULL").isEmpty()
