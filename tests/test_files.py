@@ -199,3 +199,19 @@ def test_a_plain_run_is_kept_until_its_versioned_replacement_is_pointed_at(spark
     assert names_in(spark, tmp_path) == [] and not parts(tmp_path, "boards")
     write_run({"boards": boards("AGAIN")}, str(tmp_path), SUFFIX)
     assert names_in(spark, tmp_path) == ["AGAIN"]
+
+
+def test_many_small_parts_are_written_by_many_tasks(spark, tmp_path):
+    """Rows of one task that fill a part for every shuffle partition are dealt out; fewer rows stay together."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def writers(rows: int) -> int:
+        boards = spark.range(rows, numPartitions=1).selectExpr("id AS board_id", "id AS project_id", "'b' AS name")
+        path = tmp_path / str(rows)
+        assert write_run({"boards": boards}, str(path), "20240101", max_rows=10) == {"boards": rows}
+        parts = list(path.glob("boards/boards_20240101/part-*"))
+        assert sum(spark.read.parquet(str(part)).count() for part in parts[:3]) <= 30
+        return len({part.name.split("-")[1] for part in parts})
+
+    assert writers(10 * tasks) == 1
+    assert writers(30 * tasks) == tasks
