@@ -161,3 +161,12 @@ def test_history_times_pass_the_end_of_a_month(spark):
             expected = [f"{day.isoformat(timespec='milliseconds')}+0000" for day in days]
             expected[5] = start.date().isoformat()
             assert [h.created for h in row.b.changelog.histories] == expected
+
+
+def test_parsed_bodies_are_never_broadcast(spark):
+    """The planner takes them for smaller than the table they are made from; as hash tables they are many times larger."""
+    boards = plan_of(build(workload.raw(spark, SF), data_types=["boards"])["boards"])
+    assert "SortMergeJoin [path#" in boards and "SortMergeJoin [project_key#" in boards
+    assert not re.search(r"BroadcastHashJoin \[(path|project_key|owner_key)#", boards)
+    issues = plan_of(build(workload.raw(spark, SF), data_types=["issues"], issue_keys_only=True)["issues"])
+    assert "SortMergeJoin [board_id#" in issues
