@@ -170,3 +170,25 @@ def test_parsed_bodies_are_never_broadcast(spark):
     assert not re.search(r"BroadcastHashJoin \[(path|project_key|owner_key)#", boards)
     issues = plan_of(build(workload.raw(spark, SF), data_types=["issues"], issue_keys_only=True)["issues"])
     assert "SortMergeJoin [board_id#" in issues
+
+
+def test_large_sides_move_the_winners_alone(spark):
+    """Where boards are too large to broadcast, keys find the first places, and losers leave before the wide rows move."""
+    kept, write = {}, storage.stage_in(spark, storage.work_folder(spark, "large"))
+
+    def stage(df, name):
+        kept[name] = df
+        return write(df, name)
+
+    source = workload.raw(spark, SF)
+    small = {n: sorted(map(str, df.collect())) for n, df in build(source, stage=storage.stage_in(
+        spark, storage.work_folder(spark, "small"))).as_dict().items()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        large = build(source, stage=stage)
+        assert {n: sorted(map(str, df.collect())) for n, df in large.as_dict().items()} == small
+        plan = plan_of(kept["issues"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    wide = plan.split("SortMergeJoin [entry#", 1)[1].split("Exchange hashpartitioning(entry#")[1]
+    assert "getbit" in wide and "BroadcastHashJoin" in wide and "Exchange hashpartitioning" not in wide

@@ -7,6 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from ticketmill.operators import dedupe
 from ticketmill.operators.dedupe import first_board_wins, first_per_key, first_places, only_first_places
 from ticketmill.sinks.tables import absent_rows
 from ticketmill.sources import pages
@@ -46,6 +47,19 @@ def test_first_places_of_repeated_issues(listed):
     assert len(got) == len(want) and dict(got) == want
 
 
+def test_marked_entries(spark, monkeypatch):
+    """A bit for each entry keeps exactly the chosen ones, at the ends of a row of marks and of a task's numbers too."""
+    numbers = [0, 1, 7, 8, 32_767, 32_768, 32_769, 65_536, 65_537, 2**33 - 1, 2**33, 2**33 + 1, 5 * 2**33 + 40_000]
+    entries = spark.createDataFrame([(n,) for n in numbers], "entry BIGINT")
+    for start in (0, 1):
+        chosen = entries.where(F.col("entry").isin(numbers[start::2]))
+        marks = dedupe.entry_marks(chosen.unionByName(chosen))
+        assert [r.entry for r in dedupe.marked_only(entries, marks).orderBy("entry").collect()] == numbers[start::2]
+    assert dedupe.marked_only(entries, dedupe.entry_marks(entries.where("false"))).count() == 0
+    monkeypatch.setattr(dedupe, "MOST_MARKS", 1)
+    assert dedupe.marked_only(entries, marks).count() == len(numbers)
+
+
 def test_a_hot_board_is_split(spark, make_raw, tmp_path):
     """Boards too large to broadcast and a third of all entries on one of them: the join splits its partition."""
     from conftest import board, issue
