@@ -279,3 +279,38 @@ def test_state_is_merged_and_read_by_lane(spark, tmp_path):
         table.keep(n, rows(n))
     table.merge(spark, 60, less)
     assert table.before(spark, 60).where("project_id = 500").count() == 0
+
+
+def test_a_batch_writes_each_body_once_before_it_is_parsed(spark, tmp_path, landing, monkeypatch):
+    """Entries are read from the staged pages; a staged copy of them would double the bodies on disk."""
+    from ticketmill.sources import storage
+
+    uri, land = landing
+    land("a", 1, issue("5", histories=moved()))
+    real, names = storage.stage_in, []
+
+    def recorded(session, folder):
+        stage = real(session, folder)
+        return lambda df, name: (names.append((name, "body" in df.columns)), stage(df, name))[1]
+
+    monkeypatch.setattr(storage, "stage_in", recorded)
+    params = RunParams(str(tmp_path / "out"), SUFFIX)
+    step(spark, uri, params, str(tmp_path / "checkpoint"))
+    assert "issue_pages" in dict(names) and {n for n, has_body in names if has_body} == {"detail_pages", "board_entries"}
+    assert summaries(spark, params) == [(5, "Moor at berth two")]
+
+
+def test_parked_bodies_are_kept_small(spark, tmp_path, landing):
+    uri, land = landing
+    land("a", 77, issue("5"))
+    step(spark, uri, RunParams(str(tmp_path / "out"), SUFFIX), str(tmp_path / "checkpoint"))
+    parts = list((tmp_path / "checkpoint" / "parked").rglob("part-*"))
+    assert parts and all(".zstd." in part.name for part in parts)
+
+
+def test_queries_land_compressed_pages(spark, tmp_path):
+    from ticketmill.workload import queries
+
+    queries._land_boards(spark, "/root/testdata/sf0.001", str(tmp_path), (0,))
+    parts = list((tmp_path / "issues").glob("part-*"))
+    assert parts and all(part.name.endswith(".gz") for part in parts)

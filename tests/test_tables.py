@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 import uuid
 from datetime import datetime, timezone
 
@@ -153,6 +154,23 @@ def test_bucketed_target_is_not_shuffled(spark, database):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_many_keys_of_few_bytes_are_not_broadcast(spark, tmp_path):
+    """An exploded list seems small to the planner; what is read tells that it is not."""
+    lists = F.transform(F.sequence(F.lit(1), F.lit(40)), lambda n: F.concat(F.lit("k"), n))
+    spark.range(20_000).select("id", lists.alias("keys"), *[F.sha2(F.concat("id", F.lit(i)), 256).alias(f"c{i}") for i in range(9)]).write.parquet(f"{tmp_path}/batch")
+    spark.range(50).select(F.col("id"), F.lit("k3").alias("key")).write.parquet(f"{tmp_path}/target")
+    batch = spark.read.parquet(f"{tmp_path}/batch").select("id", F.explode("keys").alias("key"))
+    target = spark.read.parquet(f"{tmp_path}/target")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "3m")
+    try:
+        fresh = tables.absent_rows(batch, target, ["id", "key"], ["key"])
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert re.search(r"SortMergeJoin [^\n]*LeftSemi", plan) and not re.search(r"BroadcastHashJoin [^\n]*LeftSemi", plan)
+    assert fresh.count() == 20_000 * 40 - 50
+
+
 @pytest.fixture
 def tracker(make_raw):
     """Two projects that share a board, hence an issue, with one bad row of each kind."""
